@@ -33,12 +33,12 @@ def top_rows(df: DataFrame, order_by: Sequence[Column | str], n: int) -> DataFra
     return df.orderBy(*order_by).limit(n)
 
 
-def split_batches(df: DataFrame, n: int, key: str, name: str = "interval") -> DataFrame:
+def split_batches(df: DataFrame, n: int, key: str, name: str = "interval", dense: bool = False) -> DataFrame:
     """Number the rows with batches 1..n along the unique column `key`: n-1 batches of equal size, the rest in the last.
 
-    Fewer rows than batches give one row per batch.
+    Fewer rows than batches give one row per batch. With `dense` the key is 1..rows already, and no row moves.
     """
-    numbered = dense_id(df, key, "__row")
+    numbered = df.withColumn("__row", F.col(key)) if dense else dense_id(df, key, "__row")
     size = max(1, df.count() // n)
     batch = F.least(F.lit(n), F.expr(f"(__row - 1) div {size}") + 1)
     return numbered.withColumn(name, batch.cast("int")).drop("__row")

@@ -86,7 +86,7 @@ def run_medallion(
     }
 
     files = f"{base}/stream_input/{layout.prefix}events"
-    write_json_batches(build_events(rows), files, INTERVALS, "event_id")
+    write_json_batches(build_events(rows), files, INTERVALS, "member_id", dense=True)
 
     bronze, silver = layout.table("fact_insurance_bronze"), layout.table("fact_insurance_silver")
     gold = layout.table("gold_charges_by_region_smoker"), layout.table("gold_charges_by_provider_month")

@@ -57,9 +57,14 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str],
     if not spark.catalog.tableExists(name):
         write_table(df, name, partition_by=partition_by, path=path)
         return
-    columns = spark.table(name).columns
-    writer = df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name)
+    # insertInto takes this from the session, not from the writer's options
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def refresh_table(spark: SparkSession, name: str, sql: str) -> None:

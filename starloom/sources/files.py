@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
-    """CSV with a header. Give a schema (all text, typed later) to avoid the pass that infers types."""
-    reader = spark.read.option("header", True)
+def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None, **options) -> DataFrame:
+    """CSV with a header. Give a schema (all text, typed later) to avoid the pass that infers types. `options` are Spark's."""
+    reader = spark.read.option("header", True).options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
