@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 2**32 modulo 365, used to fold a hash taken in 32-bit pieces.
-_FOLD_DAYS = 365
-_FOLD = 2**32 % _FOLD_DAYS
+_YEAR_DAYS = 365
+_HASH_DIGITS = 64  # hexadecimal digits of a 256-bit hash
+_PIECE_DIGITS = 15  # the most that surely fit a bigint
 
 
 def sparse_id() -> Column:
@@ -39,11 +39,12 @@ def date_key(d: Column) -> Column:
 def date_by_hash(id_col: Column, year: int) -> Column:
     """Stable pseudo-random date key: day `sha256(id) mod 365` of the year, as yyyymmdd.
 
-    The 256-bit remainder is folded from eight 32-bit pieces, so it stays inside generated code.
+    The remainder of the 256-bit number is folded from pieces of 60 bits, so it stays inside generated code.
     """
-    digest = F.sha2(id_col.cast("string"), 256)
+    digest = F.sha2(id_col.cast("string"), _HASH_DIGITS * 4)
     remainder = F.lit(0).cast("bigint")
-    for piece in range(8):
-        word = F.conv(F.substring(digest, 8 * piece + 1, 8), 16, 10).cast("bigint")
-        remainder = (remainder * _FOLD + word) % _FOLD_DAYS
+    for start in range(0, _HASH_DIGITS, _PIECE_DIGITS):
+        digits = min(_PIECE_DIGITS, _HASH_DIGITS - start)
+        piece = F.conv(F.substring(digest, start + 1, digits), 16, 10).cast("bigint")
+        remainder = (remainder * (16**digits % _YEAR_DAYS) + piece) % _YEAR_DAYS
     return date_key(F.date_add(F.make_date(F.lit(year), F.lit(1), F.lit(1)), remainder.cast("int")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, INTERVALS
 from ..operators.checks import row_counts
+from ..operators.staging import stage
 from ..sinks.files import write_json_batches
 from ..sinks.tables import reset, write_table
 from ..streaming.bronze import append_increment, ingest_bronze
@@ -74,7 +75,7 @@ def run_medallion(
     `order` is a unique column that fixes member ids; `base` is the folder for event files and checkpoints.
     Returns the table names.
     """
-    rows = layout.write(number_rows(insurance, order), "insurance_numbered")
+    rows = number_rows(insurance, order)
     region = layout.write(build_dim_region(rows, name="region"), "dim_region")
     member = layout.write(build_dim_member(rows, region, keep_region=True), "dim_member")
     layout.write(build_profile_dim(member), "dim_risk_profile")
@@ -132,7 +133,7 @@ def run_batch(
     spark: SparkSession, insurance: DataFrame, order: str, layout: Layout, date_source: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The batch star schema: five dimensions, the fact and two gold tables, written and returned as read back."""
-    rows = layout.write(add_event_date(number_rows(insurance, order), BATCH_START, BATCH_DAYS), "insurance_dated")
+    rows = add_event_date(number_rows(insurance, order), BATCH_START, BATCH_DAYS)
     region = layout.write(build_dim_region(rows), "dim_region")
     member = layout.write(build_dim_member(rows, region), "dim_member")
     profile = layout.write(build_profile_dim(member), "dim_risk_profile")
@@ -156,7 +157,7 @@ def run_mart(
     spark: SparkSession, insurance: DataFrame, providers: DataFrame, order: str, layout: Layout, year: int = CLAIM_YEAR
 ) -> dict[str, DataFrame]:
     """The claims mart: calendar, insured and region dimensions and the claims fact, with the row count of each table."""
-    insured = layout.write(derive_insured(type_rows(insurance)), "insured_rows")
+    insured = stage(derive_insured(type_rows(insurance)), "insured")
     dim_insured = layout.write(build_dim_insured(insured, order), "dim_insured")
     dim_region = layout.write(build_region_enriched(insured, providers), "dim_region")
     tables = {
