@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from starloom.session import local_session
+
+    base = tmp_path_factory.mktemp("spark")
+    session = local_session(
+        "tests",
+        8,
+        **{
+            "spark.sql.warehouse.dir": f"{base}/warehouse",
+            "spark.checkpoint.dir": f"{base}/checkpoints",
+            "spark.sql.shuffle.partitions": "4",
+        },
+    )
+    yield session
+    session.stop()
+
+
+def rows(df, *cols):
+    """Rows as plain tuples, sorted."""
+    picked = df.select(*cols) if cols else df
+    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
