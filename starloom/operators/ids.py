@@ -27,7 +27,7 @@ def _order(order_by: Sequence[Column | str] | Column | str) -> list[Column]:
 
 def dense_id(
     df: DataFrame,
-    order_by: Sequence[Column | str] | Column | str,
+    order_by: Sequence[Column | str] | Column | str | None,
     name: str = "id",
     unique: bool = True,
 ) -> DataFrame:
@@ -36,19 +36,18 @@ def dense_id(
     The rows are ranged and sorted once and written; every range then only needs the number of rows before it, a table of
     one row per partition. Say `unique=False` when the order has ties: the rows are then fixed first and equal ones are told
     apart by content and position, so that even many copies of one row spread over several ranges.
+
+    Without an order (None) rows are numbered as they are read, a file's rows in file order, and nothing is shuffled.
     """
-    order = _order(order_by)
+    order = [] if order_by is None else _order(order_by)
     columns = df.columns
-    if not unique:
+    if order and not unique:
         content = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
         df = stage(df, "untied").withColumn(_TIE, F.monotonically_increasing_id())
         order = [*order, content, F.col(_TIE)]
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(_POSITION))
-    )
-    fixed = stage(ranged, "ranged")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    positioned = ranged.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(_POSITION))
+    fixed = stage(positioned, "ranged")
     part = F.shiftright(_POSITION, _PART_SHIFT)
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     bases = (

@@ -14,20 +14,35 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortType
-
-# A lookup is broadcast when its rows times its columns stay within this many values (some tens of megabytes).
-BROADCAST_VALUES = 2_000_000
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    TimestampType,
+)
+
+# A lookup is broadcast when its counted rows take no more than this many bytes.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES, _FIELD_BYTES = 16, 8
 # A key is hot when it holds at least this share of the rows; at most 1 / HOT_SHARE keys can.
 HOT_SHARE = 0.01
 
 _HASH = "__hash"
 
 
-def fits_broadcast(df: DataFrame, values: int = BROADCAST_VALUES) -> bool:
-    """Count whether the frame is within the broadcast bound; reads at most one row beyond it."""
-    rows = values // max(1, len(df.columns))
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame's rows take at most `limit` bytes: counted, text lengths included, reading little beyond the limit."""
+    row = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
+    rows = limit // row
+    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, (NumericType, DateType, BooleanType, TimestampType))]
+    length = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in texts), F.lit(0))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("text")).first()
+    return found.n <= rows and found.n * row + (found.text or 0) <= limit
 
 
 _INTEGERS = (ByteType, ShortType, IntegerType, LongType)
@@ -75,7 +90,7 @@ def lookup(
     take: Mapping[str, str] | Sequence[str] = (),
     how: str = "left",
     null_safe: bool = False,
-    broadcast_values: int = BROADCAST_VALUES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Bring columns of `dim` to the rows of `fact`.
 
@@ -94,12 +109,12 @@ def lookup(
     )
     condition = _condition(fact_keys, keys, null_safe)
 
-    if fits_broadcast(side, broadcast_values):
+    if fits_broadcast(side, broadcast_bytes):
         return fact.join(F.broadcast(side), condition, how).drop(*keys)
     hot = [] if fact.isStreaming or not _routable(fact, fact_keys, side, keys) else hot_hashes(fact, fact_keys)
     if hot:
         hot_side = side.where(_route(side, keys).isin(hot))
-        if fits_broadcast(hot_side, broadcast_values):
+        if fits_broadcast(hot_side, broadcast_bytes):
             is_hot = _route(fact, fact_keys).isin(hot)
             rest = fact.where(~is_hot).join(side, condition, how)
             moved = fact.where(is_hot).join(F.broadcast(hot_side), condition, how)
@@ -135,7 +150,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], take: S
 
 
 def expand(
-    header: DataFrame, detail: DataFrame, on: str, how: str = "left", broadcast_values: int = BROADCAST_VALUES
+    header: DataFrame, detail: DataFrame, on: str, how: str = "left", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join headers to their detail rows by a same-named key; `left` keeps headers without any.
 
@@ -147,11 +162,11 @@ def expand(
     condition = F.col(on) == F.col(key)
     columns = [*header.columns, *[c for c in detail.columns if c != key]]
     plain = header.join(detail, condition, how).select(*columns)
-    if fits_broadcast(detail, broadcast_values) or not _routable(header, [on], detail, [key]):
+    if fits_broadcast(detail, broadcast_bytes) or not _routable(header, [on], detail, [key]):
         return plain
     hot = hot_hashes(detail, [key])
     hot_header = header.where(_route(header, [on]).isin(hot) & F.col(on).isNotNull())
-    if not hot or not fits_broadcast(hot_header, broadcast_values):
+    if not hot or not fits_broadcast(hot_header, broadcast_bytes):
         return plain
     hot_detail = detail.where(_route(detail, [key]).isin(hot))
     rest = header.where(~_route(header, [on]).isin(hot) | F.col(on).isNull()).join(

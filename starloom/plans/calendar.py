@@ -5,6 +5,8 @@ A calendar is one row per day of a span, so its size is set by the span and not
 
 from __future__ import annotations
 
+import os
+from collections.abc import Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import HOLIDAYS, QUARTER_NAMES, SPECIAL_DAYS
 from ..functions.keys import date_key
+from ..sources.jdbc import read_jdbc, sqlserver_settings
 
 # A Sunday; week boundaries are counted from it.
 _SUNDAY = "1899-12-31"
@@ -73,6 +76,14 @@ def normalize_date_dim(df: DataFrame) -> DataFrame | None:
     return typed.groupBy("date_key").agg(F.min("full_date").alias("full_date"))
 
 
+def read_calendar(spark: SparkSession, environ: Mapping[str, str] = os.environ, table: str = "dbo.DimDate") -> DataFrame | None:
+    """The calendar table of the database that the environment names (SQL_HOST, SQL_DB, SQL_USER, SQL_PWD); None without them."""
+    settings = sqlserver_settings(environ)
+    if settings is None:
+        return None
+    return read_jdbc(spark, settings.pop("url"), table, settings)
+
+
 def calendar(source: DataFrame | None, fact: DataFrame, col: str) -> DataFrame:
     """The calendar read from elsewhere if there is a usable one, else the days of the fact."""
     known = normalize_date_dim(source) if source is not None else None

@@ -17,8 +17,8 @@ MEMBER_TYPES = {"age": "int", "bmi": "double", "children": "int"}
 _MEASURED = ("age", "bmi", "children", "charges")
 
 
-def number_rows(df: DataFrame, order_by, name: str = "member_id", unique: bool = True) -> DataFrame:
-    """Give source rows their dense ids, once: members and events must share them."""
+def number_rows(df: DataFrame, order_by=None, name: str = "member_id", unique: bool = True) -> DataFrame:
+    """Give source rows their dense ids, once: members and events must share them. Without an order: as they are read."""
     return dense_id(df, order_by, name, unique)
 
 

@@ -20,7 +20,6 @@ from ..constants import (
 )
 from ..functions.clean import pick_by_modulo
 from ..functions.keys import date_by_hash, date_by_modulo, date_key, hash_key, prefixed_id
-from ..operators.ids import dense_id
 from ..operators.joins import lookup, null_safe_join
 from .dimensions import type_rows
 
@@ -106,13 +105,13 @@ def build_fact(rows: DataFrame, dim_member: DataFrame, dim_profile: DataFrame) -
     )
 
 
-def build_claims(insured: DataFrame, dim_insured: DataFrame, dim_region: DataFrame, order: str, year: int = CLAIM_YEAR) -> DataFrame:
-    """Mart fact of derived insurance rows: claim, insured, region and date keys with the charges.
+def build_claims(insured: DataFrame, dim_insured: DataFrame, dim_region: DataFrame, year: int = CLAIM_YEAR) -> DataFrame:
+    """Mart fact of derived insurance rows that carry their dense `claim_key`: insured, region and date keys with the charges.
 
-    Claims are numbered along the unique column `order`; NULL attributes match NULL.
+    NULL attributes match NULL.
     """
-    numbered = dense_id(insured.select(order, *INSURED_COLUMNS, "region", "charges"), order, "claim_key")
-    keyed = null_safe_join(numbered, dim_insured, INSURED_COLUMNS, ["insured_key"])
+    claims = insured.select("claim_key", *INSURED_COLUMNS, "region", "charges")
+    keyed = null_safe_join(claims, dim_insured, INSURED_COLUMNS, ["insured_key"])
     keyed = null_safe_join(keyed, dim_region, ["region"], ["region_key"])
     return keyed.select(
         "claim_key", "insured_key", "region_key", date_by_hash(F.col("claim_key"), year).alias("date_key"), "charges"

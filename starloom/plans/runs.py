@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, INTERVALS
 from ..operators.checks import row_counts
-from ..operators.staging import stage
+from ..operators.ids import dense_id
 from ..sinks.files import write_json_batches
 from ..sinks.tables import reset, write_table
 from ..streaming.bronze import append_increment, ingest_bronze
@@ -64,7 +64,7 @@ def reset_stream(spark: SparkSession, layout: Layout, base: str, name: str) -> N
 def run_medallion(
     spark: SparkSession,
     insurance: DataFrame,
-    order: str,
+    order: str | None,
     dim_date: DataFrame,
     layout: Layout,
     base: str,
@@ -72,11 +72,15 @@ def run_medallion(
 ) -> dict[str, str]:
     """Insurance rows to dimensions, event files, bronze, silver and gold, then one batch increment through all of them.
 
-    `order` is a unique column that fixes member ids; `base` is the folder for event files and checkpoints.
+    A run starts anew: streamed tables of an earlier one go together with their checkpoints.
+    `order` is a unique column that fixes member ids, None for the order the rows are read in; `base` is the folder for event
+    files and checkpoints.
     Returns the table names.
     """
+    for name in ("fact_insurance_bronze", "fact_insurance_silver"):
+        reset_stream(spark, layout, base, name)
     rows = number_rows(insurance, order)
-    region = layout.write(build_dim_region(rows, name="region"), "dim_region")
+    region = layout.write(build_dim_region(rows), "dim_region")
     member = layout.write(build_dim_member(rows, region, keep_region=True), "dim_member")
     layout.write(build_profile_dim(member), "dim_risk_profile")
     dims = {
@@ -130,7 +134,7 @@ def run_medallion(
 
 
 def run_batch(
-    spark: SparkSession, insurance: DataFrame, order: str, layout: Layout, date_source: DataFrame | None = None
+    spark: SparkSession, insurance: DataFrame, order: str | None, layout: Layout, date_source: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The batch star schema: five dimensions, the fact and two gold tables, written and returned as read back."""
     rows = add_event_date(number_rows(insurance, order), BATCH_START, BATCH_DAYS)
@@ -154,16 +158,17 @@ def run_batch(
 
 
 def run_mart(
-    spark: SparkSession, insurance: DataFrame, providers: DataFrame, order: str, layout: Layout, year: int = CLAIM_YEAR
+    insurance: DataFrame, providers: DataFrame, order: str | None, layout: Layout, year: int = CLAIM_YEAR
 ) -> dict[str, DataFrame]:
     """The claims mart: calendar, insured and region dimensions and the claims fact, with the row count of each table."""
-    insured = stage(derive_insured(type_rows(insurance)), "insured")
-    dim_insured = layout.write(build_dim_insured(insured, order), "dim_insured")
+    insured = dense_id(derive_insured(type_rows(insurance)), order, "claim_key")
+    dim_insured = layout.write(build_dim_insured(insured, "claim_key"), "dim_insured")
     dim_region = layout.write(build_region_enriched(insured, providers), "dim_region")
+    days = calendar_basic(insurance.sparkSession, f"{year}-01-01", f"{year}-12-31")
     tables = {
-        "dim_date": layout.write(calendar_basic(spark, f"{year}-01-01", f"{year}-12-31"), "dim_date"),
+        "dim_date": layout.write(days, "dim_date"),
         "dim_insured": dim_insured,
         "dim_region": dim_region,
-        "fact_claims": layout.write(build_claims(insured, dim_insured, dim_region, order, year), "fact_claims"),
+        "fact_claims": layout.write(build_claims(insured, dim_insured, dim_region, year), "fact_claims"),
     }
     return {**tables, "row_counts": row_counts(tables)}

@@ -122,7 +122,7 @@ def hot_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = events.groupBy("user_id").agg(F.min("event_id").alias("first_event"), F.count(F.lit(1)).alias("n_events"))
     user = F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id"))
     rows = events.select("event_id", user.cast("bigint").alias("user_key"))
-    return lookup(rows, users, {"user_key": "user_id"}, ["first_event", "n_events"], broadcast_values=400)
+    return lookup(rows, users, {"user_key": "user_id"}, ["first_event", "n_events"], broadcast_bytes=5_000)
 
 
 @query(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR
 from ..operators.checks import check_fk, unmatched
+from ..operators.ids import dense_id
 from ..operators.joins import lookup
-from ..operators.staging import stage
 from ..plans.calendar import calendar_basic, calendar_extended
 from ..plans.dimensions import (
     build_dim_insured,
@@ -82,14 +82,14 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def claims_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The claims mart's fact and dimensions."""
-    insured = stage(derive_insured(type_rows(insurance(spark, sf_dir))), "insured")
-    dim_insured = build_dim_insured(insured, "row_no")
+    insured = dense_id(derive_insured(type_rows(insurance(spark, sf_dir))), "row_no", "claim_key")
+    dim_insured = build_dim_insured(insured, "claim_key")
     dim_region = build_region_enriched(insured, providers(spark, sf_dir))
     return {
         "insured": dim_insured,
         "region": dim_region,
         "date": calendar_basic(spark, f"{CLAIM_YEAR}-01-01", f"{CLAIM_YEAR}-12-31"),
-        "claims": build_claims(insured, dim_insured, dim_region, "row_no"),
+        "claims": build_claims(insured, dim_insured, dim_region),
     }
 
 

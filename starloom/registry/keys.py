@@ -22,6 +22,21 @@ def dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_id(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_custkey", "id")
 
 
+@query(
+    "dense_ids_as_read",
+    "SELECT COUNT(*) AS n_rows, CAST(1 AS BIGINT) AS first_id, COUNT(*) AS last_id, COUNT(*) AS n_ids FROM lineitem",
+)
+def dense_ids_as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = dense_id(table(spark, sf_dir, "lineitem").select("l_orderkey"), None)
+    per_id = numbered.groupBy("id").agg(F.count(F.lit(1)).alias("__rows"))
+    return per_id.agg(
+        F.sum("__rows").alias("n_rows"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.count(F.lit(1)).alias("n_ids"),
+    )
+
+
 @query(
     "dense_ids_ties",
     """SELECT l_returnflag, l_linestatus, MIN(id) AS first_id, MAX(id) AS last_id, COUNT(DISTINCT id) AS n_ids

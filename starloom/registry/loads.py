@@ -212,7 +212,7 @@ def create_as(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claims mart end to end, then appended to a second set of tables and counted there."""
     place, _ = layout(spark, "mart")
-    built = run_mart(spark, insurance(spark, sf_dir), providers(spark, sf_dir), "row_no", place)
+    built = run_mart(insurance(spark, sf_dir), providers(spark, sf_dir), "row_no", place)
     names = {t: f"{place.prefix}loaded_{t}" for t in ("dim_date", "dim_insured", "dim_region", "fact_claims")}
     for t, name in names.items():
         write_table(built[t].limit(0), name, path=place.location(f"loaded_{t}"))

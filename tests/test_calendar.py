@@ -14,6 +14,7 @@ from starloom.plans.calendar import (
     calendar_from_fact,
     extended_columns,
     normalize_date_dim,
+    read_calendar,
     span,
 )
 
@@ -128,3 +129,7 @@ def test_foreign_calendars(spark):
     fact = spark.createDataFrame([("2019-01-05",)], "event_date string")
     assert rows(calendar(other, fact, "event_date")) == [(20190105, date(2019, 1, 5))]
     assert rows(calendar(a, fact, "event_date")) == [(20200229, date(2020, 2, 29))]
+
+
+def test_no_database_settings_no_database_calendar(spark):
+    assert read_calendar(spark, {"SQL_HOST": "h"}) is None

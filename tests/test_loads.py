@@ -325,6 +325,7 @@ def test_medallion_end_to_end(spark, tmp_path):
         "string(id + 0.25) AS charges",
     )
     calendar = calendar_extended(spark, "2025-01-01", "2025-12-31", as_of="2025-06-01", end_inclusive=True)
+    run_medallion(spark, insurance.limit(60), "row_no", calendar, Layout("e2e_", str(tmp_path)), str(tmp_path))
     names = run_medallion(spark, insurance, "row_no", calendar, Layout("e2e_", str(tmp_path)), str(tmp_path))
     assert spark.table(names["bronze"]).count() == spark.table(names["silver"]).count() == 125
     assert rows(spark.table(names["bronze"]).where("load_id LIKE 'stream%'").groupBy("interval").count()) == [(1, 33), (2, 33), (3, 34)]

@@ -79,7 +79,7 @@ def test_hot_route_gives_the_rows_of_the_plain_join(spark, how, null_safe):
     dim = spark.range(801).select(key, F.expr("explode(array(0D, 1D, NULL)) AS b"))
     dim = dim.withColumn("name", F.concat_ws("-", "a", "b"))
     plain = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe)
-    routed = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe, broadcast_values=400)
+    routed = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe, broadcast_bytes=20_000)
     assert "Union" in plan_of(routed) and "Union" not in plan_of(plain)
     assert rows(routed) == rows(plain)
 
@@ -95,14 +95,22 @@ def test_hot_keys_are_all_found(spark):
 def test_equal_doubles_route_alike(spark):
     fact = spark.createDataFrame([(0.0,)] * 50 + [(-0.0,)] * 50 + [(float("nan"),)] * 50, "k double")
     dim = spark.createDataFrame([(0.0, "zero"), (float("nan"), "nan"), (1.0, "one"), (2.0, "two")], "k double, name string")
-    routed = lookup(fact, dim, ["k"], ["name"], broadcast_values=2)
+    routed = lookup(fact, dim, ["k"], ["name"], broadcast_bytes=130)
     assert rows(routed.groupBy("name").count()) == [("nan", 50), ("zero", 100)]
 
 
 def test_broadcast_bound_is_counted(spark):
-    assert fits_broadcast(spark.range(100), 100)
-    assert not fits_broadcast(spark.range(101), 100)
-    assert not fits_broadcast(spark.range(100).withColumn("b", F.lit(1)), 100)
+    assert fits_broadcast(spark.range(100), 100 * 24)
+    assert not fits_broadcast(spark.range(101), 100 * 24)
+    assert not fits_broadcast(spark.range(100).withColumn("b", F.lit(1)), 100 * 24)
+    assert not fits_broadcast(spark.range(10).withColumn("b", F.repeat(F.lit("x"), F.lit(300))), 100 * 24)
+    assert fits_broadcast(spark.range(0).withColumn("b", F.lit("x")), 100)
+
+
+def test_dense_ids_as_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t\n" + "".join(f"x{i}\n" for i in range(500)))
+    df = spark.read.option("header", True).csv(f"{tmp_path}/a.csv")
+    assert [r.n for r in dense_id(df, None, "n").orderBy(F.expr("int(substr(t, 2))")).collect()] == list(range(1, 501))
 
 
 def test_null_safe_join_matches_nulls(spark):
@@ -127,7 +135,7 @@ def test_expand_with_a_hot_header(spark, how):
         F.col("id").alias("d"),
     )
     plain = header.join(detail.withColumnRenamed("k", "x"), F.col("k") == F.col("x"), how).drop("x")
-    routed = expand(header, detail, "k", how, broadcast_values=500)
+    routed = expand(header, detail, "k", how, broadcast_bytes=20_000)
     assert "Union" in plan_of(routed)
     assert rows(routed) == rows(plain)
     assert rows(expand(header, detail, "k", how)) == rows(plain)
@@ -139,7 +147,7 @@ def test_expand_keeps_a_hot_header_without_details(spark, monkeypatch):
     detail = spark.createDataFrame([(1, 10)] * 40, "k int, d int")
     both = [r.h for r in spark.sql("SELECT xxhash64(k) AS h FROM VALUES (1L), (2L) AS t(k)").collect()]
     monkeypatch.setattr(joins, "hot_hashes", lambda *_: both)
-    routed = expand(header, detail, "k", broadcast_values=20)
+    routed = expand(header, detail, "k", broadcast_bytes=600)
     assert rows(routed.groupBy("k", "h", "d").count()) == [(1, "a", 10, 40), (2, "b", None, 1), (3, "c", None, 1)]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from starloom.constants import INSURANCE_SCHEMA, SILVER_COLUMNS
+from starloom.operators.ids import dense_id
 from starloom.plans.calendar import calendar_basic, calendar_extended
 from starloom.plans.dimensions import (
     build_dim_insured,
@@ -117,8 +118,8 @@ def test_claims_mart_against_pandas(spark, landed):
     providers = spark.createDataFrame(
         [("southwest", "A", "t1"), ("southeast", "B", None)], "region string, preferred_provider string, network_tier string"
     )
-    insured = derive_insured(type_rows(landed))
-    dim_insured = build_dim_insured(insured, "row_no")
+    insured = dense_id(derive_insured(type_rows(landed)), "row_no", "claim_key")
+    dim_insured = build_dim_insured(insured, "claim_key")
     dim_region = build_region_enriched(insured, providers)
     assert rows(dim_region) == [
         (1, "northeast", None, None), (2, "northwest", None, None), (3, "southeast", "B", None), (4, "southwest", "A", "t1"),
@@ -129,7 +130,7 @@ def test_claims_mart_against_pandas(spark, landed):
     firsts = model[attributes].drop_duplicates().reset_index(drop=True)
     firsts["insured_key"] = firsts.index + 1
     expected = model.merge(firsts, on=attributes, how="left")["insured_key"].tolist()
-    claims = build_claims(insured, dim_insured, dim_region, "row_no").orderBy("claim_key").collect()
+    claims = build_claims(insured, dim_insured, dim_region).orderBy("claim_key").collect()
     assert [c.insured_key for c in claims] == expected
     assert [c.claim_key for c in claims] == list(range(1, 11))
     assert claims[5].region_key == 5
@@ -140,7 +141,7 @@ def test_claims_mart_against_pandas(spark, landed):
     assert bands[1] == ("18-24", "Overweight")
     assert bands[4] == ("unknown", "Normal")
     assert bands[expected[9]] == ("unknown", "Obese")
-    top = star_top(build_claims(insured, dim_insured, dim_region, "row_no"), calendar_basic(spark, "2010-01-01", "2010-12-31"),
+    top = star_top(build_claims(insured, dim_insured, dim_region), calendar_basic(spark, "2010-01-01", "2010-12-31"),
                    dim_insured, dim_region)
     assert [tuple(r) for r in top.collect()][:2] == [
         (2010, "yes", "southwest", 33769.84), (2010, "no", "northwest", 21984.47),
@@ -235,7 +236,7 @@ def test_batch_run_with_a_foreign_calendar(spark, landed):
 
 def test_mart_run(spark, landed, tmp_path):
     providers = spark.createDataFrame([("southwest", "A", "t1")], "region string, preferred_provider string, network_tier string")
-    tables = run_mart(spark, landed, providers, "row_no", Layout("mart_test_", str(tmp_path)))
+    tables = run_mart(landed, providers, "row_no", Layout("mart_test_", str(tmp_path)))
     assert rows(tables["row_counts"]) == [("dim_date", 365), ("dim_insured", 9), ("dim_region", 5), ("fact_claims", 10)]
     assert (tmp_path / "tables" / "fact_claims").is_dir()
 
