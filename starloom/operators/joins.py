@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +23,14 @@ from pyspark.sql.types import (
     LongType,
     NumericType,
     ShortType,
+    TimestampNTZType,
     TimestampType,
 )
 
 # A lookup is broadcast when its counted rows take no more than this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES, _FIELD_BYTES = 16, 8
+_PLAIN = (NumericType, DateType, BooleanType, TimestampType, TimestampNTZType)
 # A key is hot when it holds at least this share of the rows; at most 1 / HOT_SHARE keys can.
 HOT_SHARE = 0.01
 
@@ -36,13 +38,19 @@ _HASH = "__hash"
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame's rows take at most `limit` bytes: counted, text lengths included, reading little beyond the limit."""
+    """Whether the frame's rows take at most `limit` bytes.
+
+    Rows are counted first, which reads no column of a stored table; text lengths are added up only where the count fits.
+    """
     row = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
-    rows = limit // row
-    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, (NumericType, DateType, BooleanType, TimestampType))]
-    length = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in texts), F.lit(0))
-    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("text")).first()
-    return found.n <= rows and found.n * row + (found.text or 0) <= limit
+    rows = df.count()
+    if rows * row > limit:
+        return False
+    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, _PLAIN)]
+    if not texts or not rows:
+        return True
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in texts]
+    return rows * row + df.agg(F.sum(reduce(add, lengths))).first()[0] <= limit
 
 
 _INTEGERS = (ByteType, ShortType, IntegerType, LongType)
