@@ -105,8 +105,10 @@ def lookup(
     `on` maps fact columns to dim columns and `take` maps dim columns to output names; plain names mean the same name on
     both sides. `how` is `left` or `inner`. With `null_safe`, NULL matches NULL.
 
-    A dim within the broadcast bound is broadcast, so fact rows do not move. For a larger one, rows with hot keys are joined
-    with a broadcast of just those dim rows, and all others by a shuffle on the key. Streams take the first way or a plain join.
+    A dim within the broadcast bound is broadcast, so fact rows do not move. Of a larger one, few fact rows (an increment) only
+    need the dim rows of their keys, which are found by broadcasting the keys; among many fact rows, those with hot keys are
+    joined with a broadcast of just their dim rows, and all others by a shuffle on the key. The fact is read more than once
+    then: stage it first if it is costly to compute. Streams take the first way or a plain join.
     """
     on = {on: on} if isinstance(on, str) else dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
@@ -119,7 +121,15 @@ def lookup(
 
     if fits_broadcast(side, broadcast_bytes):
         return fact.join(F.broadcast(side), condition, how).drop(*keys)
-    hot = [] if fact.isStreaming or not _routable(fact, fact_keys, side, keys) else hot_hashes(fact, fact_keys)
+    if fact.isStreaming:
+        return fact.join(side, condition, how).drop(*keys)
+    wanted = fact.select(*[F.col(c).alias(f"__want{i}") for i, c in enumerate(fact_keys)])
+    if fits_broadcast(wanted, broadcast_bytes):
+        found = F.broadcast(wanted.distinct())
+        needed = side.join(found, _condition(wanted.columns, keys, null_safe), "left_semi")
+        if fits_broadcast(needed, broadcast_bytes):
+            return fact.join(F.broadcast(needed), condition, how).drop(*keys)
+    hot = hot_hashes(fact, fact_keys) if _routable(fact, fact_keys, side, keys) else []
     if hot:
         hot_side = side.where(_route(side, keys).isin(hot))
         if fits_broadcast(hot_side, broadcast_bytes):

@@ -39,6 +39,6 @@ def split_batches(df: DataFrame, n: int, key: str, name: str = "interval", dense
     Fewer rows than batches give one row per batch. With `dense` the key is 1..rows already, and no row moves.
     """
     numbered = df.withColumn("__row", F.col(key)) if dense else dense_id(df, key, "__row")
-    size = max(1, df.count() // n)
+    size = max(1, numbered.count() // n)
     batch = F.least(F.lit(n), F.expr(f"(__row - 1) div {size}") + 1)
     return numbered.withColumn(name, batch.cast("int")).drop("__row")

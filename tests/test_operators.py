@@ -84,6 +84,15 @@ def test_hot_route_gives_the_rows_of_the_plain_join(spark, how, null_safe):
     assert rows(routed) == rows(plain)
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_few_rows_reduce_a_large_lookup(spark, null_safe):
+    fact = spark.createDataFrame([(5, "a"), (5, "b"), (99_999, "c"), (None, "d")], "k int, t string")
+    dim = spark.range(5000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
+    reduced = lookup(fact, dim, ["k"], ["v"], null_safe=null_safe, broadcast_bytes=1000)
+    assert "LeftSemi" in plan_of(reduced) and "SortMergeJoin" not in plan_of(reduced)
+    assert rows(reduced) == [(5, "a", 10), (5, "b", 10), (99_999, "c", None), (None, "d", 14 if null_safe else None)]
+
+
 def test_hot_keys_are_all_found(spark):
     df = spark.range(0, 30_000, 1, 5).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     hot = hot_hashes(df, ["k"])
