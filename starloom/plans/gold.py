@@ -67,20 +67,42 @@ def _with_month(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 _MEASURES = ("num_events", "total_charges", "avg_charges")
 
 
-def gold_region_smoker(
-    silver: DataFrame, dim_region: DataFrame, region: str = "region_name", flag: str = "smoker", amount: str = "charge_amount"
-) -> DataFrame:
+REGION_KEYS = ("region_key", "smoker")
+PROVIDER_KEYS = ("preferred_provider", "network_tier", "__month")
+
+
+def reduce_by_region(silver: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Silver rows reduced to region and smoker flag."""
+    return reduce_fact(silver, [*more, *REGION_KEYS], "charge_amount")
+
+
+def reduce_by_provider(silver: DataFrame, more: Sequence[str] = (), day: str = "event_date", amount: str = "charge_amount") -> DataFrame:
+    """Silver rows reduced to provider, tier and month."""
+    return reduce_fact(silver, [*more, "preferred_provider", "network_tier", _month_start(day)], amount)
+
+
+def region_smoker_of(reduced: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """Charges by region name and smoker flag from reduced rows, of one reduction or of several."""
+    side = Side(dim_region, {"region_key": "region_key"}, {"region_name": "region_name"}, "left")
+    by = ["region_name", "smoker"]
+    return finish(attach(reduced, side), by).orderBy(F.desc("total_charges"), *by)
+
+
+def provider_month_of(reduced: DataFrame) -> DataFrame:
+    """Charges by provider, tier and month from reduced rows, of one reduction or of several."""
+    by = ["preferred_provider", "network_tier"]
+    result = _with_month(finish(reduced, PROVIDER_KEYS), [*by, "event_month", *_MEASURES])
+    return result.orderBy("event_month", F.desc("total_charges"), *by)
+
+
+def gold_region_smoker(silver: DataFrame, dim_region: DataFrame) -> DataFrame:
     """Charges by region name and smoker flag, largest total first; rows without a region stay, under NULL."""
-    side = Side(dim_region, {"region_key": "region_key"}, {region: region}, "left")
-    return star_totals(silver, ["region_key", flag], amount, [side], [region, flag]).orderBy(F.desc("total_charges"), region, flag)
+    return region_smoker_of(reduce_by_region(silver), dim_region)
 
 
 def gold_provider_month(silver: DataFrame, day: str = "event_date", amount: str = "charge_amount") -> DataFrame:
     """Charges by provider, tier and month, in month order and largest total first."""
-    by = ["preferred_provider", "network_tier"]
-    grouped = totals(silver, [*by, _month_start(day)], [*by, "__month"], amount)
-    result = _with_month(grouped, [*by, "event_month", *_MEASURES])
-    return result.orderBy("event_month", F.desc("total_charges"), *by)
+    return provider_month_of(reduce_by_provider(silver, (), day, amount))
 
 
 def gold_region_smoker_rounded(fact: DataFrame, dim_region: DataFrame, dim_profile: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators.ids import dense_id
 from ..sinks.files import write_json_batches
 from ..sinks.tables import reset, write_table
 from ..streaming.bronze import append_increment, ingest_bronze
-from ..streaming.gold import refresh_gold
+from ..streaming.gold import GoldTables, reduce_loads, refresh_gold
 from ..streaming.silver import enrich_silver
 from .calendar import calendar, calendar_basic
 from .dimensions import (
@@ -61,6 +61,12 @@ def reset_stream(spark: SparkSession, layout: Layout, base: str, name: str) -> N
     reset(spark, [layout.table(name)], paths)
 
 
+def gold_tables(layout: Layout) -> GoldTables:
+    """The gold tables of a streamed run."""
+    names = layout.table("gold_charges_by_region_smoker"), layout.table("gold_charges_by_provider_month")
+    return GoldTables(*names, root=f"{layout.root}/tables" if layout.root else None)
+
+
 def run_medallion(
     spark: SparkSession,
     insurance: DataFrame,
@@ -94,7 +100,8 @@ def run_medallion(
     write_json_batches(build_events(rows), files, INTERVALS, "member_id", dense=True)
 
     bronze, silver = layout.table("fact_insurance_bronze"), layout.table("fact_insurance_silver")
-    gold = layout.table("gold_charges_by_region_smoker"), layout.table("gold_charges_by_provider_month")
+    gold = gold_tables(layout)
+    reset(spark, gold.reduced, [p for p in map(gold.location, gold.reduced) if p])
     named_region = region.withColumnRenamed("region", "region_name")
 
     def refresh() -> None:
@@ -105,12 +112,9 @@ def run_medallion(
             silver,
             layout.checkpoint(base, "fact_insurance_silver"),
             layout.location("fact_insurance_silver"),
+            after=lambda loads: reduce_loads(spark, silver, gold, loads),
         )
-        locations = (
-            layout.location("gold_charges_by_region_smoker"),
-            layout.location("gold_charges_by_provider_month"),
-        )
-        refresh_gold(spark, silver, named_region, *gold, locations)
+        refresh_gold(spark, silver, named_region, gold, by_load=True)
 
     ingest_bronze(
         spark,
@@ -128,8 +132,8 @@ def run_medallion(
         **{t: layout.table(t) for t in tables},
         "bronze": bronze,
         "silver": silver,
-        "gold_region_smoker": gold[0],
-        "gold_provider_month": gold[1],
+        "gold_region_smoker": gold.region_smoker,
+        "gold_provider_month": gold.provider_month,
     }
 
 

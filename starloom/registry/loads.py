@@ -12,11 +12,12 @@ from ..operators.staging import new_path
 from ..plans.calendar import calendar_extended
 from ..plans.dimensions import build_dim_provider
 from ..plans.gold import star_provider_region
-from ..plans.runs import run_batch, run_mart, run_medallion
+from ..plans.runs import Layout, gold_tables, run_batch, run_mart, run_medallion
 from ..sinks.files import write_csv, write_json_batches
 from ..sinks.tables import append_table, ctas, load_mart, refresh_table, replace_table, write_table
 from ..sources.files import extract_columns, read_csv, read_json_array, read_json_nested, read_path
 from ..streaming.bronze import append_increment, ingest_bronze
+from ..streaming.gold import refresh_gold
 from ..streaming.silver import append_silver, rebuild_silver
 from .base import (
     INCREMENT_SQL,
@@ -247,7 +248,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*columns, F.col("interval").cast("int").alias("interval"), "load_id")
 
 
-def _medallion(spark: SparkSession, sf_dir: str, increment: str | None) -> tuple[dict[str, str], object, str]:
+def _medallion(spark: SparkSession, sf_dir: str, increment: str | None) -> tuple[dict[str, str], Layout, str]:
     place, base = layout(spark, "medallion")
     calendar = calendar_extended(spark, SILVER_START, SILVER_END, as_of=SILVER_END, end_inclusive=True)
     return run_medallion(spark, insurance(spark, sf_dir), "row_no", calendar, place, base, increment), place, base
@@ -308,10 +309,26 @@ def increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM silver GROUP BY 1, 2, 3""",
 )
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after an increment, refreshed load by load."""
     names, _, _ = _medallion(spark, sf_dir, "increment-1")
     return spark.table(names["gold_provider_month"])
 
 
+@query(
+    "gold_refresh_region",
+    f"""WITH {INCREMENT_SQL} SELECT r.region AS region_name, smoker, COUNT(*) AS num_events,
+      {total("charge_amount")} AS total_charges, {mean("charge_amount")} AS avg_charges
+    FROM silver s LEFT JOIN dim_region r ON s.region_key = r.region_key GROUP BY 1, 2""",
+)
+def gold_refresh_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After an increment and a rebuild of silver, gold from all of silver takes the place of gold by load."""
+    names, place, _ = _medallion(spark, sf_dir, "increment-1")
+    rebuild_silver(spark, names["bronze"], _dims(spark, names), names["silver"], place.location("fact_insurance_silver"))
+    region = spark.table(names["dim_region"]).withColumnRenamed("region", "region_name")
+    refresh_gold(spark, names["silver"], region, gold_tables(place))
+    return spark.table(names["gold_region_smoker"])
+
+
 @query(
     "medallion",
     f"""WITH {INCREMENT_SQL} SELECT p.preferred_provider, p.network_tier, r.region AS region_name, COUNT(*) AS num_events,

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..constants import EVENT_SCHEMA, INCREMENT_PREFIX, INCREMENT_ROWS
 from ..operators.rows import top_rows
-from ..sinks.tables import overwrite_partitions, write_table
+from ..sinks.tables import overwrite_partitions
 from ..sources.streams import stream_json
 
 LOAD = "load_id"
@@ -30,12 +30,6 @@ def drain(stream: DataFrame, publish, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def ensure_table(rows: DataFrame, table: str, location: str | None = None) -> None:
-    """Create the table without rows if it is not there, so that readers find it before the first load."""
-    if not rows.sparkSession.catalog.tableExists(table):
-        write_table(rows.where(F.lit(False)), table, partition_by=[LOAD], path=location)
-
-
 def ingest_bronze(
     spark: SparkSession,
     path: str,

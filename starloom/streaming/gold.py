@@ -1,11 +1,37 @@
-"""Gold: aggregates refreshed from silver."""
+"""Gold: aggregates refreshed from silver, as a whole or load by load.
+
+Read as a whole, silver is scanned again at every refresh. Load by load, each silver load is reduced once, when it changes, and
+kept as a partition of a small table; a refresh only adds those reductions up. Both give the same rows.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.gold import provider_month_of, reduce_by_provider, reduce_by_region, region_smoker_of
+from ..sinks.tables import overwrite_partitions, refresh_table, write_table
+from .bronze import LOAD
+
+
+@dataclass(frozen=True)
+class GoldTables:
+    """Names of the two gold tables; with `root`, they are external below it."""
 
-from ..plans.gold import gold_provider_month, gold_region_smoker
-from ..sinks.tables import refresh_table, write_table
+    region_smoker: str
+    provider_month: str
+    root: str | None = None
+
+    def location(self, table: str) -> str | None:
+        return f"{self.root}/{table}" if self.root else None
+
+    @property
+    def reduced(self) -> tuple[str, str]:
+        """Names of the tables that hold one reduction per silver load."""
+        return f"{self.region_smoker}_by_load", f"{self.provider_month}_by_load"
 
 
 def overwrite_rows(df: DataFrame, table: str, location: str | None = None) -> None:
@@ -20,15 +46,25 @@ def overwrite_rows(df: DataFrame, table: str, location: str | None = None) -> No
     spark.catalog.dropTempView(view)
 
 
-def refresh_gold(
-    spark: SparkSession,
-    silver: str,
-    dim_region: DataFrame,
-    region_smoker: str,
-    provider_month: str,
-    locations: tuple[str | None, str | None] = (None, None),
-) -> None:
-    """Recompute both gold tables from silver. Tables keep no order: sort when reading."""
+def reduce_loads(spark: SparkSession, silver: str, gold: GoldTables, loads: Sequence[str] | None = None) -> None:
+    """Reduce the given silver loads, or all of them after a rebuild, and keep the reductions."""
     rows = spark.table(silver)
-    overwrite_rows(gold_region_smoker(rows, dim_region), region_smoker, locations[0])
-    overwrite_rows(gold_provider_month(rows), provider_month, locations[1])
+    if loads is not None:
+        rows = rows.where(F.col(LOAD).isin(list(loads)))
+    by_region, by_provider = gold.reduced
+    for table, reduced in ((by_region, reduce_by_region(rows, [LOAD])), (by_provider, reduce_by_provider(rows, [LOAD]))):
+        if loads is None:
+            write_table(reduced, table, partition_by=[LOAD], path=gold.location(table))
+        else:
+            overwrite_partitions(reduced, table, [LOAD], gold.location(table))
+
+
+def refresh_gold(spark: SparkSession, silver: str, dim_region: DataFrame, gold: GoldTables, by_load: bool = False) -> None:
+    """Refresh both gold tables, from silver or from its reductions. Tables keep no order: sort when reading."""
+    if by_load:
+        by_region, by_provider = (spark.table(t) for t in gold.reduced)
+    else:
+        rows = spark.table(silver)
+        by_region, by_provider = reduce_by_region(rows), reduce_by_provider(rows)
+    overwrite_rows(region_smoker_of(by_region, dim_region), gold.region_smoker, gold.location(gold.region_smoker))
+    overwrite_rows(provider_month_of(by_provider), gold.provider_month, gold.location(gold.provider_month))

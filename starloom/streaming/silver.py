@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.facts import build_silver
 from ..sinks.tables import overwrite_partitions, write_table
 from ..sources.streams import stream_table
-from .bronze import LOAD, drain, ensure_table
+from .bronze import LOAD, drain
 
 Dims = Mapping[str, DataFrame]
 
@@ -20,36 +20,53 @@ def stream_silver(spark: SparkSession, bronze: str, dims: Dims) -> DataFrame:
     return build_silver(stream_table(spark, bronze), dims, keep=[LOAD])
 
 
+def _ensure_table(spark: SparkSession, bronze: str, dims: Dims, table: str, location: str | None) -> None:
+    """Create silver without rows where no load has created it, so that readers find it."""
+    if not spark.catalog.tableExists(table):
+        empty = build_silver(spark.table(bronze).where(F.lit(False)), dims, keep=[LOAD])
+        write_table(empty, table, partition_by=[LOAD], path=location)
+
+
 def append_silver(
     spark: SparkSession, bronze: str, dims: Dims, table: str, checkpoint: str, location: str | None = None
 ) -> None:
     """Append the enriched rows of bronze files that are new. For a bronze table whose loads are never written again."""
-    ensure_table(build_silver(spark.table(bronze), dims, keep=[LOAD]), table, location)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(batch.withColumn(LOAD, F.lit(f"silver-{batch_id}")), table, [LOAD])
+        overwrite_partitions(batch.withColumn(LOAD, F.lit(f"silver-{batch_id}")), table, [LOAD], location)
 
     drain(stream_silver(spark, bronze, dims), publish, checkpoint)
+    _ensure_table(spark, bronze, dims, table, location)
 
 
 def enrich_silver(
-    spark: SparkSession, bronze: str, dims: Dims, table: str, checkpoint: str, location: str | None = None
+    spark: SparkSession,
+    bronze: str,
+    dims: Dims,
+    table: str,
+    checkpoint: str,
+    location: str | None = None,
+    after: Callable[[Sequence[str]], None] | None = None,
 ) -> None:
     """Bring silver up to date with the bronze loads that were written since the last run.
 
     The stream tells which loads changed; each of them is enriched again as a whole and replaces its silver partition. A load
     that is written twice, a replayed micro-batch, and files of one load spread over micro-batches all end with the same
     rows, without comparing ids and without reading the rest of silver. Number of loads per run: one per bronze write.
+
+    `after` is called with the loads once they are in silver, and again when a micro-batch is replayed.
     """
-    ensure_table(build_silver(spark.table(bronze), dims, keep=[LOAD]), table, location)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         loads = [row[LOAD] for row in batch.select(LOAD).distinct().collect()]
         if loads:
             changed = spark.table(bronze).where(F.col(LOAD).isin(loads))
-            overwrite_partitions(build_silver(changed, dims, keep=[LOAD]), table, [LOAD])
+            overwrite_partitions(build_silver(changed, dims, keep=[LOAD]), table, [LOAD], location)
+            if after:
+                after(loads)
 
     drain(stream_table(spark, bronze), publish, checkpoint)
+    _ensure_table(spark, bronze, dims, table, location)
 
 
 def rebuild_silver(spark: SparkSession, bronze: str, dims: Dims, table: str, location: str | None = None) -> None:

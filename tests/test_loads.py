@@ -29,7 +29,7 @@ from starloom.sources.files import extract_columns, lookup_table, read_csv, read
 from starloom.sources.jdbc import Partitioning, sqlserver_settings, sqlserver_url, table_options
 from starloom.sources.streams import stream_json, stream_table
 from starloom.streaming.bronze import append_increment, drain, ingest_bronze
-from starloom.streaming.gold import refresh_gold
+from starloom.streaming.gold import GoldTables, reduce_loads, refresh_gold
 from starloom.streaming.silver import append_silver, enrich_silver, rebuild_silver, stream_silver
 
 
@@ -278,16 +278,50 @@ def test_gold_is_refreshed_in_place(flow):
     flow.ingest()
     flow.enrich()
     region = spark.createDataFrame([(1, "west")], "region_key bigint, region_name string")
-    names = (f"{flow.label}_g1", f"{flow.label}_g2")
-    refresh_gold(spark, flow.silver, region, *names)
-    first = rows(spark.table(names[0]))
-    assert sum(r[2] for r in first) == 20
+    gold = GoldTables(f"{flow.label}_g1", f"{flow.label}_g2")
+    refresh_gold(spark, flow.silver, region, gold)
+    assert sum(r[2] for r in rows(spark.table(gold.region_smoker))) == 20
     append_increment(spark, flow.bronze, "increment-1")
     flow.enrich()
-    refresh_gold(spark, flow.silver, region, *names)
-    assert sum(r[2] for r in rows(spark.table(names[0]))) == 40
-    assert rows(spark.table(names[1])) == rows(gold_provider_month(spark.table(flow.silver)))
-    reset(spark, names)
+    refresh_gold(spark, flow.silver, region, gold)
+    assert sum(r[2] for r in rows(spark.table(gold.region_smoker))) == 40
+    assert rows(spark.table(gold.provider_month)) == rows(gold_provider_month(spark.table(flow.silver)))
+    reset(spark, [gold.region_smoker, gold.provider_month])
+
+
+def test_gold_load_by_load_equals_gold_of_all(flow):
+    spark = flow.spark
+    region = spark.createDataFrame([(1, "west")], "region_key bigint, region_name string")
+    whole, parts = (GoldTables(f"{flow.label}_{n}1", f"{flow.label}_{n}2") for n in "wp")
+    reduced = []
+
+    def load():
+        def after(loads):
+            reduced.append(sorted(loads))
+            reduce_loads(spark, flow.silver, parts, loads)
+
+        enrich_silver(spark, flow.bronze, flow.dims, flow.silver, f"{flow.folder}/cp_silver", after=after)
+        refresh_gold(spark, flow.silver, region, whole)
+        refresh_gold(spark, flow.silver, region, parts, by_load=True)
+        assert rows(spark.table(parts.region_smoker)) == rows(spark.table(whole.region_smoker))
+        assert rows(spark.table(parts.provider_month)) == rows(spark.table(whole.provider_month))
+        return sum(r[2] for r in rows(spark.table(parts.region_smoker)))
+
+    flow.arrive(1, 1, 20)
+    flow.ingest()
+    assert load() == 20
+    flow.arrive(2, 21, 30)
+    flow.ingest()
+    append_increment(spark, flow.bronze, "increment-1", 5)
+    assert load() == 35
+    assert load() == 35
+    append_increment(spark, flow.bronze, "increment-1", 3)
+    assert load() == 33
+    assert reduced == [["stream-0"], ["increment-1", "stream-1"], ["increment-1"]]
+    rebuild_silver(spark, flow.bronze, flow.dims, flow.silver)
+    reduce_loads(spark, flow.silver, parts)
+    assert load() == 33
+    reset(spark, [t for g in (whole, parts) for t in (g.region_smoker, g.provider_month)] + list(parts.reduced))
 
 
 def test_streams_read_folders_and_tables(flow):
