@@ -82,27 +82,25 @@ def reduce_by_provider(silver: DataFrame, more: Sequence[str] = (), day: str = "
 
 
 def region_smoker_of(reduced: DataFrame, dim_region: DataFrame) -> DataFrame:
-    """Charges by region name and smoker flag from reduced rows, of one reduction or of several."""
+    """Charges by region name and smoker flag from reduced rows, of one reduction or of several; in no order."""
     side = Side(dim_region, {"region_key": "region_key"}, {"region_name": "region_name"}, "left")
-    by = ["region_name", "smoker"]
-    return finish(attach(reduced, side), by).orderBy(F.desc("total_charges"), *by)
+    return finish(attach(reduced, side), ["region_name", "smoker"])
 
 
 def provider_month_of(reduced: DataFrame) -> DataFrame:
-    """Charges by provider, tier and month from reduced rows, of one reduction or of several."""
-    by = ["preferred_provider", "network_tier"]
-    result = _with_month(finish(reduced, PROVIDER_KEYS), [*by, "event_month", *_MEASURES])
-    return result.orderBy("event_month", F.desc("total_charges"), *by)
+    """Charges by provider, tier and month from reduced rows, of one reduction or of several; in no order."""
+    return _with_month(finish(reduced, PROVIDER_KEYS), ["preferred_provider", "network_tier", "event_month", *_MEASURES])
 
 
 def gold_region_smoker(silver: DataFrame, dim_region: DataFrame) -> DataFrame:
     """Charges by region name and smoker flag, largest total first; rows without a region stay, under NULL."""
-    return region_smoker_of(reduce_by_region(silver), dim_region)
+    return region_smoker_of(reduce_by_region(silver), dim_region).orderBy(F.desc("total_charges"), "region_name", "smoker")
 
 
 def gold_provider_month(silver: DataFrame, day: str = "event_date", amount: str = "charge_amount") -> DataFrame:
     """Charges by provider, tier and month, in month order and largest total first."""
-    return provider_month_of(reduce_by_provider(silver, (), day, amount))
+    result = provider_month_of(reduce_by_provider(silver, (), day, amount))
+    return result.orderBy("event_month", F.desc("total_charges"), "preferred_provider", "network_tier")
 
 
 def gold_region_smoker_rounded(fact: DataFrame, dim_region: DataFrame, dim_profile: DataFrame) -> DataFrame:

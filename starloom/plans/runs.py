@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, INTERVALS
 from ..operators.checks import row_counts
 from ..operators.ids import dense_id
+from ..operators.staging import scratch
 from ..sinks.files import write_json_batches
 from ..sinks.tables import reset, write_table
 from ..streaming.bronze import append_increment, ingest_bronze
@@ -32,6 +34,17 @@ from .facts import add_event_date, build_claims, build_events, build_fact
 from .gold import gold_month, gold_region_smoker_rounded
 
 
+def _scratched(run):
+    """Delete the run's staged intermediate results at its end; what it returns lies in tables."""
+
+    @wraps(run)
+    def wrapped(*args, **kwargs):
+        with scratch(SparkSession.getActiveSession()):
+            return run(*args, **kwargs)
+
+    return wrapped
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a run keeps its tables and files. `prefix` starts every table name; with `root`, tables are external below it."""
@@ -67,6 +80,7 @@ def gold_tables(layout: Layout) -> GoldTables:
     return GoldTables(*names, root=f"{layout.root}/tables" if layout.root else None)
 
 
+@_scratched
 def run_medallion(
     spark: SparkSession,
     insurance: DataFrame,
@@ -137,6 +151,7 @@ def run_medallion(
     }
 
 
+@_scratched
 def run_batch(
     spark: SparkSession, insurance: DataFrame, order: str | None, layout: Layout, date_source: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -161,6 +176,7 @@ def run_batch(
     }
 
 
+@_scratched
 def run_mart(
     insurance: DataFrame, providers: DataFrame, order: str | None, layout: Layout, year: int = CLAIM_YEAR
 ) -> dict[str, DataFrame]:

@@ -7,23 +7,20 @@ from pyspark.sql import functions as F
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR
 from ..operators.checks import check_fk, unmatched
-from ..operators.ids import dense_id
 from ..operators.joins import lookup
-from ..plans.calendar import calendar_basic, calendar_extended
+from ..operators.staging import stage
+from ..plans.calendar import calendar_extended
 from ..plans.dimensions import (
-    build_dim_insured,
     build_dim_member,
     build_dim_plan,
     build_dim_region,
     build_profile_dim,
-    build_region_enriched,
     conform_provider,
-    derive_insured,
     number_rows,
     provider_rows,
-    type_rows,
 )
-from ..plans.facts import add_event_date, build_claims, build_events, build_fact, build_silver
+from ..plans.facts import add_event_date, build_events, build_fact, build_silver
+from ..plans.runs import run_mart
 from .base import (
     EVENTS_SQL,
     NUMBERED_SQL,
@@ -32,6 +29,7 @@ from .base import (
     SILVER_START,
     TYPED_SQL,
     insurance,
+    layout,
     query,
     table,
 )
@@ -41,7 +39,7 @@ def member_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Numbered rows, and the region, member and risk-profile dimensions."""
     rows = number_rows(insurance(spark, sf_dir), "row_no")
     region = build_dim_region(rows)
-    member = build_dim_member(rows, region, keep_region=True)
+    member = stage(build_dim_member(rows, region, keep_region=True), "member")
     return {"rows": rows, "region": region, "member": member, "profile": build_profile_dim(member)}
 
 
@@ -59,7 +57,7 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str
     """Silver in one batch, and its dimensions."""
     rows = number_rows(insurance(spark, sf_dir), "row_no")
     region = build_dim_region(rows)
-    dims = silver_dims(spark, region, build_dim_member(rows, region, keep_region=True))
+    dims = silver_dims(spark, region, stage(build_dim_member(rows, region, keep_region=True), "member"))
     return build_silver(build_events(rows), dims), dims
 
 
@@ -82,15 +80,10 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def claims_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The claims mart's fact and dimensions."""
-    insured = dense_id(derive_insured(type_rows(insurance(spark, sf_dir))), "row_no", "claim_key")
-    dim_insured = build_dim_insured(insured, "claim_key")
-    dim_region = build_region_enriched(insured, providers(spark, sf_dir))
-    return {
-        "insured": dim_insured,
-        "region": dim_region,
-        "date": calendar_basic(spark, f"{CLAIM_YEAR}-01-01", f"{CLAIM_YEAR}-12-31"),
-        "claims": build_claims(insured, dim_insured, dim_region),
-    }
+    place, _ = layout(spark, "claims")
+    built = run_mart(insurance(spark, sf_dir), providers(spark, sf_dir), "row_no", place)
+    names = {"insured": "dim_insured", "region": "dim_region", "date": "dim_date", "claims": "fact_claims"}
+    return {short: built[name] for short, name in names.items()}
 
 
 INSURED_SQL = (

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.staging import stage
+from ..operators.staging import delete_path, scratch, stage
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -40,7 +40,8 @@ def write_table(
 
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Overwrite a table by rows that may come from that same table: they are written aside first."""
-    write_table(stage(df, "replace"), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
+    with scratch(df.sparkSession):
+        write_table(stage(df, "replace"), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -84,12 +85,6 @@ def load_mart(tables: Mapping[str, DataFrame], fmt: str = "parquet") -> None:
         append_table(df, name, fmt)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def reset(spark: SparkSession, tables: Sequence[str], paths: Sequence[str] = ()) -> None:
     """Drop tables and delete the folders that belong to them: external data and the checkpoints of the streams that fill them.
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from datetime import date, timedelta
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from starloom.constants import INSURANCE_SCHEMA, SILVER_COLUMNS
 from starloom.operators.ids import dense_id
+from starloom.operators.staging import shared_dir
 from starloom.plans.calendar import calendar_basic, calendar_extended
 from starloom.plans.dimensions import (
     build_dim_insured,
@@ -227,6 +229,14 @@ def test_batch_run(spark, landed):
     assert rows(again["fact_insurance_silver"]) == before
 
 
+def test_runs_leave_no_intermediate_results(spark, landed):
+    folder = f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(folder))
+    tables = run_batch(spark, landed, None, Layout("clean_test_"))
+    assert set(os.listdir(folder)) == before
+    assert tables["fact_insurance_silver"].count() == 10
+
+
 def test_batch_run_with_a_foreign_calendar(spark, landed):
     foreign = spark.createDataFrame([("20190102", "2019-01-02")], "DateKey string, Date string")
     tables = run_batch(spark, landed, "row_no", Layout("batch_foreign_"), foreign)
