@@ -11,7 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+_scratch: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,9 +36,9 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the rows once and read them back: cuts lineage, survives lost executors, and gives later steps fixed rows."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    scratch_paths = _scratch.get()
-    if scratch_paths is not None:
-        scratch_paths.append(path)
+    staged = _scratch.get()
+    if staged is not None:
+        staged.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,13 +50,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch() -> Iterator[None]:
     """Delete what is staged inside once it is left. For runs whose results are all written as tables by then."""
-    paths: list[str] = []
-    token = _scratch.set(paths)
+    staged: list[tuple[SparkSession, str]] = []
+    token = _scratch.set(staged)
     try:
         yield
     finally:
         _scratch.reset(token)
-        for path in paths:
+        for spark, path in staged:
             delete_path(spark, path)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,17 +33,6 @@ from .facts import add_event_date, build_claims, build_events, build_fact
 from .gold import gold_month, gold_region_smoker_rounded
 
 
-def _scratched(run):
-    """Delete the run's staged intermediate results at its end; what it returns lies in tables."""
-
-    @wraps(run)
-    def wrapped(*args, **kwargs):
-        with scratch(SparkSession.getActiveSession()):
-            return run(*args, **kwargs)
-
-    return wrapped
-
-
 @dataclass(frozen=True)
 class Layout:
     """Where a run keeps its tables and files. `prefix` starts every table name; with `root`, tables are external below it."""
@@ -80,7 +68,7 @@ def gold_tables(layout: Layout) -> GoldTables:
     return GoldTables(*names, root=f"{layout.root}/tables" if layout.root else None)
 
 
-@_scratched
+@scratch()
 def run_medallion(
     spark: SparkSession,
     insurance: DataFrame,
@@ -95,7 +83,7 @@ def run_medallion(
     A run starts anew: streamed tables of an earlier one go together with their checkpoints.
     `order` is a unique column that fixes member ids, None for the order the rows are read in; `base` is the folder for event
     files and checkpoints.
-    Returns the table names.
+    Returns the table names. Intermediate results are deleted at the end.
     """
     for name in ("fact_insurance_bronze", "fact_insurance_silver"):
         reset_stream(spark, layout, base, name)
@@ -151,7 +139,7 @@ def run_medallion(
     }
 
 
-@_scratched
+@scratch()
 def run_batch(
     spark: SparkSession, insurance: DataFrame, order: str | None, layout: Layout, date_source: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -176,7 +164,7 @@ def run_batch(
     }
 
 
-@_scratched
+@scratch()
 def run_mart(
     insurance: DataFrame, providers: DataFrame, order: str | None, layout: Layout, year: int = CLAIM_YEAR
 ) -> dict[str, DataFrame]:

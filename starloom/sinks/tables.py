@@ -40,7 +40,7 @@ def write_table(
 
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Overwrite a table by rows that may come from that same table: they are written aside first."""
-    with scratch(df.sparkSession):
+    with scratch():
         write_table(stage(df, "replace"), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
 
 
