@@ -30,6 +30,12 @@ def drain(stream: DataFrame, publish, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def refresh(spark: SparkSession, table: str) -> None:
+    """Let this session see what a stream, which runs in a session of its own, has written."""
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
+
+
 def ingest_bronze(
     spark: SparkSession,
     path: str,
@@ -45,6 +51,7 @@ def ingest_bronze(
         overwrite_partitions(batch.withColumn(LOAD, F.lit(f"{STREAM_LOAD}{batch_id}")), table, [LOAD], location)
 
     drain(stream_json(spark, path, schema, max_files), publish, checkpoint)
+    refresh(spark, table)
 
 
 def append_increment(spark: SparkSession, bronze: str, load_id: str, n: int = INCREMENT_ROWS) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.facts import build_silver
 from ..sinks.tables import overwrite_partitions, write_table
 from ..sources.streams import stream_table
-from .bronze import LOAD, drain
+from .bronze import LOAD, drain, refresh
 
 Dims = Mapping[str, DataFrame]
 
@@ -36,6 +36,7 @@ def append_silver(
         overwrite_partitions(batch.withColumn(LOAD, F.lit(f"silver-{batch_id}")), table, [LOAD], location)
 
     drain(stream_silver(spark, bronze, dims), publish, checkpoint)
+    refresh(spark, table)
     _ensure_table(spark, bronze, dims, table, location)
 
 
@@ -60,12 +61,14 @@ def enrich_silver(
     def publish(batch: DataFrame, batch_id: int) -> None:
         loads = [row[LOAD] for row in batch.select(LOAD).distinct().collect()]
         if loads:
+            refresh(spark, bronze)
             changed = spark.table(bronze).where(F.col(LOAD).isin(loads))
             overwrite_partitions(build_silver(changed, dims, keep=[LOAD]), table, [LOAD], location)
             if after:
                 after(loads)
 
     drain(stream_table(spark, bronze), publish, checkpoint)
+    refresh(spark, table)
     _ensure_table(spark, bronze, dims, table, location)
 
 
