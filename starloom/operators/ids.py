@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,8 +15,6 @@ from .staging import stage
 KEY_ROWS_ONE_TASK = 1_000_000
 
 _POSITION = "__position"
-_PART = "__part"
-_BASE = "__base"
 _TIE = "__tie"
 # monotonically_increasing_id() holds the partition above bit 33 and the row number below it.
 _PART_SHIFT = 33
@@ -33,8 +33,8 @@ def dense_id(
 ) -> DataFrame:
     """Add ids 1..n in the given order, as one `row_number` over all rows would, but in parallel.
 
-    The rows are ranged and sorted once and written; every range then only needs the number of rows before it, a table of
-    one row per partition. Say `unique=False` when the order has ties: the rows are then fixed first and equal ones are told
+    The rows are ranged and sorted once and written; every range then only needs the number of rows before it, one number
+    per written range, which the projection that reads the rows carries along. Say `unique=False` when the order has ties: the rows are then fixed first and equal ones are told
     apart by content and position, so that even many copies of one row spread over several ranges.
 
     Without an order (None) rows are numbered as they are read, a file's rows in file order, and nothing is shuffled.
@@ -48,19 +48,13 @@ def dense_id(
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     positioned = ranged.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(_POSITION))
     fixed = stage(positioned, "ranged")
-    part = F.shiftright(_POSITION, _PART_SHIFT)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        fixed.groupBy(part.alias(_PART))
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_BASE))
-    )
+    part = F.shiftright(_POSITION, _PART_SHIFT).cast("int")
+    counted = fixed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per written range
+    sizes = {row.part: row.n for row in counted}
+    before = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
+    bases = F.from_json(F.lit(json.dumps(before)), "array<bigint>")
     row_in_part = F.col(_POSITION).bitwiseAND(F.lit((1 << _PART_SHIFT) - 1))
-    return (
-        fixed.withColumn(_PART, part)
-        .join(F.broadcast(bases), _PART)  # one row per written range, whatever the data size
-        .select(*[F.col(f"`{c}`") for c in columns], (F.col(_BASE) + row_in_part + 1).alias(name))
-    )
+    return fixed.select(*[F.col(f"`{c}`") for c in columns], (F.get(bases, part) + row_in_part + 1).alias(name))
 
 
 def surrogate_key(
