@@ -105,9 +105,8 @@ c as (
          coalesce(sum(cap) over (order by cast(cap as double) / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as capped,
          sum(w) over (order by cast(cap as double) / w desc, source desc nulls first rows between unbounded preceding and current row) as open_w
   from w),
-l as (select min(cast(total - capped as double) / cast(open_w as double))
-             filter (where cast(total - capped as double) / cast(open_w as double) * w <= cap) as level from c),
-t as (select source, source_size, least(cast(cap as double), coalesce(level, 1e300) * w) as target from c, l),
+l as (select max(cast(total - capped as double) / cast(open_w as double)) as level from c),
+t as (select source, source_size, least(cast(cap as double), level * w) as target from c, l),
 p as (select d.*, row_number() over (partition by source order by size, tie, doc_id) - 1 as pos from d),
 r as (
   select p.doc_id, p.size, t.source_size, t.target, p.pos,
