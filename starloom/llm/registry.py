@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import mixing, packing, sharding
+from . import mixing, packing, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,8 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op4_mix": _over(mixing.op4, "documents"),
     "op7_bounded_ring": _over(sharding.op7, "documents"),
+    "op8_crf": _over(toxicity.op8, "documents", "labels"),
+    "op9_subword": _over(quality.op9, "documents", "labels"),
     "op10_best_fit": _over(packing.op10, "documents"),
 }
 
