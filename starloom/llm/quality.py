@@ -21,7 +21,7 @@ THRESHOLD = 0.3
 class Settings:
     """Documented bounds and shape of the model."""
 
-    most_labelled: int = 6000  # labelled documents that the model is fitted on, at most (about)
+    most_labelled: int = 2500  # labelled documents that the model is fitted on, at most (about)
     buckets: int = 1 << 17
     shortest: int = 3  # characters of a character n-gram, with the marks of the word's ends
     longest: int = 5
@@ -131,9 +131,11 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings, column: str =
             )
 
     sample = training_rows(docs, labels, column, FOLDS, HELD_OUT_FOLD, settings.most_labelled)
-    rows = sample.mapInPandas(featured, "doc_id bigint, label int, ids binary, shares binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.ids)))
-    return fit([(np.frombuffer(r.ids, "<i4"), np.frombuffer(r.shares, "<f4").astype(float), r.label) for r in rows], settings)
+    found = sample.mapInPandas(featured, "doc_id bigint, label int, ids binary, shares binary").toArrow()
+    found = found.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
+    columns = zip(found["ids"], found["shares"], found["label"])
+    rows = [(np.frombuffer(i.as_buffer(), "<i4"), np.frombuffer(s.as_buffer(), "<f4"), y.as_py()) for i, s, y in columns]
+    return fit(rows, settings)
 
 
 def score(docs: DataFrame, odds: np.ndarray, bias: float, settings: Settings) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import cleaning, mixing, packing, quality, secrets, sharding, toxicity
+from . import cleaning, linededup, mixing, packing, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op2_layers": _over(secrets.op2, "documents"),
     "op4_mix": _over(mixing.op4, "documents"),
+    "op5_patience_lines": _over(linededup.op5, "documents"),
     "op6_line_first": _over(cleaning.op6, "documents"),
     "op7_bounded_ring": _over(sharding.op7, "documents"),
     "op8_crf": _over(toxicity.op8, "documents", "labels"),

@@ -24,13 +24,13 @@ SPAN = "array<struct<start:int,end:int,probability:double>>"
 class Settings:
     """Documented bounds and shape of the model."""
 
-    most_labelled: int = 6000  # labelled documents that the model is fitted on, at most (about)
-    buckets: int = 1 << 18
+    most_labelled: int = 4000  # labelled documents that the model is fitted on, at most (about)
+    buckets: int = 1 << 20
     shortest: int = 3  # characters of a prefix or suffix
     longest: int = 8
     least_share: float = 0.6  # share of contexts in toxic documents from which a part of a word may mark toxicity
     segment: int = 200  # tokens of a training sequence; scoring always takes whole texts
-    segments: int = 12_000  # training sequences, those with toxic tokens first
+    segments: int = 8_000  # training sequences, those with toxic tokens first
     rounds: int = 40
     rate: float = 0.5
     decay: float = 1e-6
@@ -51,12 +51,13 @@ class Tokens(dict):
         super().__init__()
         self.settings = settings
         self.names: list[str] = []
-        self.buckets: list[list[int]] = []
+        self.buckets: list[np.ndarray] = []
 
     def __missing__(self, token: str) -> int:
         place = self[token] = len(self.names)
         self.names.append(token)
-        self.buckets.append([zlib.crc32(p.encode("utf-8", "replace")) % self.settings.buckets for p in parts(token, self.settings)])
+        hashes = [zlib.crc32(p.encode("utf-8", "replace")) % self.settings.buckets for p in parts(token, self.settings)]
+        self.buckets.append(np.array(hashes, dtype=np.int32))
         return place
 
     def text(self, text: str) -> np.ndarray:
@@ -104,51 +105,43 @@ def marginals(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves:
     return joint / (1 + joint), forward
 
 
-def label_tokens(texts: Sequence[str], toxic: Sequence[int], settings: Settings) -> set[str]:
-    """Parts of words that mark toxic documents: labelled tokens are those of toxic documents that have such a part.
+def mark_parts(tokens: Tokens, docs: Sequence[np.ndarray], toxic: np.ndarray, settings: Settings) -> np.ndarray:
+    """Buckets of word parts that mark toxic documents: labelled tokens are those of toxic documents that have such a part.
 
-    A part is judged by its contexts (the token before it), counted once each on either side, so that copies of one text
-    count once. It marks toxicity if most of its contexts are in toxic documents and so many cannot be chance, given
-    the number of parts tried.
+    A part is judged by its contexts (the token before it, in lower case), counted once each on either side, so that copies
+    of one text count once. It marks toxicity if most of its contexts are in toxic documents and so many cannot be chance,
+    given the number of parts tried.
     """
-    seen: dict[str, list[int]] = {}
-    contexts: set[tuple[str, str]] = set()
-    sides = [0, 0]
-    for text, label in zip(texts, toxic):
-        before = ""
-        for token in TOKEN.findall(text):
-            token = token.lower()
-            if (before, token, label) not in contexts:
-                contexts.add((before, token, label))
-                sides[label] += 1
-                seen.setdefault(token, [0, 0])[label] += 1
-            before = token
-    counts: dict[str, list[int]] = {}
-    for token, (clean, bad) in seen.items():
-        for part in parts(token, settings):
-            held = counts.setdefault(part, [0, 0])
-            held[0] += clean
-            held[1] += bad
-    if not sides[0] or not sides[1]:
-        return set()
-    chance = sides[1] / (sides[0] + sides[1])
-    needed = np.log(max(len(counts), 2)) + 3.0
-    marks = set()
-    for part, (clean, bad) in counts.items():
-        share = bad / (clean + bad)
-        if bad and share >= settings.least_share:
-            gain = bad * np.log(share / chance) + (clean * np.log((1 - share) / (1 - chance)) if clean else 0.0)
-            if gain >= needed:
-                marks.add(part)
-    return marks
+    lower: dict[str, int] = {}
+    word_of = np.array([lower.setdefault(t.lower(), len(lower)) for t in tokens.names], dtype=np.int64)
+    sample_of = np.zeros(len(lower), dtype=np.int64)
+    sample_of[word_of] = np.arange(len(word_of))  # one token for each word in lower case
+    sides = []
+    for label in (0, 1):
+        chosen = [word_of[d] for d, y in zip(docs, toxic) if y == label and len(d)]
+        pairs = [np.unique(np.concatenate([[len(lower)], d[:-1]]) * (len(lower) + 1) + d) for d in chosen]
+        contexts = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        sides.append(np.bincount(contexts % (len(lower) + 1), minlength=len(lower)))
+    marks = np.zeros(settings.buckets, dtype=bool)
+    if not len(lower) or not sides[0].sum() or not sides[1].sum():
+        return marks
+    sizes = np.array([len(tokens.buckets[t]) for t in sample_of])
+    columns = np.concatenate([tokens.buckets[t] for t in sample_of])
+    clean, bad = (np.bincount(columns, np.repeat(side, sizes), settings.buckets) for side in sides)
+    chance = sides[1].sum() / (sides[0].sum() + sides[1].sum())
+    needed = np.log(max(int(((clean + bad) > 0).sum()), 2)) + 3.0
+    share = np.divide(bad, clean + bad, out=np.zeros_like(bad), where=clean + bad > 0)
+    rest = np.log(np.maximum(1 - share, 1e-12) / (1 - chance))
+    gain = bad * np.log(np.maximum(share, 1e-12) / chance) + np.where(clean > 0, clean * rest, 0.0)
+    return (share >= settings.least_share) & (gain >= needed)
 
 
 def fit(texts: Sequence[str], toxic: Sequence[int], settings: Settings = Settings()) -> Model:
     """Train the field on labelled tokens by gradient ascent, then the score on the documents' labels."""
-    marks = label_tokens(texts, toxic, settings)
     tokens = Tokens(settings)
     docs = [tokens.text(t) for t in texts]
-    marked = np.array([any(p in marks for p in parts(t, settings)) for t in tokens.names], dtype=bool)
+    marks = mark_parts(tokens, docs, np.array(toxic), settings)
+    marked = np.array([marks[b].any() for b in tokens.buckets], dtype=bool)
     prior = (sum(toxic) + 1) / (len(toxic) + 2)
     if not len(marked) or not marked.any():
         return Model(np.zeros(settings.buckets), np.zeros((2, 2)), 0.0, np.array([np.log(prior / (1 - prior)), 0.0, 0.0]))
@@ -171,7 +164,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], settings: Settings = Setting
     inner[starts] = False
     here = np.flatnonzero(inner)
     sizes = np.array([len(b) for b in tokens.buckets])
-    columns = np.concatenate([np.array(b) for b in tokens.buckets])
+    columns = np.concatenate(tokens.buckets)
     of_token = np.repeat(np.arange(len(sizes)), sizes)
     before, after = truth[here - 1], truth[here]
     wanted = np.array([[((1 - before) * (1 - after)).sum(), ((1 - before) * after).sum()], [(before * (1 - after)).sum(), (before * after).sum()]])
@@ -198,6 +191,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], settings: Settings = Setting
         bias += settings.rate * bias_step / np.sqrt(seen_b)
     model = Model(weights, moves, float(bias), np.zeros(3))
     inputs = np.array([evidence(p) for p in probabilities(tokens, docs, model)])
+    weights = weights.astype(np.float32)
     return Model(weights, moves, float(bias), _scale(inputs, np.array(toxic, dtype=float)))
 
 
@@ -271,8 +265,8 @@ def tag(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataF
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Fit on a bounded sample of labelled rows that are not held out."""
     sample = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT_FOLD, settings.most_labelled)
-    rows = sorted((r.doc_id, r.text, r.label) for r in sample.collect())
-    return fit([t for _, t, _ in rows], [int(y > 0) for _, _, y in rows], settings)
+    rows = sample.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return fit(rows["text"].to_pylist(), [int(y > 0) for y in rows["label"].to_pylist()], settings)
 
 
 def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
