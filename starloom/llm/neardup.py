@@ -99,28 +99,30 @@ def similarity(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndar
 
 
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, key, registers): the key is a 128-bit hash of the words; both are null for texts without words."""
+    """(doc_id, digest, n_shingles, key, registers): the digest is Spark's of the text, the key is a 128-bit hash of the words; key and
+    registers are null for texts without words."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             last: dict[bytes, tuple[int, bytes]] = {}  # copies often follow each other
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, digest, text in zip(batch["doc_id"], batch["digest"], batch["text"]):
                 words = words_of(text)
                 if not words:
-                    rows.append((doc_id, 0, None, None))
+                    rows.append((doc_id, digest, 0, None, None))
                     continue
                 key = xxhash.xxh3_128_digest(b" ".join(words))
                 if key not in last:
                     found = shingles(words, settings.shingle)
                     last[key] = len(found), sketch(found, settings).tobytes()
-                rows.append((doc_id, last[key][0], key, last[key][1]))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key", "registers"])
+                rows.append((doc_id, digest, last[key][0], key, last[key][1]))
+            out = pd.DataFrame(rows, columns=["doc_id", "digest", "n_shingles", "key", "registers"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(sketched, "doc_id bigint, n_shingles bigint, key binary, registers binary")
+    doc_id, text = F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    texts = docs.select(doc_id, F.xxhash64("text").alias("digest"), text)
+    return texts.mapInPandas(sketched, "doc_id bigint, digest bigint, n_shingles bigint, key binary, registers binary")
 
 
 def _buckets(classes: DataFrame, settings: Settings) -> DataFrame:
@@ -189,7 +191,7 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every document.
+    """(doc_id, digest, n_shingles, component_id, kept) for every document; the digest is xxhash64 of the text.
 
     Texts with the same words form a class. Classes that agree in all registers of a band meet in a bucket. Buckets are not
     paired off: each member is paired with the bucket's least key, the pairs that the joint estimate does not rule out are
@@ -241,12 +243,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     named = named.withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = stage(named.join(least, "root").select("key", "component_id"), "named")
-    all_rows = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
+    all_rows = rows.select("doc_id", "digest", "n_shingles", "key").join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return all_rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return all_rows.select("doc_id", "digest", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs)
+    return near_duplicates(docs).drop("digest")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import cleaning, linededup, mixing, neardup, packing, quality, secrets, sharding, toxicity
+from . import cleaning, linededup, mixing, neardup, neighbours, packing, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_learned_partitions": _over(neighbours.op1, "embeddings"),
     "op2_layers": _over(secrets.op2, "documents"),
     "op3_setsketch": _over(neardup.op3, "documents"),
     "op4_mix": _over(mixing.op4, "documents"),
