@@ -190,13 +190,51 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return known.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
+def _strays(members: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) that share a bucket, are not yet in one component and may still be linked; neither is the bucket's least.
+
+    In each bucket only members outside its largest component are paired with others. Most of those are beyond a link with
+    anybody: shingles that no other text in question has cannot be in common, so of texts with n and m shingles, of which r
+    and s are shared at all, at most min(r, s) can be in common. That bound is exact and needs no pairs.
+    """
+    both = ["bucket", "key", "root"]
+    placed = members.join(roots.select(F.col("node").alias("b"), "root"), "b", "left")
+    placed = placed.select("bucket", F.col("b").alias("key"), F.coalesce("root", "b").alias("root"), (F.col("a") == F.col("b")).alias("least"))
+    placed = stage(placed, "placed")
+    counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mains = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    mains = mains.filter("k > 1 and n > 2").select("bucket", "main")
+    open_ = stage(placed.filter("not least").join(mains, "bucket").select(*both, "main"), "open")
+
+    def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, hashes in zip(batch["key"], batch["hashes"]):
+                yield pd.DataFrame({"hash": np.frombuffer(hashes, "<i8"), "key": key})
+
+    asked = sets.join(open_.select("key").distinct(), "key").mapInPandas(exploded, "hash bigint, key binary")
+    alone = asked.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.first("key").alias("key")).filter("n = 1")
+    alone = alone.groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = classes.select("key", "n_shingles").join(open_.select("key").distinct(), "key").join(alone, "key", "left")
+    size = F.col("n_shingles")
+    sizes = sizes.select("key", size.alias("n"), (size - F.coalesce("alone", F.lit(0))).alias("shared"))
+    sizes = sizes.filter(F.col("shared") * 100 >= F.col("n") * settings.percent)  # else linked with nothing
+    able = stage(open_.join(sizes, "key"), "able")
+    one = able.filter("root <> main").select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("key", "root", "n", "shared")])
+    two = able.select("bucket", "main", *[F.col(c).alias(f"{c}_b") for c in ("key", "root", "n", "shared")])
+    common = F.least("shared_a", "shared_b")
+    fits = common * 100 >= (F.col("n_a") + F.col("n_b") - common) * settings.percent
+    once = (F.col("root_b") == F.col("main")) | (F.col("key_a") < F.col("key_b"))
+    pairs = one.join(two, "bucket").filter((F.col("root_a") != F.col("root_b")) & once & fits)
+    return pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, digest, n_shingles, component_id, kept) for every document; the digest is xxhash64 of the text.
 
     Texts with the same words form a class. Classes that agree in all registers of a band meet in a bucket. Buckets are not
     paired off: each member is paired with the bucket's least key, the pairs that the joint estimate does not rule out are
-    confirmed on full sets, and the links give components. Members of a bucket that are then in different components
-    are paired with each other, so that a link between any two members is found. At the threshold a band agrees with
+    confirmed on full sets, and the links give components. Members of a bucket that are then outside its largest component are
+    paired with the others as far as an exact bound allows, so that a link between any two members is found. At the threshold a band agrees with
     probability 0.85 ** 5, so 32 bands miss a link of 85% with probability 7e-9.
 
     Null and empty texts have no set and are linked with nothing; null doc_ids take part but name no component (their
@@ -215,28 +253,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     members = stage(buckets.join(leaders, "bucket").select("bucket", "a", F.col("key").alias("b")), "members")
     stars = stage(_likely(members.filter("a < b").select("a", "b").distinct(), classes, settings), "stars")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        return stage(_sets(docs, classes.select("key", "rep").join(ends, "key"), settings), "sets")
-
-    sets = sets_of(stars)
+    met = classes.select("key", "rep").join(members.select(F.col("b").alias("key")).distinct(), "key")
+    sets = stage(_sets(docs, met, settings), "sets")
     nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")  # one check for most documents
     links = stage(_confirmed(nearest, sets, settings), "links")
     roots = stage(components(links), "roots")
-    links = links.unionByName(stage(_confirmed(_across(stars, roots).join(nearest, ["a", "b"], "left_anti"), sets, settings), "links"))
+    more = _across(stars, roots).join(nearest, ["a", "b"], "left_anti")
+    links = links.unionByName(stage(_confirmed(more, sets, settings), "links"))
     roots = stage(components(links), "roots")
-
-    # what is left: members of one bucket in different components, of which neither is the least
-    placed = members.join(roots.select(F.col("node").alias("b"), "root"), "b", "left")
-    placed = placed.select("bucket", F.col("b").alias("key"), F.coalesce("root", "b").alias("root"), (F.col("a") == F.col("b")).alias("least"))
-    placed = stage(placed, "placed")
-    several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
-    placed = placed.filter("not least").join(several.filter("x < y and n > 2").select("bucket"), "bucket")
-    one, other = (placed.select("bucket", F.col("key").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab")
-    rest = one.join(other, "bucket").filter("a < b and root_a <> root_b").select("a", "b").distinct()
-    rest = stage(_likely(rest, classes, settings), "rest")
+    rest = stage(_likely(_strays(members, roots, classes, sets, settings), classes, settings), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(stage(_confirmed(rest, sets_of(rest), settings), "links"))
+        links = links.unionByName(stage(_confirmed(rest, sets, settings), "links"))
         roots = stage(components(links), "roots")
 
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
