@@ -1,50 +1,68 @@
-"""Sums of amounts that do not depend on row order.
+"""Sums of amounts in three steps, so that facts can be reduced before they are joined or shuffled.
 
-Adding doubles gives last-digit differences from run to run, and decimals cost several times as much per row. Here every
-amount is split into whole units and millionths, both added as 64-bit integers: exact for amounts of up to six decimals,
-and as fast as a double sum. Groups that hold NaN, infinities or amounts beyond `LIMIT` use the double sum.
+`partial` aggregates rows, `merge` aggregates partials, `total` and `mean` read the result. The caller states what the amount
+is:
 
-The sums come in three steps, so that facts can be reduced before they are joined or shuffled:
-`partial` aggregates rows, `merge` aggregates partials, `total` and `mean` read the result.
+* a double: a plain double sum, as `SUM` over the column gives. Its last digits depend on the order of the rows;
+* a double whose values are decimals with a stated number of digits after the point (`scale=2` for cents): the sum is exact
+  and does not depend on the order, at the speed of a double sum. Whole units of the last digit are added as 64-bit
+  integers in three pieces of 21 bits, none of which can overflow below 4e12 rows per group. Groups with an amount that is
+  no such number (NaN, infinite, too large for 64 bits) get the double sum;
+* a decimal column: Spark's exact decimal sum.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LIMIT = 1e12
-_UNITS = 1_000_000
+_PIECE = 21
+_MASK = (1 << _PIECE) - 1
 
 
-def partial(amount: Column, name: str) -> list[Column]:
-    """Aggregates over rows."""
+def partial(amount: Column, name: str, scale: int | None = None, is_decimal: bool = False) -> list[Column]:
+    """Aggregates over rows. The names of the columns say what kind of sum they hold."""
+    count = F.count(amount).alias(f"{name}__n")
+    if is_decimal:
+        return [F.sum(amount).alias(f"{name}__decimal"), count]
     amount = amount.cast("double")
-    plain = F.abs(amount) < LIMIT  # false for NaN: Spark orders NaN above every number
-    whole = F.floor(F.when(plain, amount))
-    rest = F.floor((F.when(plain, amount) - whole) * _UNITS + 0.5)
+    plain = F.sum(amount).alias(f"{name}__double")
+    if scale is None:
+        return [plain, count]
+    units = F.rint(amount * float(10**scale)).try_cast("bigint")
     return [
-        F.sum(whole).alias(f"{name}__whole"),
-        F.sum(rest).alias(f"{name}__rest"),
-        F.sum(amount).alias(f"{name}__double"),
-        F.max(~plain).alias(f"{name}__odd"),
-        F.count(amount).alias(f"{name}__n"),
+        F.sum(F.shiftright(units, 2 * _PIECE)).alias(f"{name}__{scale}_high"),
+        F.sum(F.shiftright(units, _PIECE).bitwiseAND(F.lit(_MASK))).alias(f"{name}__{scale}_mid"),
+        F.sum(units.bitwiseAND(F.lit(_MASK))).alias(f"{name}__{scale}_low"),
+        F.max(units.isNull() & amount.isNotNull()).alias(f"{name}__odd"),
+        plain,
+        count,
     ]
 
 
-def merge(name: str) -> list[Column]:
-    """Aggregates over partials."""
-    added = [F.sum(f"{name}__{part}").alias(f"{name}__{part}") for part in ("whole", "rest", "double", "n")]
-    return [*added, F.max(f"{name}__odd").alias(f"{name}__odd")]
+def merge(columns: Sequence[str], name: str) -> list[Column]:
+    """Aggregates over partials, given the columns of these."""
+    own = [c for c in columns if c.startswith(f"{name}__")]
+    return [(F.max(c) if c.endswith("__odd") else F.sum(c)).alias(c) for c in own]
 
 
-def total(name: str) -> Column:
+def total(columns: Sequence[str], name: str) -> Column:
     """The sum as a double; NULL when there was no amount."""
-    rest = F.col(f"{name}__rest").cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
-    exact = (F.col(f"{name}__whole").cast("decimal(20,0)") + rest).cast("double")
+    if f"{name}__decimal" in columns:
+        return F.col(f"{name}__decimal").cast("double")
+    high = next((c for c in columns if c.startswith(f"{name}__") and c.endswith("_high")), None)
+    if high is None:
+        return F.col(f"{name}__double")
+    scale = int(high.removeprefix(f"{name}__").removesuffix("_high"))
+    whole = lambda c: F.col(c).cast("decimal(20,0)")
+    piece = lambda n: F.lit(str(1 << n)).cast("decimal(14,0)")
+    units = whole(high) * piece(2 * _PIECE) + whole(f"{name}__{scale}_mid") * piece(_PIECE) + whole(f"{name}__{scale}_low")
+    exact = (units * F.lit(f"1e-{scale}").cast(f"decimal({scale + 1},{scale})")).cast("double")
     return F.when(F.col(f"{name}__odd"), F.col(f"{name}__double")).otherwise(exact)
 
 
-def mean(name: str) -> Column:
+def mean(columns: Sequence[str], name: str) -> Column:
     """The average over the amounts that are not NULL."""
-    return F.when(F.col(f"{name}__n") > 0, total(name) / F.col(f"{name}__n"))
+    return F.when(F.col(f"{name}__n") > 0, total(columns, name) / F.col(f"{name}__n"))

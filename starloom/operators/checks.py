@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
@@ -33,6 +34,28 @@ def check_fk(child: DataFrame, child_keys: Sequence[str], parent: DataFrame, par
     return used.join(known, condition, "left_anti")
 
 
+@dataclass(frozen=True)
+class Keys:
+    """Declared keys: columns that are unique in a table, and (child, column, parent, column) references."""
+
+    unique: Mapping[str, Sequence[str]]
+    foreign: Sequence[tuple[str, str, str, str]] = field(default=())
+
+
+def violations(tables: Mapping[str, DataFrame], keys: Keys) -> DataFrame:
+    """One row per declared key: `table_name`, `rule`, `n_keys` that break it and the `n_rows` they hold; both 0 if it holds."""
+    found = [(t, f"unique {', '.join(c)}", check_unique(tables[t], c)) for t, c in keys.unique.items()]
+    for child, column, parent, key in keys.foreign:
+        found.append((child, f"{column} in {parent}", check_fk(tables[child], [column], tables[parent], [key])))
+    totals = [
+        broken.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")).select(
+            F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), "n_keys", "n_rows"
+        )
+        for t, rule, broken in found
+    ]
+    return reduce(DataFrame.unionByName, totals)
+
+
 def unmatched(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows in total, and rows per key column that found no dimension row."""
     misses = [F.count(F.when(F.col(k).isNull(), 1)).alias(f"{k}_missing") for k in keys]

@@ -6,14 +6,11 @@ import json
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .staging import stage
 
-# A key set of at most this many rows is numbered in one task; larger ones are numbered by ranges.
-KEY_ROWS_ONE_TASK = 1_000_000
-
 _POSITION = "__position"
 _TIE = "__tie"
 # monotonically_increasing_id() holds the partition above bit 33 and the row number below it.
@@ -30,22 +27,28 @@ def dense_id(
     order_by: Sequence[Column | str] | Column | str | None,
     name: str = "id",
     unique: bool = True,
+    from_files: bool = False,
 ) -> DataFrame:
     """Add ids 1..n in the given order, as one `row_number` over all rows would, but in parallel.
 
     The rows are ranged and sorted once and written; every range then only needs the number of rows before it, one number
-    per written range, which the projection that reads the rows carries along. Say `unique=False` when the order has ties: the rows are then fixed first and equal ones are told
-    apart by content and position, so that even many copies of one row spread over several ranges.
+    per written range, which the projection that reads the rows carries along. Small ranges are merged at run time.
+
+    Say `unique=False` when the order has ties: equal rows are then told apart by content and by the place they are read
+    from, so that even many copies of one row spread over several ranges. The places must be the same if a task runs again,
+    so the rows are written first, unless `from_files` says that they come from files without a shuffle on the way.
 
     Without an order (None) rows are numbered as they are read, a file's rows in file order, and nothing is shuffled.
     """
     order = [] if order_by is None else _order(order_by)
     columns = df.columns
+    ranged = df
     if order and not unique:
         content = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-        df = stage(df, "untied").withColumn(_TIE, F.monotonically_increasing_id())
+        ranged = (df if from_files else stage(df, "untied")).withColumn(_TIE, F.monotonically_increasing_id())
         order = [*order, content, F.col(_TIE)]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    if order:
+        ranged = ranged.repartitionByRange(*order).sortWithinPartitions(*order)
     positioned = ranged.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(_POSITION))
     fixed = stage(positioned, "ranged")
     part = F.shiftright(_POSITION, _PART_SHIFT).cast("int")
@@ -57,29 +60,15 @@ def dense_id(
     return fixed.select(*[F.col(f"`{c}`") for c in columns], (F.get(bases, part) + row_in_part + 1).alias(name))
 
 
-def surrogate_key(
-    distinct_rows: DataFrame,
-    name: str,
-    order_by: Sequence[Column | str] | Column | str,
-    one_task_rows: int = KEY_ROWS_ONE_TASK,
-) -> DataFrame:
-    """Number distinct rows 1..n in the given order, which must be unique over them.
-
-    The set is written once and counted. Up to `one_task_rows` rows a plain window numbers it; beyond, `dense_id` does.
-    """
-    rows = stage(distinct_rows, "keys")
-    if rows.count() > one_task_rows:
-        return dense_id(rows, order_by, name)
-    window = Window.orderBy(*_order(order_by))
-    return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+def surrogate_key(distinct_rows: DataFrame, name: str, order_by: Sequence[Column | str] | Column | str) -> DataFrame:
+    """Number distinct rows 1..n in the given order, which must be unique over them. The same way for all sizes."""
+    return dense_id(distinct_rows, order_by, name)
 
 
-def first_seen_key(
-    df: DataFrame, cols: Sequence[str], order: str, name: str, one_task_rows: int = KEY_ROWS_ONE_TASK
-) -> DataFrame:
+def first_seen_key(df: DataFrame, cols: Sequence[str], order: str, name: str) -> DataFrame:
     """Distinct combinations of `cols`, numbered by where they first appear along the column `order`.
 
     NULL counts as a value. `order` must be unique per row of `df`, so that the firsts are unique too.
     """
     firsts = df.groupBy(*cols).agg(F.min(order).alias("__first"))
-    return surrogate_key(firsts, name, "__first", one_task_rows).drop("__first")
+    return surrogate_key(firsts, name, "__first").drop("__first")

@@ -30,6 +30,8 @@ from pyspark.sql.types import (
 # A lookup is broadcast when its counted rows take no more than this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES, _FIELD_BYTES = 16, 8
+# Bytes that one byte of a stored file may stand for.
+_UNPACKED = 64
 _PLAIN = (NumericType, DateType, BooleanType, TimestampType, TimestampNTZType)
 # A key is hot when it holds at least this share of the rows; at most 1 / HOT_SHARE keys can.
 HOT_SHARE = 0.01
@@ -37,11 +39,20 @@ HOT_SHARE = 0.01
 _HASH = "__hash"
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own upper estimate of a frame: exact for literal rows, the size of the files for stored tables."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the frame's rows take at most `limit` bytes.
 
-    Rows are counted first, which reads no column of a stored table; text lengths are added up only where the count fits.
+    Where the plan's estimate is far below the limit, that is enough and no job runs; files may unpack to many times their
+    size, hence the margin. Else rows are counted, which reads no column of a stored table, and text lengths are added up
+    only where the count fits.
     """
+    if planned_bytes(df) * _UNPACKED <= limit:
+        return True
     row = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
     rows = df.count()
     if rows * row > limit:

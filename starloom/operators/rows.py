@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +13,25 @@ from .ids import dense_id
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per key. Without an order any row survives; with one, the first row along it, ties broken by the other columns.
+    """One row per key. Without an order any row survives; with one, the first row along it, NULL first.
 
-    Both ways combine copies before the shuffle, so a key with very many copies moves as one row per task.
+    The least order value of each key is found by a hash aggregate over the key and that column alone, which combines
+    copies before the shuffle, and brings its rows back by a join, whose skewed keys Spark can split. What still ties is
+    decided by a hash of the content, so columns of any type are accepted; the choice among ties says nothing more.
     """
     if order_by is None:
         return df.dropDuplicates(list(keys))
-    leading = [c for c in order_by if c not in keys]
-    others = [c for c in df.columns if c not in keys and c not in leading]
-    first = F.min(F.struct(*leading, *others)).alias("__first")
-    return df.groupBy(*keys).agg(first).select(*keys, "__first.*").select(*df.columns)
+    content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows = df.withColumn("__content", content)
+    for c in [*[c for c in order_by if c not in keys], "__content"]:
+        value = F.col(f"`{c}`")
+        least = rows.groupBy(*[F.col(f"`{k}`").alias(f"__key{i}") for i, k in enumerate(keys)]).agg(
+            F.min(value).alias("__least"), F.max(value.isNull()).alias("__null")
+        )
+        same = reduce(and_, (F.col(f"`{k}`").eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)))
+        wanted = F.when(F.col("__null"), value.isNull()).otherwise(value == F.col("__least"))
+        rows = rows.join(least, same).where(wanted).drop(*least.columns)
+    return rows.dropDuplicates(list(keys)).select(*[f"`{c}`" for c in df.columns])
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:

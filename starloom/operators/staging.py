@@ -19,7 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -43,6 +44,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, INTERVALS
-from ..operators.checks import row_counts
+from ..operators.checks import Keys, row_counts, violations
 from ..operators.ids import dense_id
-from ..operators.staging import scratch
-from ..sinks.files import write_json_batches
+from ..operators.rows import split_batches
+from ..operators.staging import scratch, stage
 from ..sinks.tables import reset, write_table
 from ..streaming.bronze import append_increment, ingest_bronze
-from ..streaming.gold import GoldTables, reduce_loads, refresh_gold
+from ..streaming.gold import GoldTables, refresh_gold
 from ..streaming.silver import enrich_silver
 from .calendar import calendar, calendar_basic
 from .dimensions import (
@@ -35,10 +36,14 @@ from .gold import gold_month, gold_region_smoker_rounded
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a run keeps its tables and files. `prefix` starts every table name; with `root`, tables are external below it."""
+    """Where a run keeps its tables and files. `prefix` starts every table name; with `root`, tables are external below it.
+
+    `scale` says that charges are decimals with so many digits, whose sums are then exact; None adds them up as doubles.
+    """
 
     prefix: str = ""
     root: str | None = None
+    scale: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.prefix}{name}"
@@ -65,7 +70,7 @@ def reset_stream(spark: SparkSession, layout: Layout, base: str, name: str) -> N
 def gold_tables(layout: Layout) -> GoldTables:
     """The gold tables of a streamed run."""
     names = layout.table("gold_charges_by_region_smoker"), layout.table("gold_charges_by_provider_month")
-    return GoldTables(*names, root=f"{layout.root}/tables" if layout.root else None)
+    return GoldTables(*names, root=f"{layout.root}/tables" if layout.root else None, scale=layout.scale)
 
 
 @scratch()
@@ -80,7 +85,8 @@ def run_medallion(
 ) -> dict[str, str]:
     """Insurance rows to dimensions, event files, bronze, silver and gold, then one batch increment through all of them.
 
-    A run starts anew: streamed tables of an earlier one go together with their checkpoints.
+    A run starts anew: streamed tables of an earlier one go together with their checkpoints. `continue_medallion` goes on
+    from there. The events arrive in three intervals, each a load.
     `order` is a unique column that fixes member ids, None for the order the rows are read in; `base` is the folder for event
     files and checkpoints.
     Returns the table names. Intermediate results are deleted at the end.
@@ -98,52 +104,97 @@ def run_medallion(
         "plan": layout.write(build_dim_plan(spark), "dim_plan"),
     }
 
-    files = f"{base}/stream_input/{layout.prefix}events"
-    write_json_batches(build_events(rows), files, INTERVALS, "member_id", dense=True)
-
-    bronze, silver = layout.table("fact_insurance_bronze"), layout.table("fact_insurance_silver")
     gold = gold_tables(layout)
-    reset(spark, gold.reduced, [p for p in map(gold.location, gold.reduced) if p])
-    named_region = region.withColumnRenamed("region", "region_name")
-
-    def refresh() -> None:
-        enrich_silver(
-            spark,
-            bronze,
-            dims,
-            silver,
-            layout.checkpoint(base, "fact_insurance_silver"),
-            layout.location("fact_insurance_silver"),
-            after=lambda loads: reduce_loads(spark, silver, gold, loads),
-        )
-        refresh_gold(spark, silver, named_region, gold, by_load=True)
+    files = event_files(layout, base)
+    reset(spark, gold.reduced, [*[p for p in map(gold.location, gold.reduced) if p], files])
+    batches = stage(split_batches(build_events(rows), INTERVALS, "member_id", dense=True), "batches")
+    for interval in range(1, INTERVALS + 1):
+        batches.where(F.col("interval") == interval).write.mode("append").partitionBy("interval").json(files)
+        _ingest(spark, layout, base)
+    _refresh(spark, layout, base, dims, region)
+    return continue_medallion(spark, layout, base, increment) if increment else medallion_tables(layout)
+
+
+def event_files(layout: Layout, base: str) -> str:
+    """The folder that event files arrive in."""
+    return f"{base}/stream_input/{layout.prefix}events"
+
 
+def _ingest(spark: SparkSession, layout: Layout, base: str) -> None:
+    name = "fact_insurance_bronze"
     ingest_bronze(
-        spark,
-        files,
-        bronze,
-        layout.checkpoint(base, "fact_insurance_bronze"),
-        location=layout.location("fact_insurance_bronze"),
+        spark, event_files(layout, base), layout.table(name), layout.checkpoint(base, name), location=layout.location(name)
     )
-    refresh()
-    if increment:
-        append_increment(spark, bronze, increment)
-        refresh()
+
+
+def _refresh(spark: SparkSession, layout: Layout, base: str, dims: dict[str, DataFrame], region: DataFrame) -> None:
+    name, gold = "fact_insurance_silver", gold_tables(layout)
+    bronze, silver = layout.table("fact_insurance_bronze"), layout.table(name)
+    enrich_silver(spark, bronze, dims, silver, layout.checkpoint(base, name), layout.location(name), gold=gold)
+    refresh_gold(spark, silver, region.withColumnRenamed("region", "region_name"), gold, by_load=True)
+
+
+def medallion_tables(layout: Layout) -> dict[str, str]:
+    """Names of the tables of a streamed run."""
+    gold = gold_tables(layout)
     tables = ("dim_region", "dim_member", "dim_risk_profile", "dim_provider", "dim_date", "dim_plan")
     return {
         **{t: layout.table(t) for t in tables},
-        "bronze": bronze,
-        "silver": silver,
+        "bronze": layout.table("fact_insurance_bronze"),
+        "silver": layout.table("fact_insurance_silver"),
         "gold_region_smoker": gold.region_smoker,
         "gold_provider_month": gold.provider_month,
     }
 
 
+@scratch()
+def continue_medallion(spark: SparkSession, layout: Layout, base: str, increment: str | None = None) -> dict[str, str]:
+    """Go on from an earlier run's tables and checkpoints: take in event files that have arrived and, if named, an increment.
+
+    Only loads that are new or changed are enriched and reduced; dimensions stay as they are.
+    """
+    dims = {d: spark.table(layout.table(f"dim_{d}")) for d in ("member", "provider", "date", "plan")}
+    _ingest(spark, layout, base)
+    if increment:
+        append_increment(spark, layout.table("fact_insurance_bronze"), increment)
+    _refresh(spark, layout, base, dims, spark.table(layout.table("dim_region")))
+    return medallion_tables(layout)
+
+
+BATCH_KEYS = Keys(
+    unique={
+        "dim_region": ("region_key",),
+        "dim_member": ("member_id",),
+        "dim_risk_profile": ("risk_profile_key",),
+        "dim_plan": ("plan_key",),
+        "fact_insurance_silver": ("member_id",),
+    },
+    foreign=(
+        ("dim_member", "region_key", "dim_region", "region_key"),
+        ("fact_insurance_silver", "member_id", "dim_member", "member_id"),
+        ("fact_insurance_silver", "region_key", "dim_region", "region_key"),
+        ("fact_insurance_silver", "plan_key", "dim_plan", "plan_key"),
+        ("fact_insurance_silver", "risk_profile_key", "dim_risk_profile", "risk_profile_key"),
+    ),
+)
+MART_KEYS = Keys(
+    unique={"dim_date": ("date_key",), "dim_insured": ("insured_key",), "dim_region": ("region_key",), "fact_claims": ("claim_key",)},
+    foreign=(
+        ("fact_claims", "insured_key", "dim_insured", "insured_key"),
+        ("fact_claims", "region_key", "dim_region", "region_key"),
+        ("fact_claims", "date_key", "dim_date", "date_key"),
+    ),
+)
+
+
 @scratch()
 def run_batch(
     spark: SparkSession, insurance: DataFrame, order: str | None, layout: Layout, date_source: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """The batch star schema: five dimensions, the fact and two gold tables, written and returned as read back."""
+    """The batch star schema: five dimensions, the fact and two gold tables, written and returned as read back.
+
+    `violations` says how often the star's declared keys are broken.
+    """
     rows = add_event_date(number_rows(insurance, order), BATCH_START, BATCH_DAYS)
     region = layout.write(build_dim_region(rows), "dim_region")
     member = layout.write(build_dim_member(rows, region), "dim_member")
@@ -156,11 +207,12 @@ def run_batch(
         "dim_date": layout.write(calendar(date_source, rows, "event_date"), "dim_date"),
     }
     fact = layout.write(build_fact(rows, member, profile), "fact_insurance_silver")
+    star = {**tables, "fact_insurance_silver": fact}
     return {
-        **tables,
-        "fact_insurance_silver": fact,
-        "gold_region_smoker": layout.write(gold_region_smoker_rounded(fact, region, profile), "gold_region_smoker"),
-        "gold_month": layout.write(gold_month(fact), "gold_month"),
+        **star,
+        "violations": violations(star, BATCH_KEYS),
+        "gold_region_smoker": layout.write(gold_region_smoker_rounded(fact, region, profile, layout.scale), "gold_region_smoker"),
+        "gold_month": layout.write(gold_month(fact, scale=layout.scale), "gold_month"),
     }
 
 
@@ -168,7 +220,10 @@ def run_batch(
 def run_mart(
     insurance: DataFrame, providers: DataFrame, order: str | None, layout: Layout, year: int = CLAIM_YEAR
 ) -> dict[str, DataFrame]:
-    """The claims mart: calendar, insured and region dimensions and the claims fact, with the row count of each table."""
+    """The claims mart: calendar, insured and region dimensions and the claims fact, with the row count of each table.
+
+    `violations` says how often the mart's declared keys are broken.
+    """
     insured = dense_id(derive_insured(type_rows(insurance)), order, "claim_key")
     dim_insured = layout.write(build_dim_insured(insured, "claim_key"), "dim_insured")
     dim_region = layout.write(build_region_enriched(insured, providers), "dim_region")
@@ -179,4 +234,4 @@ def run_mart(
         "dim_region": dim_region,
         "fact_claims": layout.write(build_claims(insured, dim_insured, dim_region, year), "fact_claims"),
     }
-    return {**tables, "row_counts": row_counts(tables)}
+    return {**tables, "row_counts": row_counts(tables), "violations": violations(tables, MART_KEYS)}

@@ -13,6 +13,9 @@ from ..operators.staging import new_path
 from ..plans.runs import Layout
 from ..session import tune
 
+# The amounts of the given tables have two decimals.
+CENTS = 2
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -41,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def layout(spark: SparkSession, label: str) -> tuple[Layout, str]:
     """Fresh table names and a fresh folder, below the folder that the cluster shares."""
     base = new_path(spark, label)
-    return Layout(f"{label}_{uuid.uuid4().hex[:8]}_", base), base
+    return Layout(f"{label}_{uuid.uuid4().hex[:8]}_", base, CENTS), base
 
 
 def customers_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:

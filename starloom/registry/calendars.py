@@ -171,11 +171,10 @@ def attributes_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "calendar_days_without_orders",
-    f"WITH {_SPAN_SQL} SELECT d AS full_date FROM days WHERE d NOT IN (SELECT ts::DATE FROM events UNION SELECT day FROM per_day "
-    "WHERE n > 5)",
+    f"WITH {_SPAN_SQL} SELECT d AS full_date FROM days WHERE d NOT IN (SELECT ts::DATE FROM events UNION SELECT day + 1 FROM per_day)",
 )
 def quiet_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    busy = orders.groupBy(F.to_date("o_orderdate").alias("day")).count().where("count > 5").select("day")
+    busy = orders.select(F.date_add(F.to_date("o_orderdate"), 1).alias("day")).distinct()
     other = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
     return days(spark, *span(orders, "o_orderdate")).subtract(busy.union(other).withColumnRenamed("day", "full_date"))

@@ -15,8 +15,9 @@ from ..plans.gold import (
     star_provider_region,
     star_top,
     star_totals,
+    totals,
 )
-from .base import NUMBERED_SQL, SILVER_SQL, cents, customers_with_region, mean, query, table, total
+from .base import CENTS, NUMBERED_SQL, SILVER_SQL, cents, customers_with_region, mean, query, table, total
 from .facts import CLAIMS_SQL, claims_tables, fact_tables, silver_tables
 
 _LINE = "l_extendedprice"
@@ -37,7 +38,7 @@ def star_supplier_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         Side(table(spark, sf_dir, "region"), {"__region": "r_regionkey"}, {"r_name": "region"}),
     ]
     by = ["provider", "nation", "region"]
-    result = star_totals(table(spark, sf_dir, "lineitem"), ["l_suppkey"], _LINE, sides, by, 2, ["provider", "region"])
+    result = star_totals(table(spark, sf_dir, "lineitem"), ["l_suppkey"], _LINE, sides, by, 2, ["provider", "region"], CENTS)
     return result.orderBy(F.desc("total_charges"), *by)
 
 
@@ -52,7 +53,7 @@ def star_supplier_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, dims = silver_tables(spark, sf_dir)
     region = dims["region"].withColumnRenamed("region", "region_name")
-    return star_provider_region(silver, dims["provider"], region)
+    return star_provider_region(silver, dims["provider"], region, CENTS)
 
 
 _SEGMENT_SQL = """FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -63,7 +64,7 @@ def _by_segment(spark: SparkSession, sf_dir: str, digits: int | None) -> DataFra
     customer = customers_with_region(spark, sf_dir)
     side = Side(customer, {"o_custkey": "c_custkey"}, {"region_name": "region_name", "c_mktsegment": "segment"})
     by = ["region_name", "segment"]
-    return star_totals(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", [side], by, digits)
+    return star_totals(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", [side], by, digits, scale=CENTS)
 
 
 @query(
@@ -93,7 +94,7 @@ def gold_region_segment_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def region_smoker(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, dims = silver_tables(spark, sf_dir)
-    return gold_region_smoker(silver, dims["region"].withColumnRenamed("region", "region_name"))
+    return gold_region_smoker(silver, dims["region"].withColumnRenamed("region", "region_name"), CENTS)
 
 
 @query(
@@ -107,7 +108,7 @@ def region_smoker(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def region_smoker_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fact_tables(spark, sf_dir)
-    return gold_region_smoker_rounded(tables["fact"], tables["region"], tables["profile"])
+    return gold_region_smoker_rounded(tables["fact"], tables["region"], tables["profile"], CENTS)
 
 
 @query(
@@ -120,7 +121,8 @@ def provider_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.trunc(F.to_date("l_shipdate"), "month").alias("__month")
     side = Side(table(spark, sf_dir, "supplier"), {"l_suppkey": "s_suppkey"}, {"s_name": "preferred_provider"})
     by = ["preferred_provider", "l_linestatus", "__month"]
-    grouped = star_totals(table(spark, sf_dir, "lineitem"), ["l_suppkey", "l_linestatus", month], _LINE, [side], by)
+    keys = ["l_suppkey", "l_linestatus", month]
+    grouped = star_totals(table(spark, sf_dir, "lineitem"), keys, _LINE, [side], by, scale=CENTS)
     return grouped.select(
         "preferred_provider",
         F.col("l_linestatus").alias("network_tier"),
@@ -139,7 +141,7 @@ def provider_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM silver GROUP BY 1, 2, 3""",
 )
 def silver_provider_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_provider_month(silver_tables(spark, sf_dir)[0])
+    return gold_provider_month(silver_tables(spark, sf_dir)[0], scale=CENTS)
 
 
 @query(
@@ -149,7 +151,7 @@ def silver_provider_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY 1""",
 )
 def month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_month(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    return gold_month(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", CENTS)
 
 
 @query(
@@ -158,7 +160,7 @@ def month(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM lineitem GROUP BY 1, 2""",
 )
 def month_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return avg_month_smoker(table(spark, sf_dir, "lineitem"), "l_shipdate", "l_returnflag", _LINE)
+    return avg_month_smoker(table(spark, sf_dir, "lineitem"), "l_shipdate", "l_returnflag", _LINE, CENTS)
 
 
 @query(
@@ -170,4 +172,17 @@ def month_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = claims_tables(spark, sf_dir)
-    return star_top(tables["claims"], tables["date"], tables["insured"], tables["region"])
+    return star_top(tables["claims"], tables["date"], tables["insured"], tables["region"], scale=CENTS)
+
+
+@query(
+    "gold_net_amount",
+    """SELECT l_returnflag, l_shipmode, COUNT(*) AS num_events,
+      ROUND(SUM(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 3), 2) AS total_charges,
+      ROUND(AVG(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 3), 2) AS avg_charges FROM lineitem GROUP BY 1, 2""",
+)
+def net_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An amount with endless digits: a plain double sum, rounded at the end."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 3
+    by = ["l_returnflag", "l_shipmode"]
+    return totals(table(spark, sf_dir, "lineitem").withColumn("net", net), by, by, "net", 2)

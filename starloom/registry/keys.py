@@ -76,7 +76,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_keys_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key set beyond the one-task bound is numbered by ranges."""
     pairs = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    return surrogate_key(pairs, "pair_key", ["l_partkey", "l_suppkey"], one_task_rows=100)
+    return surrogate_key(pairs, "pair_key", ["l_partkey", "l_suppkey"])
 
 
 @query(

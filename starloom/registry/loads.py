@@ -12,7 +12,7 @@ from ..operators.staging import new_path
 from ..plans.calendar import calendar_extended
 from ..plans.dimensions import build_dim_provider
 from ..plans.gold import star_provider_region
-from ..plans.runs import Layout, gold_tables, run_batch, run_mart, run_medallion
+from ..plans.runs import Layout, continue_medallion, gold_tables, run_batch, run_mart, run_medallion
 from ..sinks.files import write_csv, write_json_batches
 from ..sinks.tables import append_table, ctas, load_mart, refresh_table, replace_table, write_table
 from ..sources.files import extract_columns, read_csv, read_json_array, read_json_nested, read_path
@@ -154,21 +154,21 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place.write(customer.select("c_custkey", "c_mktsegment"), "customer", overwrite_schema=True)
 
 
-@query("table_self_overwrite", "SELECT c_custkey, c_acctbal * 2 AS c_acctbal FROM customer WHERE c_acctbal > 0")
+@query("table_self_overwrite", "SELECT c_custkey, c_acctbal * 2 AS c_acctbal FROM customer")
 def table_self_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table overwritten by rows read from itself."""
     place, _ = layout(spark, "self")
     rows = place.write(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "customer")
-    replace_table(rows.where("c_acctbal > 0").withColumn("c_acctbal", F.col("c_acctbal") * 2), place.table("customer"))
+    replace_table(rows.withColumn("c_acctbal", F.col("c_acctbal") * 2), place.table("customer"))
     return spark.table(place.table("customer"))
 
 
-@query("append", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')")
+@query("append", "SELECT event_id, event_type FROM events")
 def append(spark: SparkSession, sf_dir: str) -> DataFrame:
     place, _ = layout(spark, "append")
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
     place.write(events.where("event_type = 'click'"), "events")
-    append_table(events.where("event_type = 'view'"), place.table("events"))
+    append_table(events.where("event_type <> 'click' OR event_type IS NULL"), place.table("events"))
     return spark.table(place.table("events"))
 
 
@@ -228,12 +228,16 @@ _EVENT_COLUMNS = "event_id, user_id, event_type, value"
 
 @query(
     "bronze_ingest",
-    f"""SELECT {_EVENT_COLUMNS}, interval, 'stream-' || CAST(interval - 1 AS VARCHAR) AS load_id FROM (
+    f"""SELECT {_EVENT_COLUMNS}, interval, CASE WHEN interval = 1 THEN 'stream-nested-0' ELSE
+      'stream-intervals-' || CAST(interval - 2 AS VARCHAR) END AS load_id FROM (
       SELECT *, CAST(least({INTERVALS}, (row_number() OVER (ORDER BY event_id) - 1)
         // greatest(1, (SELECT COUNT(*) FROM events) // {INTERVALS}) + 1) AS INTEGER) AS interval FROM events) AS batched""",
 )
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three intervals arrive one after the other, each becomes a load; a run without new files adds nothing."""
+    """Three intervals arrive one after the other, each becomes a load; a run without new files adds nothing.
+
+    The first comes from a source of its own, in a folder of a folder.
+    """
     place, base = layout(spark, "bronze")
     columns = _EVENT_COLUMNS.split(", ")
     name, location = place.table("events"), place.location("events")
@@ -241,10 +245,18 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = new_path(spark, "intervals")
     write_json_batches(rows, batches, INTERVALS, "event_id")
     landed = spark.read.schema(_with_interval(rows.schema)).json(batches)
+
+    def ingest(source: str) -> None:
+        checkpoint = f"{base}/checkpoint/{source}"
+        ingest_bronze(spark, f"{base}/input/{source}", name, checkpoint, rows.schema, location=location, source=source)
+
     for interval in range(1, INTERVALS + 1):
-        landed.where(F.col("interval") == interval).write.mode("append").partitionBy("interval").json(f"{base}/input")
-        ingest_bronze(spark, f"{base}/input", name, f"{base}/checkpoint", rows.schema, location=location)
-    ingest_bronze(spark, f"{base}/input", name, f"{base}/checkpoint", rows.schema, location=location)
+        source, folder = ("nested", "nested/a/b") if interval == 1 else ("intervals", "intervals")
+        arrived = landed.where(F.col("interval") == interval)
+        arrived.write.mode("append").partitionBy("interval").json(f"{base}/input/{folder}")
+        ingest(source)
+    ingest("nested")
+    ingest("intervals")
     return spark.table(name).select(*columns, F.col("interval").cast("int").alias("interval"), "load_id")
 
 
@@ -329,6 +341,53 @@ def gold_refresh_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(names["gold_region_smoker"])
 
 
+@query(
+    "gold_refresh_after_rebuild",
+    f"""WITH {INCREMENT_SQL} SELECT r.region AS region_name, 'changed' AS smoker, COUNT(*) AS num_events,
+      {total("charge_amount")} AS total_charges, {mean("charge_amount")} AS avg_charges
+    FROM silver s LEFT JOIN dim_region r ON s.region_key = r.region_key GROUP BY 1""",
+)
+def gold_refresh_after_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members change, silver is rebuilt, and gold by load follows."""
+    names, place, _ = _medallion(spark, sf_dir, "increment-1")
+    dims = _dims(spark, names)
+    dims["member"] = dims["member"].withColumn("smoker", F.lit("changed"))
+    gold = gold_tables(place)
+    rebuild_silver(spark, names["bronze"], dims, names["silver"], place.location("fact_insurance_silver"), gold)
+    region = spark.table(names["dim_region"]).withColumnRenamed("region", "region_name")
+    refresh_gold(spark, names["silver"], region, gold, by_load=True)
+    return spark.table(names["gold_region_smoker"])
+
+
+@query(
+    "medallion_two_runs",
+    f"""WITH {INCREMENT_SQL} SELECT preferred_provider, network_tier, strftime(event_date, '%Y-%m') AS event_month,
+      COUNT(*) AS num_events, {total("charge_amount")} AS total_charges, {mean("charge_amount")} AS avg_charges
+    FROM silver GROUP BY 1, 2, 3""",
+)
+def medallion_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without an increment, and a second one that goes on from it and adds one; a third has nothing to do."""
+    _, place, base = _medallion(spark, sf_dir, None)
+    continue_medallion(spark, place, base, "increment-1")
+    return spark.table(continue_medallion(spark, place, base)["gold_provider_month"])
+
+
+@query(
+    "star_violations",
+    """SELECT 'orders' AS table_name, COUNT(*) AS n_broken FROM orders WHERE o_orderkey IS NOT NULL
+    GROUP BY o_orderkey HAVING COUNT(*) > 1""",
+)
+def star_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared keys that a batch run and a mart run break: none."""
+    place, _ = layout(spark, "checked")
+    rows = insurance(spark, sf_dir)
+    batch = run_batch(spark, rows, "row_no", place)["violations"]
+    place, _ = layout(spark, "checked")
+    mart = run_mart(rows, providers(spark, sf_dir), "row_no", place)["violations"]
+    broken = batch.unionByName(mart).where("n_rows > 0")
+    return broken.groupBy("table_name").agg(F.sum("n_rows").alias("n_broken"))
+
+
 @query(
     "medallion",
     f"""WITH {INCREMENT_SQL} SELECT p.preferred_provider, p.network_tier, r.region AS region_name, COUNT(*) AS num_events,
@@ -337,9 +396,9 @@ def gold_refresh_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY 1, 2, 3""",
 )
 def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names, _, _ = _medallion(spark, sf_dir, "increment-1")
+    names, place, _ = _medallion(spark, sf_dir, "increment-1")
     region = spark.table(names["dim_region"]).withColumnRenamed("region", "region_name")
-    return star_provider_region(spark.table(names["silver"]), spark.table(names["dim_provider"]), region)
+    return star_provider_region(spark.table(names["silver"]), spark.table(names["dim_provider"]), region, place.scale)
 
 
 @query(

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.staging import delete_path, scratch, stage
+from ..operators.staging import delete_path, new_path
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -39,9 +39,19 @@ def write_table(
 
 
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a table by rows that may come from that same table: they are written aside first."""
-    with scratch():
-        write_table(stage(df, "replace"), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
+    """Overwrite a table by rows that may come from that same table: they are written aside first.
+
+    Overwriting drops the old files before the new ones are complete, so the rows written aside are deleted only once the
+    table holds them; if writing it fails, the error names the folder that still has them.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, "replace")
+    df.write.parquet(path)
+    try:
+        write_table(spark.read.schema(df.schema).parquet(path), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
+    except Exception as error:
+        error.add_note(f"the new rows of {name} are in {path}")
+        raise
+    delete_path(spark, path)
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -68,6 +78,23 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str],
         spark.conf.set(mode, before)
 
 
+def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
+    """The values of a table's only partition column, from the catalog; no data is read."""
+    return [row[0].removeprefix(f"{column}=") for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
+    """Drop partitions of a table with their files, also where the table is external. Those not there are passed over."""
+    for value in set(values) & set(partition_values(spark, name, column)):
+        part = f"{column}='{value}'"
+        described = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({part})").where("col_name = 'Location'").first()
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part})")
+        if described:
+            delete_path(spark, described.data_type)
+    if values:
+        spark.catalog.refreshTable(name)
+
+
 def refresh_table(spark: SparkSession, name: str, sql: str) -> None:
     """Replace the rows of an existing table by a query's result."""
     spark.sql(f"INSERT OVERWRITE TABLE {name} {sql}")

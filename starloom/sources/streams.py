@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Spark forgets files that are older than this against the newest one; none is meant to be.
+_ANY_AGE = "36500d"
+INTERVAL = "interval int"
 
-def stream_json(spark: SparkSession, path: str, schema: str | StructType, max_files: int | None = None) -> DataFrame:
-    """JSON-lines files as they arrive under `path`, those already there included.
 
-    Folders named `name=value` are read too and add the column `name`. `max_files` caps the files per micro-batch.
+def stream_json(
+    spark: SparkSession, path: str, schema: str | StructType, max_files: int | None = None, folders: str = INTERVAL
+) -> DataFrame:
+    """JSON-lines files as they arrive anywhere below `path`, those already there included, whatever their age.
+
+    `folders` are columns, as DDL, that are taken from folders named `name=value` on the way to a file; NULL where there is
+    no such folder, and kept from the file where the schema has the name itself. `max_files` caps the files per micro-batch.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFileAge", _ANY_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    rows = reader.json(path)
+    for field in StructType.fromDDL(folders).fields if folders else []:
+        if field.name not in rows.columns:
+            value = F.regexp_extract(F.col("_metadata.file_path"), f"/{field.name}=([^/]*)/", 1)
+            rows = rows.withColumn(field.name, F.url_decode(F.nullif(value, F.lit(""))).cast(field.dataType))
+    return rows
 
 
 def stream_table(spark: SparkSession, table: str) -> DataFrame:

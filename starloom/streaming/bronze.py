@@ -1,19 +1,22 @@
 """Bronze: event files and batch increments, each load its own partition.
 
-Every load is written as one partition `load_id`. Writing it again replaces it, so replayed micro-batches and repeated
-increments add nothing. A streaming file sink is not used: its readers would not see rows that a batch adds.
+Every load is written as one partition `load_id`, named after its source. Writing it again replaces it, also by nothing, so
+replayed micro-batches and repeated increments add nothing. A streaming file sink is not used: its readers would not see rows that a batch adds.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..constants import EVENT_SCHEMA, INCREMENT_PREFIX, INCREMENT_ROWS
 from ..operators.rows import top_rows
-from ..sinks.tables import overwrite_partitions
-from ..sources.streams import stream_json
+from ..operators.staging import path_exists
+from ..sinks.tables import drop_partitions, overwrite_partitions, partition_values
+from ..sources.streams import INTERVAL, stream_json
 
 LOAD = "load_id"
 STREAM_LOAD = "stream-"
@@ -44,16 +47,41 @@ def ingest_bronze(
     schema: str | StructType = EVENT_SCHEMA,
     max_files: int | None = None,
     location: str | None = None,
+    source: str | None = None,
+    restart: bool = False,
+    folders: str = INTERVAL,
 ) -> None:
-    """Load the event files that have arrived since the last run."""
+    """Load the event files that have arrived since the last run.
+
+    Loads are named `stream-<source>-<batch>`. The source defaults to a digest of path and checkpoint, so several sources
+    can fill one table. If the table has loads of a source whose checkpoint is gone, everything will be read again: loads of
+    a default source are dropped first; for a source that was named, this is refused unless `restart` says so, as the name
+    may be another source's.
+    """
+    name = source or f"{zlib.crc32(f'{path}|{checkpoint}'.encode()):08x}"
+    prefix = f"{STREAM_LOAD}{name}-"
+    if not path_exists(spark, f"{checkpoint}/offsets") and spark.catalog.tableExists(table):
+        earlier = [v for v in partition_values(spark, table, LOAD) if v.startswith(prefix)]
+        if earlier and source and not restart:
+            raise ValueError(f"{table} has loads of a source {source}, but its checkpoint is not at {checkpoint}")
+        drop_partitions(spark, table, LOAD, earlier)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(batch.withColumn(LOAD, F.lit(f"{STREAM_LOAD}{batch_id}")), table, [LOAD], location)
+        write_load(batch, table, f"{prefix}{batch_id}", location)
 
-    drain(stream_json(spark, path, schema, max_files), publish, checkpoint)
+    drain(stream_json(spark, path, schema, max_files, folders), publish, checkpoint)
     refresh(spark, table)
 
 
+def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None) -> None:
+    """Replace one load; no rows leave no load."""
+    spark = rows.sparkSession
+    if rows.isEmpty() and spark.catalog.tableExists(table):
+        drop_partitions(spark, table, LOAD, [load_id])
+        return
+    overwrite_partitions(rows.withColumn(LOAD, F.lit(load_id)), table, [LOAD], location)
+
+
 def append_increment(spark: SparkSession, bronze: str, load_id: str, n: int = INCREMENT_ROWS) -> None:
     """Add the `n` streamed events of the highest members again as a new load, ids prefixed. Repeating a load replaces it.
 
@@ -61,7 +89,4 @@ def append_increment(spark: SparkSession, bronze: str, load_id: str, n: int = IN
     """
     streamed = spark.table(bronze).where(F.col(LOAD).startswith(STREAM_LOAD))
     newest = top_rows(streamed, [F.desc("member_id"), "event_id"], n)
-    increment = newest.withColumns(
-        {"event_id": F.concat(F.lit(INCREMENT_PREFIX), F.col("event_id")), LOAD: F.lit(load_id)}
-    )
-    overwrite_partitions(increment, bronze, [LOAD])
+    write_load(newest.withColumn("event_id", F.concat(F.lit(INCREMENT_PREFIX), F.col("event_id"))), bronze, load_id)

@@ -19,11 +19,15 @@ from .bronze import LOAD
 
 @dataclass(frozen=True)
 class GoldTables:
-    """Names of the two gold tables; with `root`, they are external below it."""
+    """Names of the two gold tables; with `root`, they are external below it.
+
+    `scale` says that the charges are decimals with so many digits, whose sums are then exact.
+    """
 
     region_smoker: str
     provider_month: str
     root: str | None = None
+    scale: int | None = None
 
     def location(self, table: str) -> str | None:
         return f"{self.root}/{table}" if self.root else None
@@ -52,7 +56,9 @@ def reduce_loads(spark: SparkSession, silver: str, gold: GoldTables, loads: Sequ
     if loads is not None:
         rows = rows.where(F.col(LOAD).isin(list(loads)))
     by_region, by_provider = gold.reduced
-    for table, reduced in ((by_region, reduce_by_region(rows, [LOAD])), (by_provider, reduce_by_provider(rows, [LOAD]))):
+    of_region = reduce_by_region(rows, [LOAD], gold.scale)
+    of_provider = reduce_by_provider(rows, [LOAD], scale=gold.scale)
+    for table, reduced in ((by_region, of_region), (by_provider, of_provider)):
         if loads is None:
             write_table(reduced, table, partition_by=[LOAD], path=gold.location(table))
         else:
@@ -65,6 +71,6 @@ def refresh_gold(spark: SparkSession, silver: str, dim_region: DataFrame, gold:
         by_region, by_provider = (spark.table(t) for t in gold.reduced)
     else:
         rows = spark.table(silver)
-        by_region, by_provider = reduce_by_region(rows), reduce_by_provider(rows)
+        by_region, by_provider = reduce_by_region(rows, (), gold.scale), reduce_by_provider(rows, scale=gold.scale)
     overwrite_rows(region_smoker_of(by_region, dim_region), gold.region_smoker, gold.location(gold.region_smoker))
     overwrite_rows(provider_month_of(by_provider), gold.provider_month, gold.location(gold.provider_month))

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.facts import build_silver
-from ..sinks.tables import overwrite_partitions, write_table
+from ..sinks.tables import drop_partitions, overwrite_partitions, partition_values, write_table
 from ..sources.streams import stream_table
 from .bronze import LOAD, drain, refresh
+from .gold import GoldTables, reduce_loads
 
 Dims = Mapping[str, DataFrame]
 
@@ -48,6 +49,7 @@ def enrich_silver(
     checkpoint: str,
     location: str | None = None,
     after: Callable[[Sequence[str]], None] | None = None,
+    gold: GoldTables | None = None,
 ) -> None:
     """Bring silver up to date with the bronze loads that were written since the last run.
 
@@ -55,7 +57,8 @@ def enrich_silver(
     that is written twice, a replayed micro-batch, and files of one load spread over micro-batches all end with the same
     rows, without comparing ids and without reading the rest of silver. Number of loads per run: one per bronze write.
 
-    `after` is called with the loads once they are in silver, and again when a micro-batch is replayed.
+    `after` is called with the loads once they are in silver, and again when a micro-batch is replayed. With `gold`, its
+    reductions follow. Loads that bronze no longer has go from silver and the reductions.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
@@ -63,19 +66,48 @@ def enrich_silver(
         if loads:
             refresh(spark, bronze)
             changed = spark.table(bronze).where(F.col(LOAD).isin(loads))
-            overwrite_partitions(build_silver(changed, dims, keep=[LOAD]), table, [LOAD], location)
+            rows = build_silver(changed, dims, keep=[LOAD]).hint("rebalance", LOAD)  # few files per load
+            overwrite_partitions(rows, table, [LOAD], location)
+            if gold:
+                reduce_loads(spark, table, gold, loads)
             if after:
                 after(loads)
 
     drain(stream_table(spark, bronze), publish, checkpoint)
     refresh(spark, table)
     _ensure_table(spark, bronze, dims, table, location)
+    _drop_stale(spark, bronze, table, *(gold.reduced if gold else ()))
 
 
-def rebuild_silver(spark: SparkSession, bronze: str, dims: Dims, table: str, location: str | None = None) -> None:
+def _drop_stale(spark: SparkSession, bronze: str, *tables: str) -> None:
+    """Drop the loads that bronze does not have (any more)."""
+    held = set(partition_values(spark, bronze, LOAD))
+    for table in tables:
+        if spark.catalog.tableExists(table):
+            drop_partitions(spark, table, LOAD, [v for v in partition_values(spark, table, LOAD) if v not in held])
+
+
+def rebuild_silver(
+    spark: SparkSession,
+    bronze: str,
+    dims: Dims,
+    table: str,
+    location: str | None = None,
+    gold: GoldTables | None = None,
+) -> None:
     """Build silver anew from all of bronze, which also repairs rows that were enriched before their dimension rows arrived.
 
-    Rows are gathered by load before they are written, large loads over several tasks, so that a load has few files.
+    An existing table of the same columns is replaced load by load, and loads it should not have go last, so it is never
+    empty on the way. Rows are gathered by load before they are written, large loads over several tasks, so that a load has
+    few files. With `gold`, the reductions that its refresh by load adds up are made anew as well; without, a refresh by load
+    after a rebuild needs `reduce_loads` first.
     """
     rows = build_silver(spark.table(bronze), dims, keep=[LOAD]).hint("rebalance", LOAD)
-    write_table(rows, table, partition_by=[LOAD], overwrite_schema=True, path=location)
+    if spark.catalog.tableExists(table) and dict(spark.table(table).dtypes) == dict(rows.dtypes):
+        overwrite_partitions(rows, table, [LOAD], location)
+        _drop_stale(spark, bronze, table)
+        refresh(spark, table)
+    else:
+        write_table(rows, table, partition_by=[LOAD], overwrite_schema=True, path=location)
+    if gold:
+        reduce_loads(spark, table, gold)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from starloom.constants import EVENT_SCHEMA
+from starloom.operators.staging import delete_path
 from starloom.plans.calendar import calendar_extended
 from starloom.plans.dimensions import build_dim_plan, conform_provider, provider_rows
 from starloom.plans.gold import gold_provider_month
-from starloom.plans.runs import Layout, reset_stream, run_medallion
+from starloom.plans.runs import Layout, continue_medallion, event_files, reset_stream, run_medallion
 from starloom.sinks.files import write_csv, write_json_batches
 from starloom.sinks.tables import (
     append_table,
@@ -144,7 +145,7 @@ class Flow:
         self.events(lo, hi).coalesce(1).write.mode("append").json(f"{self.input}/interval={interval}")
 
     def ingest(self, max_files=None):
-        ingest_bronze(self.spark, self.input, self.bronze, f"{self.folder}/cp_bronze", max_files=max_files)
+        ingest_bronze(self.spark, self.input, self.bronze, f"{self.folder}/cp_bronze", max_files=max_files, source="in")
 
     def enrich(self):
         enrich_silver(self.spark, self.bronze, self.dims, self.silver, f"{self.folder}/cp_silver")
@@ -168,7 +169,7 @@ def test_bronze_takes_each_file_once(flow):
         flow.arrive(interval, lo, hi)
     flow.ingest(max_files=1)
     loads = rows(flow.spark.table(flow.bronze).groupBy("load_id").count())
-    assert loads == [("stream-0", 10), ("stream-1", 10), ("stream-2", 10)]
+    assert loads == [("stream-in-0", 10), ("stream-in-1", 10), ("stream-in-2", 10)]
     assert rows(flow.spark.table(flow.bronze).groupBy("interval").count()) == [(1, 10), (2, 10), (3, 10)]
     flow.ingest()
     assert flow.count(flow.bronze) == 30
@@ -177,6 +178,74 @@ def test_bronze_takes_each_file_once(flow):
     assert flow.count(flow.bronze) == 35
 
 
+def test_old_and_nested_files_are_read(flow):
+    flow.arrive(1, 1, 10)
+    flow.ingest()
+    flow.events(11, 15).coalesce(1).write.json(f"{flow.input}/late/deeper/interval=2")
+    for folder, _, names in os.walk(f"{flow.input}/late"):
+        for name in names:
+            os.utime(f"{folder}/{name}", (1_000_000_000, 1_000_000_000))
+    flow.ingest()
+    assert rows(flow.spark.table(flow.bronze).groupBy("interval").count()) == [(1, 10), (2, 5)]
+
+
+def test_sources_share_a_table(flow):
+    spark = flow.spark
+    flow.arrive(1, 1, 10)
+    flow.ingest()
+    flow.events(21, 23).write.json(f"{flow.folder}/other")
+    ingest_bronze(spark, f"{flow.folder}/other", flow.bronze, f"{flow.folder}/cp_other")
+    assert flow.count(flow.bronze) == 13
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest_bronze(spark, f"{flow.folder}/other", flow.bronze, f"{flow.folder}/cp_third", source="in")
+    assert flow.count(flow.bronze) == 13
+
+
+def test_a_lost_checkpoint_reads_everything_once(flow):
+    spark = flow.spark
+    flow.arrive(1, 1, 4)
+    take = lambda: ingest_bronze(spark, flow.input, flow.bronze, f"{flow.folder}/cp_lost")
+    take()
+    flow.arrive(2, 5, 10)
+    take()
+    flow.enrich()
+    assert flow.count(flow.silver) == 10
+    delete_path(spark, f"{flow.folder}/cp_lost")
+    take()
+    assert flow.count(flow.bronze) == 10
+    flow.enrich()
+    assert flow.count(flow.silver) == 10
+
+
+def test_a_load_that_becomes_empty_goes(flow):
+    spark = flow.spark
+    flow.arrive(1, 1, 6)
+    flow.ingest()
+    append_increment(spark, flow.bronze, "increment-1", 3)
+    flow.enrich()
+    assert (flow.count(flow.bronze), flow.count(flow.silver)) == (9, 9)
+    append_increment(spark, flow.bronze, "increment-1", 0)
+    flow.enrich()
+    assert (flow.count(flow.bronze), flow.count(flow.silver)) == (6, 6)
+
+
+def test_gold_by_load_follows_a_rebuild(flow):
+    spark = flow.spark
+    gold = GoldTables(f"{flow.label}_g1", f"{flow.label}_g2")
+    region = spark.createDataFrame([(1, "west")], "region_key bigint, region_name string")
+    flow.arrive(1, 1, 20)
+    flow.arrive(2, 21, 30)
+    flow.ingest(max_files=1)
+    enrich_silver(spark, flow.bronze, flow.dims, flow.silver, f"{flow.folder}/cp_silver", gold=gold)
+    refresh_gold(spark, flow.silver, region, gold, by_load=True)
+    flow.dims["member"] = flow.dims["member"].withColumn("smoker", F.lit("yes"))
+    rebuild_silver(spark, flow.bronze, flow.dims, flow.silver, gold=gold)
+    refresh_gold(spark, flow.silver, region, gold, by_load=True)
+    found = rows(spark.table(gold.region_smoker), "region_name", "smoker", "num_events")
+    assert found == [("west", "yes", 20), (None, None, 10)]
+    reset(spark, [gold.region_smoker, gold.provider_month, *gold.reduced])
+
+
 def test_a_replayed_bronze_batch_adds_nothing(flow):
     flow.arrive(1, 1, 10)
     flow.ingest()
@@ -199,7 +268,7 @@ def test_silver_follows_new_repeated_and_appended_loads(flow):
     flow.enrich()
     assert flow.count(flow.silver) == 30
 
-    again = spark.table(flow.bronze).where("load_id = 'stream-0'")
+    again = spark.table(flow.bronze).where("load_id = 'stream-in-0'")
     again.write.mode("overwrite").parquet(f"{flow.folder}/copy")
     overwrite_partitions(spark.read.parquet(f"{flow.folder}/copy"), flow.bronze, ["load_id"])
     flow.enrich()
@@ -317,7 +386,7 @@ def test_gold_load_by_load_equals_gold_of_all(flow):
     assert load() == 35
     append_increment(spark, flow.bronze, "increment-1", 3)
     assert load() == 33
-    assert reduced == [["stream-0"], ["increment-1", "stream-1"], ["increment-1"]]
+    assert reduced == [["stream-in-0"], ["increment-1", "stream-in-1"], ["increment-1"]]
     rebuild_silver(spark, flow.bronze, flow.dims, flow.silver)
     reduce_loads(spark, flow.silver, parts)
     assert load() == 33
@@ -367,6 +436,12 @@ def test_medallion_end_to_end(spark, tmp_path):
     assert sum(r[2] for r in gold) == 125
     assert spark.table(names["silver"]).where("date_key IS NULL OR region_key IS NULL OR plan_key IS NULL").count() == 0
     assert spark.table(names["silver"]).select("fact_key").distinct().count() == 125
+    assert spark.table(names["bronze"]).where("load_id LIKE 'stream%'").groupBy("interval", "load_id").count().count() == 3
+    late = spark.table(names["bronze"]).where("interval = 1").limit(7).drop("load_id", "interval")
+    late.write.json(f"{event_files(Layout('e2e_', str(tmp_path)), str(tmp_path))}/interval=4")
+    continue_medallion(spark, Layout("e2e_", str(tmp_path)), str(tmp_path), "increment-2")
+    assert spark.table(names["bronze"]).count() == spark.table(names["silver"]).count() == 157
+    assert sum(r[2] for r in rows(spark.table(names["gold_region_smoker"]))) == 157
 
 
 def test_json_batches_are_folders(spark, tmp_path):
