@@ -31,50 +31,87 @@ class Settings:
     seed: int = 7
 
 
-class Words(dict):
-    """Numbers the words it is asked for, and keeps the buckets of each: the word itself and its character n-grams."""
+class Words:
+    """Numbers words, and works out the buckets of new ones together: the word itself and its character n-grams.
 
-    LIMIT = 500_000  # words kept at a time; beyond, the store starts anew
+    Buckets of a word are in line in `ids`, from `starts`. With `odds`, only each word's mean log-odds are kept.
+    """
+
+    LIMIT = 1_000_000  # words kept at a time; beyond, the store starts anew
+
+    def __init__(self, settings: Settings, odds: np.ndarray | None = None):
+        self.settings, self.odds = settings, odds
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.hashes = np.zeros(0, np.uint64)
+        self.values = np.zeros(0, np.float64)
+        self.ids = np.zeros(0, np.int64)
+        self.starts = np.zeros(1, np.int64)
 
-    def __init__(self, settings: Settings):
-        super().__init__()
-        self.settings = settings
-        self.hashes: list[int] = []
-        self.buckets: list[np.ndarray] = []
-        self.values: list[float] = []  # of the words so far, for whoever scores
+    def _buckets(self, hashes: np.ndarray) -> np.ndarray:
+        mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(self.settings.buckets)).astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self.hashes)
+    def _grams(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words, the buckets of all their parts, and the word that each part is of."""
         shape = self.settings
-        marked = b"<" + word + b">"
-        grams = {marked[a : a + n] for n in range(shape.shortest, shape.longest + 1) for a in range(len(marked) - n + 1)}
-        grams.add(b"w" + marked)
-        self.hashes.append(zlib.crc32(word))
-        self.buckets.append(np.fromiter(sorted(zlib.crc32(g) % shape.buckets for g in grams), dtype=np.int64))
-        return place
-
-    def text(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words of a text, and the buckets of its word pairs."""
-        if len(self.hashes) > self.LIMIT:
+        whole = np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
+        data = np.frombuffer(b"".join([b"<" + w + b">" for w in words]), dtype=np.uint8).astype(np.uint64)
+        owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+        ids, owners = [self._buckets(whole)], [np.arange(len(words))]
+        for n in range(shape.shortest, shape.longest + 1):
+            m = len(data) - n + 1
+            if m <= 0:
+                break
+            gram = np.full(m, n, dtype=np.uint64)
+            for k in range(n):
+                gram = gram * np.uint64(1_000_003) + data[k : k + m]
+            inside = owner[:m] == owner[n - 1 :]
+            ids.append(self._buckets(gram[inside]))
+            owners.append(owner[:m][inside])
+        return whole, np.concatenate(ids), np.concatenate(owners)
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Make room for the words of these texts."""
+        if len(self.places) > self.LIMIT:
             self.clear()
-            self.hashes, self.buckets, self.values = [], [], []
-        places = np.fromiter(map(self.__getitem__, text.encode("utf-8", "replace").split()), dtype=np.int64)
-        hashes = np.fromiter((self.hashes[p] for p in places.tolist()), dtype=np.uint64, count=len(places))
+        new = sorted({w for words in texts for w in words} - self.places.keys())
+        for a in range(0, len(new), 20_000):
+            words = new[a : a + 20_000]
+            self.places.update(zip(words, range(len(self.hashes), len(self.hashes) + len(words))))
+            hashes, ids, owners = self._grams(words)
+            sizes = np.bincount(owners, minlength=len(words))
+            self.hashes = np.concatenate([self.hashes, hashes])
+            if self.odds is not None:
+                self.values = np.concatenate([self.values, np.bincount(owners, self.odds[ids], len(words)) / sizes])
+            else:
+                self.ids = np.concatenate([self.ids, ids[np.argsort(owners, kind="stable")]])
+                self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def text(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of a text, and the buckets of its word pairs. The words must be known."""
+        places = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+        hashes = self.hashes[places]
         left, right = hashes[:-1], hashes[1:]
-        pairs = (left * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
-        pairs = np.where(left == right, np.uint64(0), pairs)  # a word said twice is one feature, whatever the word
-        return places, (pairs % np.uint64(self.settings.buckets)).astype(np.int64)
+        pairs = self._buckets(left * np.uint64(0xC2B2AE3D27D4EB4F) + right)
+        return places, np.where(left == right, 0, pairs)  # a word said twice is one feature, whatever the word
 
 
-def features(words: Words, text: str) -> tuple[np.ndarray, np.ndarray]:
+def split(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "replace").split() if text else []
+
+
+def features(words: Words, text: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and their shares: every word counts once, split among its n-grams, and so does every pair."""
     places, pairs = words.text(text)
     if not len(places):
         return np.zeros(0, np.int64), np.zeros(0)
     kinds, times = np.unique(places, return_counts=True)
-    parts = [words.buckets[k] for k in kinds.tolist()]
-    sizes = np.array([len(p) for p in parts])
-    ids = np.concatenate([*parts, pairs])
+    first, sizes = words.starts[kinds], words.starts[kinds + 1] - words.starts[kinds]
+    inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ids = np.concatenate([words.ids[np.repeat(first, sizes) + inner], pairs])
     shares = np.concatenate([np.repeat(times / sizes, sizes), np.ones(len(pairs))])
     kinds, inverse = np.unique(ids, return_inverse=True)
     return kinds, np.bincount(inverse, shares) / (len(places) + len(pairs))
@@ -120,7 +157,9 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings, column: str =
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words(settings)
         for batch in batches:
-            found = [features(words, t) for t in batch["text"]]
+            texts = [split(t) for t in batch["text"]]
+            words.learn(texts)
+            found = [features(words, t) for t in texts]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
@@ -143,18 +182,17 @@ def score(docs: DataFrame, odds: np.ndarray, bias: float, settings: Settings) ->
     odds = odds.astype(np.float32)
 
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Words(settings)
+        words = Words(settings, odds)
         for batch in texts:
-            logits = np.full(len(batch), bias)
-            for i, text in enumerate(batch):
-                if not text:
-                    continue
-                places, pairs = words.text(text)
-                words.values.extend(float(odds[b].mean()) for b in words.buckets[len(words.values) :])
-                if len(places):
-                    total = sum(map(words.values.__getitem__, places.tolist())) + float(odds[pairs].sum(dtype=np.float64))
-                    logits[i] += total / (len(places) + len(pairs))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -700, 700))))
+            found = np.empty(len(batch))
+            for a in range(0, len(batch), 500):
+                some = [split(t) for t in batch.iloc[a : a + 500]]
+                words.learn(some)
+                for i, text in enumerate(some, a):
+                    places, pairs = words.text(text)
+                    total = words.values[places].sum() + odds[pairs].sum(dtype=np.float64)
+                    found[i] = bias + total / max(1, len(places) + len(pairs))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(found, -700, 700))))
 
     udf = F.pandas_udf(scored, "double")
     return docs.withColumn("score", udf("text"))
