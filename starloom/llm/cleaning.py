@@ -113,7 +113,7 @@ def clean(docs: DataFrame, rules: Rules = Rules(), with_text: bool = True) -> Da
     """Add the counts, the verdict and the text without failed lines to documents; their own columns stay.
 
     Null texts have no words, and documents without words or with fewer than `fewest_words` fail. Repeated rows are judged
-    each. A column named like one of the added ones must be renamed first.
+    each. Added columns take the place of ones that are named like them.
     """
     fields = [f for f in _SCHEMA.split(", ") if with_text or not f.startswith("clean_text")]
 
@@ -123,7 +123,8 @@ def clean(docs: DataFrame, rules: Rules = Rules(), with_text: bool = True) -> Da
         return pd.DataFrame(rows, columns=[f.split(":")[0] for f in fields])
 
     found = docs.withColumn("__judged", judged("text"))
-    return found.select(*[f"`{c}`" for c in docs.columns], "__judged.*")
+    added = {f.split(":")[0] for f in fields}
+    return found.select(*[f"`{c}`" for c in docs.columns if c not in added], "__judged.*")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -164,21 +164,23 @@ def dedup(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Documents without the blocks that an earlier document has: text is replaced; n_lines_removed and n_words_removed follow.
 
     Null texts stay null, empty ones empty. Rows with a null doc_id have no place in the order and stay as they are.
-    Rows that repeat id and text are one document, so neither loses its lines to the other. Other columns stay.
+    Rows that repeat id and text are one document, so neither loses its lines to the other. Other columns stay, but for
+    ones named like the two added.
     """
     gone = stage(overlaps(docs, least), "gone")
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "gone")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone"))
     on = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__digest"))
     lines = F.split("text", "\n", -1)
-    marked = docs.join(gone, on, "left")
-    left = F.array_join(F.filter(lines, lambda line, n: ~F.array_contains("gone", n)), "\n")
-    removed = F.array_join(F.transform("gone", lambda n: F.get(lines, n)), "\n")
-    names = [n for n in docs.columns if n != "text"]
+    marked = docs.join(gone.hint("merge"), on, "left")  # grows with the documents, so it is not broadcast at any size
+    left = F.array_join(F.filter(lines, lambda line, n: ~F.array_contains("__gone", n)), "\n")
+    removed = F.array_join(F.transform("__gone", lambda n: F.get(lines, n)), "\n")
+    names = [n for n in docs.columns if n not in ("text", "n_lines_removed", "n_words_removed")]
+    whole = F.col("__gone").isNull()
     return marked.select(
         *[f"`{n}`" for n in names],
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_lines_removed"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.regexp_count(removed, F.lit(r"[^\x20\x09-\x0D]+"))).alias("n_words_removed"),
+        F.when(whole, F.col("text")).otherwise(left).alias("text"),
+        F.when(whole, 0).otherwise(F.size("__gone")).alias("n_lines_removed"),
+        F.when(whole, 0).otherwise(F.regexp_count(removed, F.lit(r"[^\x20\x09-\x0D]+"))).alias("n_words_removed"),
     )
 
 

@@ -64,9 +64,11 @@ def mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
     digest of the source and the seed.
 
     Null sources are one source, null doc_ids are ordered first, repeated rows are documents of their own, and a source
-    without any words has target 0 and nothing taken. An empty table gives an empty result. Other columns stay.
-    `rows` is read three times: stage what is costly to compute.
+    without any words has target 0 and nothing taken. An empty table gives an empty result. Other columns stay, but
+    for ones named like the four added. `rows` is read three times: stage what is costly to compute.
     """
+    added = ("source_size", "target", "copies", "taken")
+    rows = rows.drop(*added)
     kept = [F.col(f"`{c}`") for c in rows.columns]
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     sources = sources.select(F.col("source").alias("__source"), "source_size", "target")

@@ -231,7 +231,8 @@ _LIMIT, _GROUP = 500_000, 2_000_000  # tokens kept at a time; characters scored
 def tag(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """Add `score` and `spans` (code points, end exclusive, probability) to documents.
 
-    Whole texts are read. Null and empty texts have no spans and score what no evidence gives. Other columns stay.
+    Whole texts are read. Null and empty texts have no spans and score what no evidence gives. Other columns stay, but
+    for ones named like the two added.
     """
 
     @F.pandas_udf(f"struct<score:double,spans:{SPAN}>")
@@ -259,7 +260,8 @@ def tag(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataF
             yield pd.DataFrame({"score": scores, "spans": spans})
 
     both = docs.withColumn("__tagged", tagged("text"))
-    return both.select(*[f"`{c}`" for c in docs.columns], "__tagged.score", "__tagged.spans")
+    kept = [f"`{c}`" for c in docs.columns if c not in ("score", "spans")]
+    return both.select(*kept, "__tagged.score", "__tagged.spans")
 
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
