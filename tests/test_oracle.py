@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from starloom.registry import ORACLES, QUERIES
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,9 +19,9 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    assert compare(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
