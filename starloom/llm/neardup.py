@@ -183,49 +183,77 @@ def _sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     return texts.mapInPandas(hashed, "key binary, hashes binary").dropDuplicates(["key"])
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    side = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}"))
-    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return known.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
-def _strays(members: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are not yet in one component and may still be linked; neither is the bucket's least.
-
-    In each bucket only members outside its largest component are paired with others. Most of those are beyond a link with
-    anybody: shingles that no other text in question has cannot be in common, so of texts with n and m shingles, of which r
-    and s are shared at all, at most min(r, s) can be in common. That bound is exact and needs no pairs.
+BLOCK = 256  # texts on either side of a block of comparisons
+
+
+def _links_of_block(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Exact links between texts of two blocks, from counts of common shingles, a few thousand shingles at a time."""
+    right = right.rename(columns=lambda c: c.removesuffix("_"))
+    sides = [[np.frombuffer(h, "<u8") for h in x["hashes"]] for x in (left, right)]
+    if not all(sides):
+        return pd.DataFrame({"a": [], "b": []}, dtype=object)
+    known = np.intersect1d(*[np.unique(np.concatenate(s)) for s in sides])
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, len(known), 4096):
+        part = known[start : start + 4096]
+        marks = []
+        for arrays in sides:
+            mark = np.zeros((len(arrays), len(part)), dtype=np.float32)
+            for i, hashes in enumerate(arrays):
+                own = hashes[np.searchsorted(hashes, part[0]) : np.searchsorted(hashes, part[-1], side="right")]
+                at = np.searchsorted(part, own)
+                mark[i, at[part[at] == own]] = 1
+            marks.append(mark)
+        common += marks[0] @ marks[1].T
+    n, m = (np.array([len(h) for h in s]) for s in sides)
+    near = 100 * common >= percent * (n[:, None] + m[None, :] - common)
+    near &= left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :]
+    pairs = [sorted((left["key"].iat[i], right["key"].iat[j])) for i, j in zip(*np.nonzero(near))]
+    return pd.DataFrame(pairs, columns=["a", "b"])
+
+
+def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links between members of a bucket that the pairs with its least key have not joined into one component.
+
+    In each bucket only members outside its largest component are compared with others. Most of those are beyond a link with
+    anybody: shingles that no other text in question has cannot be in common, so a text of n shingles of which too few are
+    shared at all is left out, without a pair. The rest of a bucket is compared in blocks, full set against full set; only
+    links leave a block, so neither a large bucket nor the pairs in it meet in one task.
     """
-    both = ["bucket", "key", "root"]
     placed = members.join(roots.select(F.col("node").alias("b"), "root"), "b", "left")
-    placed = placed.select("bucket", F.col("b").alias("key"), F.coalesce("root", "b").alias("root"), (F.col("a") == F.col("b")).alias("least"))
-    placed = stage(placed, "placed")
+    placed = stage(placed.select("bucket", F.col("b").alias("key"), F.coalesce("root", "b").alias("root")), "placed")
     counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mains = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
     mains = mains.filter("k > 1 and n > 2").select("bucket", "main")
-    open_ = stage(placed.filter("not least").join(mains, "bucket").select(*both, "main"), "open")
+    open_ = stage(placed.join(mains, "bucket"), "open")
+    asked = sets.join(open_.select("key").distinct(), "key")
 
     def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, hashes in zip(batch["key"], batch["hashes"]):
                 yield pd.DataFrame({"hash": np.frombuffer(hashes, "<i8"), "key": key})
 
-    asked = sets.join(open_.select("key").distinct(), "key").mapInPandas(exploded, "hash bigint, key binary")
-    alone = asked.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.first("key").alias("key")).filter("n = 1")
+    alone = asked.mapInPandas(exploded, "hash bigint, key binary").groupBy("hash")
+    alone = alone.agg(F.count(F.lit(1)).alias("n"), F.first("key").alias("key")).filter("n = 1")
     alone = alone.groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = classes.select("key", "n_shingles").join(open_.select("key").distinct(), "key").join(alone, "key", "left")
-    size = F.col("n_shingles")
-    sizes = sizes.select("key", size.alias("n"), (size - F.coalesce("alone", F.lit(0))).alias("shared"))
-    sizes = sizes.filter(F.col("shared") * 100 >= F.col("n") * settings.percent)  # else linked with nothing
-    able = stage(open_.join(sizes, "key"), "able")
-    one = able.filter("root <> main").select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("key", "root", "n", "shared")])
-    two = able.select("bucket", "main", *[F.col(c).alias(f"{c}_b") for c in ("key", "root", "n", "shared")])
-    common = F.least("shared_a", "shared_b")
-    fits = common * 100 >= (F.col("n_a") + F.col("n_b") - common) * settings.percent
-    once = (F.col("root_b") == F.col("main")) | (F.col("key_a") < F.col("key_b"))
-    pairs = one.join(two, "bucket").filter((F.col("root_a") != F.col("root_b")) & once & fits)
-    return pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+    size = F.octet_length("hashes") / 8
+    able = asked.join(alone, "key", "left").filter((size - F.coalesce("alone", F.lit(0))) * 100 >= size * settings.percent)
+    able = stage(open_.join(able.select("key"), "key"), "able")
+    stray = F.col("root") != F.col("main")
+    blocks = able.groupBy("bucket").agg(F.count_if(stray).alias("strays"), F.count(F.lit(1)).alias("all"))
+    blocks = blocks.filter("strays > 0 and all > 1").select(
+        "bucket", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(n) for n in ("strays", "all")]
+    )
+    able = able.join(blocks, "bucket").join(sets, "key")
+    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["bucket", "key", "root", "hashes"]
+    left = able.filter(stray).select(*columns, own("strays").alias("i"), each("all").alias("j"))
+    right = able.select(*columns, own("all").alias("j"), each("strays").alias("i"))
+    percent = settings.percent
+    right = right.toDF(*[f"{c}_" for c in right.columns])  # the same columns of the same rows: names tell the sides apart
+    found = left.groupBy("bucket", "i", "j").cogroup(right.groupBy("bucket_", "i_", "j_"))
+    return found.applyInPandas(lambda x, y: _links_of_block(x, y, percent), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -234,7 +262,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     Texts with the same words form a class. Classes that agree in all registers of a band meet in a bucket. Buckets are not
     paired off: each member is paired with the bucket's least key, the pairs that the joint estimate does not rule out are
     confirmed on full sets, and the links give components. Members of a bucket that are then outside its largest component are
-    paired with the others as far as an exact bound allows, so that a link between any two members is found. At the threshold a band agrees with
+    compared with the others in blocks, so that a link between any two members is found. At the threshold a band agrees with
     probability 0.85 ** 5, so 32 bands miss a link of 85% with probability 7e-9.
 
     Null and empty texts have no set and are linked with nothing; null doc_ids take part but name no component (their
@@ -249,27 +277,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     classes = stage(classes.filter("rep is not null"), "classes")
     buckets = _buckets(classes, settings)
     leaders = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("last")).filter("a < last")
-    leaders = stage(leaders.select("bucket", "a"), "leaders")
-    members = stage(buckets.join(leaders, "bucket").select("bucket", "a", F.col("key").alias("b")), "members")
-    stars = stage(_likely(members.filter("a < b").select("a", "b").distinct(), classes, settings), "stars")
-
+    members = buckets.join(leaders.select("bucket", "a"), "bucket").select("bucket", "a", F.col("key").alias("b"))
+    members = stage(members, "members")
+    stars = _likely(members.filter("a < b").select("a", "b").distinct(), classes, settings)
     met = classes.select("key", "rep").join(members.select(F.col("b").alias("key")).distinct(), "key")
     sets = stage(_sets(docs, met, settings), "sets")
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")  # one check for most documents
-    links = stage(_confirmed(nearest, sets, settings), "links")
-    roots = stage(components(links), "roots")
-    more = _across(stars, roots).join(nearest, ["a", "b"], "left_anti")
-    links = links.unionByName(stage(_confirmed(more, sets, settings), "links"))
+    links = stage(_confirmed(stars, sets, settings), "links")
     roots = stage(components(links), "roots")
-    rest = stage(_likely(_strays(members, roots, classes, sets, settings), classes, settings), "rest")
+    rest = stage(_strays(members, roots, sets, settings), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(stage(_confirmed(rest, sets, settings), "links"))
-        roots = stage(components(links), "roots")
+        roots = stage(components(links.unionByName(rest)), "roots")
 
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = stage(named.join(least, "root").select("key", "component_id"), "named")
+    named = named.join(least, "root").select("key", "component_id")
     all_rows = rows.select("doc_id", "digest", "n_shingles", "key").join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return all_rows.select("doc_id", "digest", "n_shingles", component.alias("component_id")).withColumn(
