@@ -1,8 +1,8 @@
 """Joins of large rows with lookups, safe against hot keys.
 
 Plain joins are left to Spark, which broadcasts by its own size check and splits skewed probe partitions at run time. The
-operators here add what it does not cover: a broadcast whose size has been counted, a route for hot keys that never
-shuffles them, and an outer join whose optional side is the skewed one.
+operators here add what it does not cover: a broadcast whose size is known, keys with too many rows for one task, and an
+outer join whose optional side is the skewed one.
 """
 
 from __future__ import annotations
@@ -10,22 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import add, and_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    ByteType,
-    DataType,
-    DateType,
-    IntegerType,
-    LongType,
-    NumericType,
-    ShortType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+
+from .staging import stage
 
 # A lookup is broadcast when its counted rows take no more than this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -33,10 +24,12 @@ _ROW_BYTES, _FIELD_BYTES = 16, 8
 # Bytes that one byte of a stored file may stand for.
 _UNPACKED = 64
 _PLAIN = (NumericType, DateType, BooleanType, TimestampType, TimestampNTZType)
-# A key is hot when it holds at least this share of the rows; at most 1 / HOT_SHARE keys can.
-HOT_SHARE = 0.01
+# Rows of one key that one task should hold; a key with more is spread over several tasks.
+HOT_ROWS = 2_000_000
 
-_HASH = "__hash"
+_SALT, _TASKS = "__salt", "__tasks"
+# Over so many values are rows spread whose key is NULL and matches nothing.
+_NULL_SALTS = 1024
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -64,42 +57,55 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return rows * row + df.agg(F.sum(reduce(add, lengths))).first()[0] <= limit
 
 
-_INTEGERS = (ByteType, ShortType, IntegerType, LongType)
+def _key_names(count: int) -> list[str]:
+    return [f"__key{i}" for i in range(count)]
 
 
-def _route(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Hash of the key; equal keys of two sides hash alike, integers of any width included."""
-    types: list[DataType] = [df.schema[k].dataType for k in keys]
-    return F.xxhash64(*[F.col(k).cast("bigint") if isinstance(t, _INTEGERS) else F.col(k) for k, t in zip(keys, types, strict=True)])
+def _condition(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
+    pairs = zip(left, right, strict=True)
+    return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs))
 
 
-def _routable(left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str]) -> bool:
-    """Whether equal keys are sure to hash alike: both integers, or one and the same type."""
-    for a, b in zip(left_keys, right_keys, strict=True):
-        x, y = left.schema[a].dataType, right.schema[b].dataType
-        if isinstance(x, _INTEGERS) and isinstance(y, _INTEGERS):
-            continue
-        if x != y:
-            return False
-    return True
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, null_safe: bool = False) -> DataFrame | None:
+    """Keys that hold more than `rows` rows, as `__key0`, ..., with the number of tasks to spread each over; None without any.
 
+    Only the key columns are read, and counted on the map side first. At most one key in `rows` rows can be hot, so the
+    result is small beside the data. NULL is a key only with `null_safe`.
+    """
+    if df.count() <= rows:  # from the files' footers where the rows are stored
+        return None
+    names = _key_names(len(keys))
+    counted = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    if not null_safe:
+        counted = counted.na.drop()
+    counted = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
+    hot = stage(counted.select(*names, F.ceil(F.col("n") / rows).cast("int").alias(_TASKS)), "hot")
+    return None if hot.isEmpty() else hot
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of every key that holds at least `share` of the rows, possibly with some rarer ones.
 
-    One pass with a bounded summary per task; no key at or above the share is missed. NULL keys count as a key.
-    """
-    found = df.select(_route(df, keys).alias(_HASH)).stat.freqItems([_HASH], share).first()
-    return list(found[0] or []) if found else []
+def _marked(df: DataFrame, keys: Sequence[str], hot: DataFrame, null_safe: bool) -> DataFrame:
+    """The rows with the number of tasks of their key, NULL for keys that are not hot."""
+    renamed = hot.toDF(*[f"__hot{i}" for i in range(len(keys))], _TASKS)
+    columns = renamed.columns[:-1]
+    return df.join(F.broadcast(renamed), _condition(keys, columns, null_safe), "left").drop(*columns)
 
 
-def _key_names(count: int) -> list[str]:
-    return [f"__key{i}" for i in range(count)]
+def _salted(many: DataFrame, keys: Sequence[str], hot: DataFrame, null_safe: bool) -> DataFrame:
+    """Rows of hot keys dealt out to salts by the place they are read from; every other row has salt 0.
 
+    Read them from files, or stage them: a task that runs again must find the same places.
+    """
+    place = F.monotonically_increasing_id()
+    salt = F.when(F.col(_TASKS).isNotNull(), F.pmod(place, F.col(_TASKS)))
+    if not null_safe:
+        salt = salt.when(reduce(or_, (F.col(k).isNull() for k in keys)), F.pmod(place, F.lit(_NULL_SALTS)))
+    return _marked(many, keys, hot, null_safe).withColumn(_SALT, salt.otherwise(0).cast("int")).drop(_TASKS)
 
-def _condition(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
-    pairs = zip(left, right, strict=True)
-    return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs))
+
+def _repeated(one: DataFrame, keys: Sequence[str], hot: DataFrame, null_safe: bool) -> DataFrame:
+    """Rows of hot keys once per salt; `__tasks` stays."""
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_TASKS), F.lit(1)) - 1)
+    return _marked(one, keys, hot, null_safe).withColumn("__other", F.explode(salts))
 
 
 def lookup(
@@ -110,6 +116,8 @@ def lookup(
     how: str = "left",
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    unique: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Bring columns of `dim` to the rows of `fact`.
 
@@ -117,9 +125,9 @@ def lookup(
     both sides. `how` is `left` or `inner`. With `null_safe`, NULL matches NULL.
 
     A dim within the broadcast bound is broadcast, so fact rows do not move. Of a larger one, few fact rows (an increment) only
-    need the dim rows of their keys, which are found by broadcasting the keys; among many fact rows, those with hot keys are
-    joined with a broadcast of just their dim rows, and all others by a shuffle on the key. The fact is read more than once
-    then: stage it first if it is costly to compute. Streams take the first way or a plain join.
+    need the dim rows of their keys, which are found by broadcasting the keys. Else both sides are shuffled and read once;
+    fact rows of keys with more than `hot_rows` rows are spread over salts, and their dim rows repeated for each. Say
+    `unique=True` when no key occurs often in the fact, and hot keys are not looked for. Streams are joined plainly.
     """
     on = {on: on} if isinstance(on, str) else dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
@@ -140,15 +148,11 @@ def lookup(
         needed = side.join(found, _condition(wanted.columns, keys, null_safe), "left_semi")
         if fits_broadcast(needed, broadcast_bytes):
             return fact.join(F.broadcast(needed), condition, how).drop(*keys)
-    hot = hot_hashes(fact, fact_keys) if _routable(fact, fact_keys, side, keys) else []
-    if hot:
-        hot_side = side.where(_route(side, keys).isin(hot))
-        if fits_broadcast(hot_side, broadcast_bytes):
-            is_hot = _route(fact, fact_keys).isin(hot)
-            rest = fact.where(~is_hot).join(side, condition, how)
-            moved = fact.where(is_hot).join(F.broadcast(hot_side), condition, how)
-            return rest.unionByName(moved).drop(*keys)
-    return fact.join(side, condition, how).drop(*keys)
+    hot = None if unique else hot_keys(fact, fact_keys, hot_rows, null_safe)
+    if hot is None:
+        return fact.join(side, condition, how).drop(*keys)
+    many, one = _salted(fact, fact_keys, hot, null_safe), _repeated(side, keys, hot, null_safe)
+    return many.join(one, condition & (F.col(_SALT) == F.col("__other")), how).drop(*keys, _SALT, "__other", _TASKS)
 
 
 @dataclass(frozen=True)
@@ -178,32 +182,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], take: S
     return lookup(left, right, on, take, how, null_safe=True)
 
 
-def expand(
-    header: DataFrame, detail: DataFrame, on: str, how: str = "left", broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def expand(header: DataFrame, detail: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join headers to their detail rows by a same-named key; `left` keeps headers without any.
 
     Spark can split a skewed left side of a left join but not a skewed right one, which is the side a hot header's details
-    are on. Hot headers therefore go to their details as a broadcast, and those without details are added back.
+    are on. Details of headers with more than `hot_rows` of them are therefore spread over salts and the header repeated
+    for each; as such a header is known to have details, its repeats that meet none are dropped. Details are read once for
+    the join, and their keys once before it.
     """
     key = "__detail_key"
     detail = detail.withColumnRenamed(on, key)
     condition = F.col(on) == F.col(key)
     columns = [*header.columns, *[c for c in detail.columns if c != key]]
-    plain = header.join(detail, condition, how).select(*columns)
-    if fits_broadcast(detail, broadcast_bytes) or not _routable(header, [on], detail, [key]):
-        return plain
-    hot = hot_hashes(detail, [key])
-    hot_header = header.where(_route(header, [on]).isin(hot) & F.col(on).isNotNull())
-    if not hot or not fits_broadcast(hot_header, broadcast_bytes):
-        return plain
-    hot_detail = detail.where(_route(detail, [key]).isin(hot))
-    rest = header.where(~_route(header, [on]).isin(hot) | F.col(on).isNull()).join(
-        detail.where(~_route(detail, [key]).isin(hot)), condition, how
-    )
-    many = hot_detail.join(F.broadcast(hot_header), condition, "inner")
-    result = rest.select(*columns).unionByName(many.select(*columns))
-    if how == "left":
-        alone = hot_header.join(hot_detail.select(key).distinct(), condition, "left_anti")
-        result = result.unionByName(alone, allowMissingColumns=True)
-    return result
+    hot = hot_keys(detail, [key], hot_rows)
+    if hot is None:
+        return header.join(detail, condition, how).select(*columns)
+    many, one = _salted(detail, [key], hot, False), _repeated(header, [on], hot, False)
+    joined = one.join(many, condition & (F.col(_SALT) == F.col("__other")), how)
+    return joined.where(F.col(_TASKS).isNull() | F.col(key).isNotNull()).select(*columns)

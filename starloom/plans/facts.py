@@ -72,7 +72,7 @@ def build_silver(events: DataFrame, dims: Mapping[str, DataFrame], keep: Sequenc
     )
     calendar = dims["date"]
     day, key = _column(calendar, "full_date", "date"), _column(calendar, "date_key", "datekey")
-    joined = lookup(typed, dims["member"], ["member_id"], ["sex", "smoker", "region", "region_key"])
+    joined = lookup(typed, dims["member"], ["member_id"], ["sex", "smoker", "region", "region_key"], unique=True)
     joined = lookup(joined, dims["provider"], ["provider_code"], ["provider_key", "network_tier", "preferred_provider"])
     joined = lookup(joined, calendar, {"event_date": day}, {key: "date_key"})
     joined = lookup(joined, dims["plan"], {"__plan": "plan_key"}, ["plan_key", "plan_name", "coverage_tier"])
@@ -92,7 +92,7 @@ def build_fact(rows: DataFrame, dim_member: DataFrame, dim_profile: DataFrame) -
         plan_of().alias("plan_key"),
     )
     profile = ["sex", "smoker", "region_key"]
-    fact = lookup(dated, dim_member, ["member_id"], profile)
+    fact = lookup(dated, dim_member, ["member_id"], profile, unique=True)
     fact = lookup(fact, dim_profile, profile, ["risk_profile_key"])
     return fact.select(
         "region_key",

@@ -8,10 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from starloom.operators import joins
 from starloom.operators.checks import check_fk, check_unique, row_counts, unmatched
 from starloom.operators.ids import dense_id, first_seen_key, surrogate_key
-from starloom.operators.joins import Side, attach, expand, fits_broadcast, hot_hashes, lookup, null_safe_join
+from starloom.operators.joins import Side, attach, expand, fits_broadcast, hot_keys, lookup, null_safe_join
 from starloom.operators.rows import dedupe, difference, split_batches, top_rows
 from starloom.operators.staging import new_path, shared_dir, stage
 
@@ -69,7 +68,7 @@ def test_lookup_keeps_rows_and_names_apart(spark):
 
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_hot_route_gives_the_rows_of_the_plain_join(spark, how, null_safe):
+def test_salts_give_the_rows_of_the_plain_join(spark, how, null_safe):
     fact = spark.range(0, 6_000, 1, 4).select(
         "id",
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 900).cast("int").alias("a"),
@@ -79,8 +78,8 @@ def test_hot_route_gives_the_rows_of_the_plain_join(spark, how, null_safe):
     dim = spark.range(801).select(key, F.expr("explode(array(0D, 1D, NULL)) AS b"))
     dim = dim.withColumn("name", F.concat_ws("-", "a", "b"))
     plain = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe)
-    routed = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe, broadcast_bytes=20_000)
-    assert "Union" in plan_of(routed) and "Union" not in plan_of(plain)
+    routed = lookup(fact, dim, ["a", "b"], ["name"], how, null_safe, broadcast_bytes=1, hot_rows=100)
+    assert "__other" in plan_of(routed) and "__other" not in plan_of(plain)
     assert rows(routed) == rows(plain)
 
 
@@ -94,17 +93,17 @@ def test_few_rows_reduce_a_large_lookup(spark, null_safe):
 
 
 def test_hot_keys_are_all_found(spark):
-    df = spark.range(0, 30_000, 1, 5).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    hot = hot_hashes(df, ["k"])
-    assert len(hot) <= 100
-    assert spark.sql("SELECT xxhash64(-1L) AS h").first().h in hot
-    assert hot_hashes(df.limit(0), ["k"]) == []
+    df = spark.range(0, 30_000, 1, 5).select(F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 7 != 0, F.col("id")).alias("k"))
+    assert rows(hot_keys(df, ["k"], 100)) == [(-1, 100)]
+    assert rows(hot_keys(df, ["k"], 100, null_safe=True)) == [(-1, 100), (None, 29)]
+    assert hot_keys(df, ["k"], 10_000) is None and hot_keys(df, ["k"]) is None
 
 
-def test_equal_doubles_route_alike(spark):
+def test_equal_doubles_meet_whatever_their_salt(spark):
     fact = spark.createDataFrame([(0.0,)] * 50 + [(-0.0,)] * 50 + [(float("nan"),)] * 50, "k double")
     dim = spark.createDataFrame([(0.0, "zero"), (float("nan"), "nan"), (1.0, "one"), (2.0, "two")], "k double, name string")
-    routed = lookup(fact, dim, ["k"], ["name"], broadcast_bytes=130)
+    routed = lookup(fact, dim, ["k"], ["name"], broadcast_bytes=1, hot_rows=20)
+    assert "Generate explode" in plan_of(routed)
     assert rows(routed.groupBy("name").count()) == [("nan", 50), ("zero", 100)]
 
 
@@ -137,29 +136,20 @@ def test_attach_uses_columns_of_earlier_sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_expand_with_a_hot_header(spark, how):
+def test_expand_splits_a_header_with_a_small_share_of_the_rows(spark, how, tmp_path):
     header = spark.range(1200).select(F.when(F.col("id") < 1190, F.col("id")).alias("k"), F.col("id").alias("h"))
-    detail = spark.range(6000).select(
-        F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 1000).cast("int").alias("k"),
+    spark.range(6000).select(
+        F.when(F.col("id") % 200 == 0, 5).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 1000).cast("int").alias("k"),
         F.col("id").alias("d"),
-    )
+    ).write.parquet(f"{tmp_path}/detail")
+    detail = spark.read.parquet(f"{tmp_path}/detail")
     plain = header.join(detail.withColumnRenamed("k", "x"), F.col("k") == F.col("x"), how).drop("x")
-    routed = expand(header, detail, "k", how, broadcast_bytes=20_000)
-    assert "Union" in plan_of(routed)
+    routed = expand(header, detail, "k", how, hot_rows=12)  # key 5 has half a percent of the rows
+    assert plan_of(routed).count(f"{tmp_path}/detail") == 1 and "Generate explode" in plan_of(routed)
     assert rows(routed) == rows(plain)
     assert rows(expand(header, detail, "k", how)) == rows(plain)
 
 
-def test_expand_keeps_a_hot_header_without_details(spark, monkeypatch):
-    """A header may hash like a hot key without having details: it is added back."""
-    header = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, h string")
-    detail = spark.createDataFrame([(1, 10)] * 40, "k int, d int")
-    both = [r.h for r in spark.sql("SELECT xxhash64(k) AS h FROM VALUES (1L), (2L) AS t(k)").collect()]
-    monkeypatch.setattr(joins, "hot_hashes", lambda *_: both)
-    routed = expand(header, detail, "k", broadcast_bytes=600)
-    assert rows(routed.groupBy("k", "h", "d").count()) == [(1, "a", 10, 40), (2, "b", None, 1), (3, "c", None, 1)]
-
-
 def test_distinct_by_key(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 2), (1, "c", 1), (2, None, 5)], "k int, t string, o int")
     assert rows(dedupe(df, ["k"], ["o", "t"])) == [(1, "c", 1), (2, None, 5)]
