@@ -23,6 +23,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--resume", action="store_true", help="go on from the tables of an earlier run (medallion)")
     parser.add_argument("--order", help="unique column that fixes row ids; default: the order rows are read in")
     parser.add_argument("--providers", help="JSON document with a list `regions` (mart)")
+    parser.add_argument("--shuffle-partitions", type=int, help="partitions that shuffles start with; merged at run time")
     parser.add_argument("--database", default="default")
     parser.add_argument("--prefix", default="", help="start of every table name")
     parser.add_argument("--base", help="folder for event files and stream checkpoints (medallion); default: the shared folder")
@@ -38,7 +39,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
-    spark = tune(spark or SparkSession.builder.appName(f"starloom-{args.job}").getOrCreate())
+    spark = tune(spark or SparkSession.builder.appName(f"starloom-{args.job}").getOrCreate(), args.shuffle_partitions)
     ensure_database(spark, args.database)
     layout = Layout(args.prefix)
     base = args.base or f"{shared_dir(spark)}/starloom/{args.database}"

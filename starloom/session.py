@@ -14,10 +14,16 @@ ADAPTIVE = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Switch on adaptive execution and its skew handling in a session that somebody else built."""
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Switch on adaptive execution and its skew handling in a session that somebody else built.
+
+    Adaptive execution merges shuffle partitions but does not add any: at 100 TB, set `shuffle_partitions` so that one takes
+    a few hundred megabytes (some hundred thousand). Small shuffles are merged down from there.
+    """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions)
     return spark
 
 
