@@ -282,11 +282,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     stars = _likely(members.filter("a < b").select("a", "b").distinct(), classes, settings)
     met = classes.select("key", "rep").join(members.select(F.col("b").alias("key")).distinct(), "key")
     sets = stage(_sets(docs, met, settings), "sets")
-    links = stage(_confirmed(stars, sets, settings), "links")
-    roots = stage(components(links), "roots")
+    roots = stage(components(_confirmed(stars, sets, settings)), "roots")
     rest = stage(_strays(members, roots, sets, settings), "rest")
     if not rest.isEmpty():
-        roots = stage(components(links.unionByName(rest)), "roots")
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # says as much as the links it came from
+        roots = stage(components(joined.unionByName(rest)), "roots")
 
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
