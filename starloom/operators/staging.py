@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_folders: set[str] = set()
 _scratch: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
 
 
@@ -29,8 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path that no other call gets."""
-    return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A path that no other call gets, in a folder that is deleted when the application ends."""
+    folder = f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(target)
+        system.deleteOnExit(target)
+        _folders.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

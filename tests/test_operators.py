@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -8,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from starloom.operators.checks import check_fk, check_unique, row_counts, unmatched
+from starloom.operators.checks import Keys, check_fk, check_unique, row_counts, unmatched, violations
 from starloom.operators.ids import dense_id, first_seen_key, surrogate_key
 from starloom.operators.joins import Side, attach, expand, fits_broadcast, hot_keys, lookup, null_safe_join
 from starloom.operators.rows import dedupe, difference, split_batches, top_rows
@@ -201,3 +205,44 @@ def test_staged_rows_lie_in_the_configured_folder(spark):
     assert new_path(spark, "a") != new_path(spark, "a")
     staged = stage(spark.range(10).withColumn("a b", F.lit(1)))
     assert staged.count() == 10 and shared_dir(spark) in staged.inputFiles()[0]
+
+
+def test_staged_rows_go_when_the_application_ends(tmp_path):
+    """A session of its own, in a process of its own, leaves nothing behind."""
+    code = (
+        "from starloom.session import local_session\n"
+        "from starloom.operators.staging import stage\n"
+        f"s = local_session('own', 1, **{{'spark.checkpoint.dir': '{tmp_path}/shared'}})\n"
+        "print('rows', stage(s.range(5)).count())\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "rows 5" in done.stdout
+    for _ in range(50):
+        left = [f for _, _, files in os.walk(f"{tmp_path}/shared") for f in files]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+
+def test_distinct_by_key_takes_columns_of_any_type(spark):
+    df = spark.sql("SELECT id % 3 AS k, id % 5 AS o, map('a', id) AS m, IF(id = 4, NULL, 'x') AS t FROM range(60)")
+    df = df.unionByName(df)
+    found = dedupe(df, ["k"], ["o"])
+    assert "HashAggregate" in plan_of(found)
+    assert [r[:2] for r in rows(found, "k", "o")] == [(0, 0), (1, 0), (2, 0)]
+    again = dedupe(df.repartition(7), ["k"], ["o"])
+    assert rows(found, "k", "m") == rows(again, "k", "m")
+    assert rows(dedupe(df, ["k"], ["t"]), "k", "t") == [(0, "x"), (1, None), (2, "x")]
+
+
+def test_declared_keys_are_reported(spark):
+    tables = {
+        "parent": spark.createDataFrame([(1,), (2,)], "p int"),
+        "child": spark.createDataFrame([(1, 1), (1, 9), (3, 9), (None, 2)], "c int, p int"),
+    }
+    keys = Keys({"parent": ("p",), "child": ("c",)}, [("child", "p", "parent", "p")])
+    assert sorted(tuple(r) for r in violations(tables, keys).collect()) == [
+        ("child", "p in parent", 1, 2), ("child", "unique c", 2, 3), ("parent", "unique p", 0, 0),
+    ]
