@@ -177,12 +177,12 @@ def top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "gold_net_amount",
-    """SELECT l_returnflag, l_shipmode, COUNT(*) AS num_events,
+    """SELECT l_returnflag, l_linestatus, COUNT(*) AS num_events,
       ROUND(SUM(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 3), 2) AS total_charges,
       ROUND(AVG(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 3), 2) AS avg_charges FROM lineitem GROUP BY 1, 2""",
 )
 def net_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An amount with endless digits: a plain double sum, rounded at the end."""
     net = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 3
-    by = ["l_returnflag", "l_shipmode"]
+    by = ["l_returnflag", "l_linestatus"]
     return totals(table(spark, sf_dir, "lineitem").withColumn("net", net), by, by, "net", 2)

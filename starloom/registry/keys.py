@@ -45,7 +45,7 @@ def dense_ids_as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dense_ids_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order with a handful of values: rows with equal ones still spread over all ranges."""
     by = ["l_returnflag", "l_linestatus"]
-    numbered = dense_id(table(spark, sf_dir, "lineitem").select(*by), by, unique=False)
+    numbered = dense_id(table(spark, sf_dir, "lineitem").select(*by), by, unique=False, from_files=True)
     per_id = numbered.groupBy(*by, "id").agg(F.count(F.lit(1)).alias("__rows"))
     return per_id.groupBy(*by).agg(
         F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("n_ids")
