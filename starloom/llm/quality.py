@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,10 +172,10 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings, column: str =
 
     sample = training_rows(docs, labels, column, FOLDS, HELD_OUT_FOLD, settings.most_labelled)
     found = sample.mapInPandas(featured, "doc_id bigint, label int, ids binary, shares binary").toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
-    columns = zip(found["ids"], found["shares"], found["label"])
-    rows = [(np.frombuffer(i.as_buffer(), "<i4"), np.frombuffer(s.as_buffer(), "<f4"), y.as_py()) for i, s, y in columns]
-    return fit(rows, settings)
+    order = pc.sort_indices(found, sort_keys=[("doc_id", "ascending"), ("ids", "ascending")]).to_pylist()
+    ids, shares, label = found["ids"], found["shares"], found["label"].to_pylist()
+    rows = [(np.frombuffer(ids[i].as_buffer(), "<i4"), np.frombuffer(shares[i].as_buffer(), "<f4"), label[i]) for i in order]
+    return fit(rows, settings)  # the arrays are views of what arrived
 
 
 def score(docs: DataFrame, odds: np.ndarray, bias: float, settings: Settings) -> DataFrame:
