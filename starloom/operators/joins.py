@@ -14,7 +14,7 @@ from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from .staging import stage
 
@@ -125,7 +125,7 @@ def lookup(
     both sides. `how` is `left` or `inner`. With `null_safe`, NULL matches NULL.
 
     A dim within the broadcast bound is broadcast, so fact rows do not move. Of a larger one, few fact rows (an increment) only
-    need the dim rows of their keys, which are found by broadcasting the keys. Else both sides are shuffled and read once;
+    need the dim rows of their keys, which are found by broadcasting the keys, within their range. Else both sides are shuffled and read once;
     fact rows of keys with more than `hot_rows` rows are spread over salts, and their dim rows repeated for each. Say
     `unique=True` when no key occurs often in the fact, and hot keys are not looked for. Streams are joined plainly.
     """
@@ -145,7 +145,7 @@ def lookup(
     wanted = fact.select(*[F.col(c).alias(f"__want{i}") for i, c in enumerate(fact_keys)])
     if fits_broadcast(wanted, broadcast_bytes):
         found = F.broadcast(wanted.distinct())
-        needed = side.join(found, _condition(wanted.columns, keys, null_safe), "left_semi")
+        needed = _within(side, keys, wanted, null_safe).join(found, _condition(wanted.columns, keys, null_safe), "left_semi")
         if fits_broadcast(needed, broadcast_bytes):
             return fact.join(F.broadcast(needed), condition, how).drop(*keys)
     hot = None if unique else hot_keys(fact, fact_keys, hot_rows, null_safe)
@@ -155,6 +155,15 @@ def lookup(
     return many.join(one, condition & (F.col(_SALT) == F.col("__other")), how).drop(*keys, _SALT, "__other", _TASKS)
 
 
+def _within(side: DataFrame, keys: Sequence[str], wanted: DataFrame, null_safe: bool) -> DataFrame:
+    """The rows between the least and the greatest wanted key: files that lie in key order are then skipped by their footers."""
+    whole = len(keys) == 1 and not null_safe and all(isinstance(d.schema[0].dataType, IntegralType) for d in (side, wanted))
+    if not whole:
+        return side
+    least, greatest = wanted.agg(F.min(wanted.columns[0]), F.max(wanted.columns[0])).first()
+    return side.where(F.lit(False)) if least is None else side.where(F.col(keys[0]).between(least, greatest))
+
+
 @dataclass(frozen=True)
 class Side:
     """A table to join: `on` maps columns of the rows to columns of the table, `take` its columns to output names."""

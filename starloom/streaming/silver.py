@@ -21,6 +21,11 @@ def stream_silver(spark: SparkSession, bronze: str, dims: Dims) -> DataFrame:
     return build_silver(stream_table(spark, bronze), dims, keep=[LOAD])
 
 
+def _laid_out(rows: DataFrame) -> DataFrame:
+    """Rows gathered by load, large loads over several tasks, and in order of date, so that a month is found by file footers."""
+    return rows.hint("rebalance", LOAD).sortWithinPartitions(LOAD, "event_date")
+
+
 def _ensure_table(spark: SparkSession, bronze: str, dims: Dims, table: str, location: str | None) -> None:
     """Create silver without rows where no load has created it, so that readers find it."""
     if not spark.catalog.tableExists(table):
@@ -66,8 +71,7 @@ def enrich_silver(
         if loads:
             refresh(spark, bronze)
             changed = spark.table(bronze).where(F.col(LOAD).isin(loads))
-            rows = build_silver(changed, dims, keep=[LOAD]).hint("rebalance", LOAD)  # few files per load
-            overwrite_partitions(rows, table, [LOAD], location)
+            overwrite_partitions(_laid_out(build_silver(changed, dims, keep=[LOAD])), table, [LOAD], location)
             if gold:
                 reduce_loads(spark, table, gold, loads)
             if after:
@@ -98,11 +102,10 @@ def rebuild_silver(
     """Build silver anew from all of bronze, which also repairs rows that were enriched before their dimension rows arrived.
 
     An existing table of the same columns is replaced load by load, and loads it should not have go last, so it is never
-    empty on the way. Rows are gathered by load before they are written, large loads over several tasks, so that a load has
-    few files. With `gold`, the reductions that its refresh by load adds up are made anew as well; without, a refresh by load
-    after a rebuild needs `reduce_loads` first.
+    empty on the way. With `gold`, the reductions that its refresh by load adds up are made anew as well; without, a refresh
+    by load after a rebuild needs `reduce_loads` first.
     """
-    rows = build_silver(spark.table(bronze), dims, keep=[LOAD]).hint("rebalance", LOAD)
+    rows = _laid_out(build_silver(spark.table(bronze), dims, keep=[LOAD]))
     if spark.catalog.tableExists(table) and dict(spark.table(table).dtypes) == dict(rows.dtypes):
         overwrite_partitions(rows, table, [LOAD], location)
         _drop_stale(spark, bronze, table)
