@@ -149,7 +149,7 @@ def test_expand_splits_a_header_with_a_small_share_of_the_rows(spark, how, tmp_p
     detail = spark.read.parquet(f"{tmp_path}/detail")
     plain = header.join(detail.withColumnRenamed("k", "x"), F.col("k") == F.col("x"), how).drop("x")
     routed = expand(header, detail, "k", how, hot_rows=12)  # key 5 has half a percent of the rows
-    assert plan_of(routed).count(f"{tmp_path}/detail") == 1 and "Generate explode" in plan_of(routed)
+    assert plan_of(routed).count("ReadSchema: struct<k:int,d:bigint>") == 1 and "Generate explode" in plan_of(routed)
     assert rows(routed) == rows(plain)
     assert rows(expand(header, detail, "k", how)) == rows(plain)
 
