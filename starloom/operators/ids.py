@@ -51,13 +51,16 @@ def dense_id(
         ranged = ranged.repartitionByRange(*order).sortWithinPartitions(*order)
     positioned = ranged.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(_POSITION))
     fixed = stage(positioned, "ranged")
+    row_in_part = F.col(_POSITION).bitwiseAND(F.lit((1 << _PART_SHIFT) - 1))
+    columns = [F.col(f"`{c}`") for c in columns]
+    if len(fixed.inputFiles()) <= 1:  # one range: nothing comes before it
+        return fixed.select(*columns, (row_in_part + 1).alias(name))
     part = F.shiftright(_POSITION, _PART_SHIFT).cast("int")
     counted = fixed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per written range
     sizes = {row.part: row.n for row in counted}
     before = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
     bases = F.from_json(F.lit(json.dumps(before)), "array<bigint>")
-    row_in_part = F.col(_POSITION).bitwiseAND(F.lit((1 << _PART_SHIFT) - 1))
-    return fixed.select(*[F.col(f"`{c}`") for c in columns], (F.get(bases, part) + row_in_part + 1).alias(name))
+    return fixed.select(*columns, (F.get(bases, part) + row_in_part + 1).alias(name))
 
 
 def surrogate_key(distinct_rows: DataFrame, name: str, order_by: Sequence[Column | str] | Column | str) -> DataFrame:
