@@ -198,7 +198,7 @@ def test_ids_are_those_of_the_tokenizer():
     plain = Tokenizer.from_file(packing.default_tokenizer())
     random.seed(4)
     letters = "abc XYZ'\n\t 0123.,!éß中\U0001f600 don't"
-    texts = ["", " ", "a" * 3000, "<|endoftext|>", "x<|endoftext|>y", *["".join(random.choices(letters, k=80)) for _ in range(200)]]
+    texts = ["", " ", "a" * 3000, " " * 300_000, "a" + "\n\t " * 100_000 + "b", "<|endoftext|>", "x<|endoftext|>y", *["".join(random.choices(letters, k=80)) for _ in range(200)]]
     for text in texts:
         assert coder.ids(text) == plain.encode(text, add_special_tokens=False).ids
 
