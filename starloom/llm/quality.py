@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ class Settings:
     """Documented bounds and shape of the model."""
 
     most_labelled: int = 2500  # labelled documents that the model is fitted on, at most (about)
-    buckets: int = 1 << 17
+    buckets: int = 1 << 16  # at most that many: their numbers travel as 16 bits
     shortest: int = 3  # characters of a character n-gram, with the marks of the word's ends
     longest: int = 5
     dimensions: int = 16
@@ -136,6 +137,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> t
     for _ in range(settings.epochs):
         for i in random.permutation(len(rows)):
             ids, shares, label = rows[i]
+            shares = shares.astype(np.float64)
             mean = shares @ table[ids]
             logits = mean @ out + bias
             p = np.exp(logits - logits.max())
@@ -165,8 +167,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings, column: str =
                 {
                     "doc_id": batch["doc_id"],
                     "label": batch["label"],
-                    "ids": [i.astype("<i4").tobytes() for i, _ in found],
-                    "shares": [s.astype("<f4").tobytes() for _, s in found],
+                    "ids": [i.astype("<u2").tobytes() for i, _ in found],
+                    "shares": [s.astype("<f2").tobytes() for _, s in found],
                 }
             )
 
@@ -174,8 +176,11 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings, column: str =
     found = sample.mapInPandas(featured, "doc_id bigint, label int, ids binary, shares binary").toArrow()
     order = pc.sort_indices(found, sort_keys=[("doc_id", "ascending"), ("ids", "ascending")]).to_pylist()
     ids, shares, label = found["ids"], found["shares"], found["label"].to_pylist()
-    rows = [(np.frombuffer(ids[i].as_buffer(), "<i4"), np.frombuffer(shares[i].as_buffer(), "<f4"), label[i]) for i in order]
-    return fit(rows, settings)  # the arrays are views of what arrived
+    rows = [(np.frombuffer(ids[i].as_buffer(), "<u2"), np.frombuffer(shares[i].as_buffer(), "<f2"), label[i]) for i in order]
+    model = fit(rows, settings)  # the arrays are views of what arrived
+    del rows, ids, shares, found
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, odds: np.ndarray, bias: float, settings: Settings) -> DataFrame:
