@@ -284,3 +284,31 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.op8(odd(spark, []), labels).count() == 0
     tagged = toxicity.tag(odd(spark), toxicity.fit([], []))
     assert "kept" in tagged.columns and tagged.columns.count("score") == 1
+
+
+@pytest.mark.parametrize("beside", [b"\xe9", b"\x00", b"\x1b[0m", b"\xff\xfe\xfd"])
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress])
+def test_layers_that_are_no_clear_text_are_scanned(beside, pack):
+    for data in (beside + b" caf " + SECRET.encode() + b" end", SECRET.encode() + b" " + beside, b"ab " + base64.b64encode(SECRET.encode()) + beside):
+        coded = base64.b64encode(pack(data)).decode()
+        ((kind, a, b),) = spans(f"é {coded} after")
+        assert kind == "assign" and 2 <= a < b <= 2 + len(coded)
+        if pack is not gzip.compress and data.startswith(SECRET.encode()):
+            assert SECRET[:-1].encode() in base64.b64decode(coded[a - 2 : b - 2] + "==")
+
+
+@pytest.mark.parametrize("front", ["https://example.com/files/", "/a/", "x+files+", "team_data-", "q-"])
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("back", ["", "/view"])
+def test_layers_behind_a_path_are_unwrapped(front, pack, back):
+    for filler in ("", "???>>>", "plain words that come before, "):
+        code = base64.urlsafe_b64encode if front[-1] == "-" else base64.b64encode
+        coded = code(pack((filler + SECRET).encode())).decode()
+        found = spans(front + coded.rstrip("=") + back)
+        assert found and {k for k, _, _ in found} == {"assign"}
+        assert any(len(front) <= a < b <= len(front + coded) for _, a, b in found) or back
+
+
+def test_clear_layers_behind_a_path_count():
+    text = "https://example.com/files/" + base64.b64encode(b"just some words, nothing in them at all").decode()
+    assert secrets.unwrap(text)[1:3] == ([], 1)
