@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -312,3 +314,54 @@ def test_layers_behind_a_path_are_unwrapped(front, pack, back):
 def test_clear_layers_behind_a_path_count():
     text = "https://example.com/files/" + base64.b64encode(b"just some words, nothing in them at all").decode()
     assert secrets.unwrap(text)[1:3] == ([], 1)
+
+
+def zstd(data):
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(data)
+
+
+PACKERS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstd]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_all_members_of_a_layer_are_read(pack):
+    filler = b"words before, "
+    for data in (pack(filler) + pack(SECRET.encode()), pack(filler + SECRET[:8].encode()) + pack(SECRET[8:].encode()), pack(b"") + pack(pack(b"") + pack(SECRET.encode()))):
+        coded = base64.b64encode(data).decode()
+        _, found, _, unopened = secrets.unwrap(f"ab {coded} after")
+        assert found == [("assign", 3, 3 + len(coded.rstrip("=")))] and unopened == 0
+    for data in (pack(filler) + SECRET.encode(), pack(filler) + bz2.compress(SECRET.encode()), pack(filler * 9) + b"\0" * 8 + pack(SECRET.encode())):
+        assert {k for k, _, _ in spans(base64.b64encode(data).decode())} == {"assign"}
+
+
+def test_a_layer_that_breaks_off_is_counted_and_read_as_far_as_it_goes():
+    coded = base64.b64encode(gzip.compress(SECRET.encode() + bytes(range(256)) * 9)[:-12]).decode()
+    _, found, _, unopened = secrets.unwrap(coded)
+    assert [k for k, _, _ in found] == ["assign"] and unopened == 1
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_large_layers_are_read_to_the_end(pack):
+    large = b"some words, and more words\n" * (70_000_000 // 27)
+    text = base64.b64encode(pack(large + base64.b64encode(zlib.compress(SECRET.encode())))).decode()
+    _, found, _, unopened = secrets.unwrap(text)
+    assert [k for k, _, _ in found] == ["assign"] and unopened == 0
+
+
+def test_nothing_is_lost_where_a_large_layer_is_parted(monkeypatch):
+    monkeypatch.setattr(secrets, "STEP", 16)
+    monkeypatch.setattr(secrets, "CHUNK", 64)
+    inner = base64.b64encode(gzip.compress(SECRET.encode())).decode()
+    wrapped = base64.encodebytes(b"x" * 70 + SECRET.encode()).decode()
+    wanted = [SECRET, "token : \"" + "z" * 90, "AKIA" + "B" * 40, "0f" * 60, inner, wrapped, "".join(f"%{ord(c):02x}" for c in SECRET), "secret%253D hunterhunter"]
+    for piece in wanted:
+        for before in range(0, 70, 3):
+            for filler in ("some words and on, ", "ab cd of the it", "line.\nline\n"):
+                whole = (filler * 9)[: before + 60] + " " + piece + " " + filler * 9
+                kinds = {k for k, _, _ in spans(whole)}
+                packed = base64.b64encode(zlib.compress(whole.encode())).decode()
+                assert kinds and {k for k, _, _ in spans(packed)} == kinds
+                wide = base64.b64encode(zlib.compress(whole.encode("utf-16"))).decode()
+                assert {k for k, _, _ in spans(wide)} == kinds
