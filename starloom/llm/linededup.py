@@ -94,11 +94,40 @@ def matches(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _least_runs(words: Sequence[int], least: int) -> Iterator[tuple[int, int]]:
+    """The run of every line with words, forward to the first line that makes `least` words, and back to it likewise."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    for k in range(len(words)):
+        if words[k]:
+            end = int(np.searchsorted(total, total[k] + least))
+            if end < len(total):
+                yield k, end
+            start = int(np.searchsorted(total, total[k + 1] - least, side="right")) - 1
+            if start >= 0:
+                yield start, k + 1
+
+
+def shared_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int) -> set[int]:
+    """Lines of b in any block of at least `least` words that a has as well, from the least runs that both have.
+
+    Every line with words of such a block is in a least run inside it: from the line or back from it, or from before it to behind it.
+    """
+    n_words = dict(zip(b, words))
+    bytes_a, bytes_b = (np.array(x, dtype="<i8").tobytes() for x in (a, b))
+    held: set[bytes] = set()
+    start = 0
+    for end in [*(i for i, h in enumerate(a) if h not in n_words), len(a)]:  # a block has no line that b has not
+        counts = [n_words[h] for h in a[start:end]]
+        held.update(bytes_a[8 * (start + i) : 8 * (start + j)] for i, j in _least_runs(counts, least))
+        start = end + 1
+    return {k for i, j in _least_runs(words, least) if bytes_b[8 * i : 8 * j] in held for k in range(i, j)}
+
+
 def common_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int) -> list[int]:
     """Lines of b in blocks of at least `least` words that are aligned with a.
 
-    What is left of b is aligned again until no block is found, so blocks in another order, and a block that b repeats, are
-    found as well.
+    What is left of b is aligned again until no block is found. A block that crosses shorter ones may still be on no chain, so
+    the lines of all blocks that both have are added from their runs.
     """
     left = list(range(len(b)))
     gone: list[int] = []
@@ -120,7 +149,7 @@ def common_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least
         gone += taken
         out = set(taken)
         left = [k for k in left if k not in out]
-    return sorted(gone)
+    return sorted({*gone, *shared_lines(a, b, words, least)})
 
 
 def overlaps(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:

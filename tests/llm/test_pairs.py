@@ -46,6 +46,30 @@ def test_blocks_in_any_order_are_found():
     assert linededup.common_lines(a, [7, 2, 8], [60, 60, 60], 50) == [1]
 
 
+def test_blocks_that_cross_short_lines_are_found():
+    p, s1, s2, x, y = 1, 2, 3, 4, 5
+    assert linededup.common_lines([p, s1, x, s2], [s1, y, s2, p], [2, 2, 2, 60], 50) == [3]
+    assert linededup.common_lines([1, 2, 9, 2, 3], [1, 2, 3], [20, 40, 20], 50) == [0, 1, 2]  # two blocks that overlap in b
+    assert linededup.common_lines([s1, x, s2], [s1, y, s2], [30, 2, 30], 50) == []
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=14), st.lists(st.integers(0, 5), max_size=14))
+def test_common_lines_are_those_of_all_common_blocks(a, b):
+    count = {0: 0, 1: 3, 2: 10, 3: 20, 4: 45, 5: 60}
+    words = [count[x] for x in b]
+    gone = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if sum(words[j : j + n]) >= 50:
+                gone.update(range(j, j + n))
+    found = linededup.common_lines(a, b, words, 50)
+    assert set(found) <= gone and {k for k in found if words[k]} == {k for k in gone if words[k]}
+
+
 def test_rare_runs_cover_every_long_block():
     random.seed(3)
     for _ in range(200):
