@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import cleaning, linededup, mixing, neardup, neighbours, packing, quality, secrets, sharding, substrings, toxicity
+from . import cleaning, linededup, mixing, neardup, neighbours, packing, quality, secrets, sharding, spelling, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,12 @@ QUERIES: dict[str, Query] = {
     "op8_crf": _over(toxicity.op8, "documents", "labels"),
     "op9_subword": _over(quality.op9, "documents", "labels"),
     "op10_best_fit": _over(packing.op10, "documents"),
+    "op11_reduced_alphabet": _over(spelling.op11, "documents"),
     "op12_relative_lz": _over(substrings.op12, "documents"),
 }
 
-ORACLES: dict[str, str] = {"op4_mix": mixing.OP4_SQL, "op12_relative_lz": substrings.OP12_SQL}
+ORACLES: dict[str, str] = {
+    "op4_mix": mixing.OP4_SQL,
+    "op11_reduced_alphabet": spelling.OP11_SQL,
+    "op12_relative_lz": substrings.OP12_SQL,
+}
