@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import cleaning, linededup, mixing, neardup, neighbours, packing, quality, secrets, sharding, spelling, substrings, toxicity
+from . import cleaning, dialogue, linededup, mixing, neardup, neighbours, packing, quality, secrets, sharding, spelling, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op10_best_fit": _over(packing.op10, "documents"),
     "op11_reduced_alphabet": _over(spelling.op11, "documents"),
     "op12_relative_lz": _over(substrings.op12, "documents"),
+    "op13_weighted_cyk": _over(dialogue.op13, "conversations"),
 }
 
 ORACLES: dict[str, str] = {
