@@ -7,19 +7,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import _repeated, _salted, lookup
 from ..operators.staging import stage
 from .bits import bitmap, held
+from .wordarrays import Words, mixed, rolled, words_in
 
 WINDOW = 13  # words of the shortest factor that counts
 GRAM = 6  # words of an anchor
 BLOCK = 64  # windows that start in a reference block
 HOT = 200_000  # rows of one window in one task
-_AT_ONCE = 500_000  # rows that a task gathers before it sends them on
+_PLACE = np.uint64(0xD6E8FEB86659FD93)  # tells equal words at several places apart
 _KNOWN = 1_000_000  # words whose hashes a task keeps
 
 
@@ -42,16 +45,6 @@ def _hashed(words: Sequence[bytes], known: _Hashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every run of `size` words."""
-    n = max(0, len(hashes) - size + 1)
-    mixed = np.zeros(n, dtype=np.uint64)
-    for k in range(size):
-        mixed = (mixed ^ hashes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    return mixed
-
-
 def anchors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
     """For every window the least hash of the runs of `gram` words in it: equal windows have equal anchors, and neighbours mostly share one."""
     grams = rolled(hashes, gram)
@@ -100,75 +93,68 @@ def factors(words: Sequence[bytes], blocks: Sequence[Sequence[bytes]], window: i
 def _sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, class, n_words, whole): the class is a 128-bit hash of the words, `whole` their digest if nothing goes."""
 
-    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                words = words_of(text)
-                joined = b" ".join(words)
-                rows.append((xxhash.xxh3_128_digest(joined), len(words), hashlib.sha256(joined).hexdigest()))
-            out = pd.DataFrame(rows, columns=["class", "n_words", "whole"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield out
+            classes, counts, whole = [], [], []
+            for words in words_in(batch["text"]):
+                joined = words.joined()
+                classes += map(xxhash.xxh3_128_digest, joined)
+                whole += [hashlib.sha256(x).hexdigest() for x in joined]
+                counts += words.counts.tolist()
+            columns = [batch["doc_id"], pa.array(classes, pa.binary()), pa.array(counts, pa.int64()), pa.array(whole, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "class", "n_words", "whole"])
+
+    return docs.mapInArrow(sized, "doc_id bigint, class binary, n_words bigint, whole string")
 
-    return docs.mapInPandas(sized, "doc_id bigint, class binary, n_words bigint, whole string")
+
+def _windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The text of every word, and where the windows start that lie within a text."""
+    text = np.repeat(np.arange(len(words.counts)), words.counts)
+    room = words.firsts[1:][text] - np.arange(len(text))
+    return text, np.flatnonzero(room >= WINDOW)
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(anchor, class) for the distinct anchors of every document; the class is a 64-bit hash of its words."""
+    """(anchor, class) for the anchors of every document; the class is a 64-bit hash of its words."""
 
-    def anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _Hashes()
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held_back, total = [], 0
-            for text in batch["text"]:
-                words = words_of(text)
-                if len(words) < WINDOW:
+            for words in words_in(batch["text"]):
+                text, starts = _windows(words)
+                if not len(starts):
                     continue
-                found = np.unique(anchors(_hashed(words, known)))
-                held_back.append((found, xxhash.xxh3_64_intdigest(b" ".join(words))))
-                total += len(found)
-                if total > _AT_ONCE:
-                    yield _together(held_back)
-                    held_back, total = [], 0
-            if held_back:
-                yield _together(held_back)
+                hashes = words.hashes()
+                found, text_of = anchors(hashes)[starts], text[starts]
+                place = (np.arange(len(text)) - words.firsts[text]).astype(np.uint64)
+                class_ = np.zeros(len(words.counts), dtype=np.uint64)
+                with_words = np.flatnonzero(words.counts)
+                class_[with_words] = np.add.reduceat(mixed(hashes + place * _PLACE), words.firsts[with_words])
+                new = np.ones(len(starts), dtype=bool)  # neighbours mostly share an anchor
+                new[1:] = (found[1:] != found[:-1]) | (text_of[1:] != text_of[:-1])
+                columns = [found[new].view(np.int64), class_[text_of[new]].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "class"])
 
-    def _together(parts: list[tuple[np.ndarray, int]]) -> pd.DataFrame:
-        own = np.repeat(np.array([c for _, c in parts], dtype=np.uint64), [len(a) for a, _ in parts])
-        return pd.DataFrame({"anchor": np.concatenate([a for a, _ in parts]).view(np.int64), "class": own.view(np.int64)})
+    return docs.mapInArrow(anchored, "anchor bigint, class bigint")
 
-    return docs.mapInPandas(anchored, "anchor bigint, class bigint")
 
-
-def _window_rows(docs: DataFrame, shared, first) -> DataFrame:
+def _window_rows(docs: DataFrame, shared: Broadcast, first: Broadcast) -> DataFrame:
     """(window, doc_id, start) for the windows whose anchor may be in several documents, of documents that may be the first of their class."""
 
-    def windowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _Hashes()
+    def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch[held(first.value, batch["doc_id"].to_numpy(np.int64).view(np.uint64))]
-            held_back, total = [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                hashes = _hashed(words_of(text), known)
-                if len(hashes) < WINDOW:
+            batch = batch.filter(pa.array(held(first.value, batch["doc_id"].to_numpy().view(np.uint64))))
+            ids = batch["doc_id"].to_numpy()
+            for words in words_in(batch["text"]):
+                text, starts = _windows(words)
+                if not len(starts):
                     continue
-                starts = np.flatnonzero(held(shared.value, anchors(hashes)))
-                if len(starts):
-                    held_back.append((rolled(hashes, WINDOW)[starts], doc_id, starts))
-                    total += len(starts)
-                if total > _AT_ONCE:
-                    yield _together(held_back)
-                    held_back, total = [], 0
-            if held_back:
-                yield _together(held_back)
-
-    def _together(parts: list[tuple[np.ndarray, int, np.ndarray]]) -> pd.DataFrame:
-        own = np.repeat(np.array([d for _, d, _ in parts], dtype=np.int64), [len(s) for *_, s in parts])
-        windows, starts = (np.concatenate([p[k] for p in parts]) for k in (0, 2))
-        return pd.DataFrame({"window": windows.view(np.int64), "doc_id": own, "start": starts})
-
-    return docs.mapInPandas(windowed, "window bigint, doc_id bigint, start bigint")
+                hashes = words.hashes()
+                starts = starts[held(shared.value, anchors(hashes)[starts])]
+                own = text[starts]
+                columns = [rolled(hashes, WINDOW, starts).view(np.int64), ids[words.rows][own], starts - words.firsts[own]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["window", "doc_id", "start"])
+
+    return docs.mapInArrow(windowed, "window bigint, doc_id bigint, start bigint")
 
 
 def _references(docs: DataFrame, rows: DataFrame) -> DataFrame:

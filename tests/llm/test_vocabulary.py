@@ -8,11 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.llm import bits, spelling, substrings
+from starloom.llm import bits, spelling, substrings, wordarrays
 from test_native import ODD, SCHEMA, odd
 
 LETTERS = [chr(c) for c in [*range(97, 123), *range(0xC0, 0x100)]]
@@ -145,6 +146,27 @@ def test_factors_cover_exactly_the_windows_of_the_blocks(words, blocks):
     assert all(b - a >= window for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab é\t\n\x0b\x0c\r\x1c\x85\u2003", max_size=12), max_size=6), st.integers(1, 20))
+def test_words_in_arrays(texts, at_once):
+    hashes, joined, counts = {}, [], []
+    before, wordarrays._AT_ONCE = wordarrays._AT_ONCE, at_once
+    try:
+        for words in wordarrays.words_in(pa.array(["skipped", *texts], pa.string())[1:]):
+            joined += words.joined()
+            counts += words.counts.tolist()
+            flat = [w for t in texts[words.rows] for w in t.encode().split()]
+            found = words.hashes().tolist()
+            assert len(flat) == len(found)
+            for w, h in zip(flat, found):
+                assert hashes.setdefault(w, h) == h
+    finally:
+        wordarrays._AT_ONCE = before
+    assert joined == [b" ".join(t.encode().split()) for t in texts]
+    assert counts == [len(t.encode().split()) for t in texts]
+    assert len(set(hashes.values())) == len(hashes)
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(3)
     shared = rng.integers(0, 1 << 62, 13).astype(np.uint64)
@@ -181,7 +203,7 @@ def test_removed_words_equal_brute_force(spark):
 
 def test_hot_windows_are_salted(spark, monkeypatch):
     monkeypatch.setattr(substrings, "HOT", 10)
-    monkeypatch.setattr(substrings, "_AT_ONCE", 50)
+    monkeypatch.setattr(wordarrays, "_AT_ONCE", 50)
     rows = passages(4)
     assert removed(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)) == removed_plainly(rows)
 
