@@ -10,7 +10,7 @@ from .constants import CALENDAR_END, CALENDAR_START, INSURANCE_SCHEMA
 from .operators.checks import row_counts
 from .operators.staging import shared_dir
 from .plans.calendar import calendar_extended, read_calendar
-from .plans.runs import Layout, continue_medallion, run_batch, run_mart, run_medallion
+from .plans.runs import Layout, continue_medallion, rebuild_medallion, run_batch, run_mart, run_medallion
 from .session import tune
 from .sinks.tables import ensure_database
 from .sources.files import read_csv, read_json_nested
@@ -21,6 +21,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("job", choices=["batch", "mart", "medallion"])
     parser.add_argument("--insurance", help="CSV file or folder of insurance rows")
     parser.add_argument("--resume", action="store_true", help="go on from the tables of an earlier run (medallion)")
+    parser.add_argument("--members", default="members-2", help="name of the batch of new insurance rows (medallion --resume --insurance)")
+    parser.add_argument("--rebuild", action="store_true", help="build silver and gold of an earlier run anew (medallion)")
+    parser.add_argument("--scale", type=int, help="digits after the point of amounts that are decimals: their sums are then exact")
     parser.add_argument("--order", help="unique column that fixes row ids; default: the order rows are read in")
     parser.add_argument("--providers", help="JSON document with a list `regions` (mart)")
     parser.add_argument("--shuffle-partitions", type=int, help="partitions that shuffles start with; merged at run time")
@@ -30,9 +33,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--increment", default="increment-1", help="load id of the batch increment; empty for none (medallion)")
     parser.add_argument("--calendar", default=f"{CALENDAR_START}:{CALENDAR_END}", help="first day:day after the last (medallion)")
     args = parser.parse_args(argv)
-    if args.resume and args.job != "medallion":
-        parser.error("only a medallion run can be resumed")
-    if not args.insurance and not args.resume:
+    if (args.resume or args.rebuild) and args.job != "medallion":
+        parser.error("only a medallion run can be resumed or rebuilt")
+    if not args.insurance and not (args.resume or args.rebuild):
         parser.error("--insurance is missing")
     return args
 
@@ -41,14 +44,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parse(argv)
     spark = tune(spark or SparkSession.builder.appName(f"starloom-{args.job}").getOrCreate(), args.shuffle_partitions)
     ensure_database(spark, args.database)
-    layout = Layout(args.prefix)
+    layout = Layout(args.prefix, scale=args.scale)
     base = args.base or f"{shared_dir(spark)}/starloom/{args.database}"
-    if args.resume:
-        names = continue_medallion(spark, layout, base, args.increment or None)
+    # a file may have a further column to order by; then its header decides
+    insurance = read_csv(spark, args.insurance, None if args.order else INSURANCE_SCHEMA) if args.insurance else None
+    if args.resume or args.rebuild:
+        if args.resume:
+            names = continue_medallion(spark, layout, base, args.increment or None, insurance, args.order, args.members)
+        if args.rebuild:
+            names = rebuild_medallion(spark, layout)
         row_counts({n: spark.table(t) for n, t in names.items()}).show(len(names), truncate=False)
         return
-    # a file may have a further column to order by; then its header decides
-    insurance = read_csv(spark, args.insurance, None if args.order else INSURANCE_SCHEMA)
     if args.job == "batch":
         tables = run_batch(spark, insurance, args.order, layout, read_calendar(spark))
         tables.pop("violations").show(truncate=False)

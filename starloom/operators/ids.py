@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +70,22 @@ def surrogate_key(distinct_rows: DataFrame, name: str, order_by: Sequence[Column
     return dense_id(distinct_rows, order_by, name)
 
 
+def grow_keys(
+    known: DataFrame, rows: DataFrame, name: str, cols: Sequence[str], order_by: Sequence[Column | str] | Column | str | None = None
+) -> DataFrame:
+    """New rows (name, *cols) for a key table: distinct combinations of `cols` that `known` does not have, numbered on from its greatest key.
+
+    NULL counts as a value. Keys once given never change, so the numbering is that of one run only within what came together.
+    Only distinct combinations meet the table, and only new ones are ranged.
+    """
+    held = known.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in cols])
+    same = reduce(and_, (F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in cols))
+    fresh = rows.select(*[f"`{c}`" for c in cols]).distinct().join(held, same, "left_anti")
+    last = known.agg(F.max(name)).first()[0] or 0
+    numbered = surrogate_key(fresh, name, list(cols) if order_by is None else order_by)
+    return numbered.select((F.col(name) + F.lit(last).cast("bigint")).alias(name), *[f"`{c}`" for c in cols])
+
+
 def first_seen_key(df: DataFrame, cols: Sequence[str], order: str, name: str) -> DataFrame:
     """Distinct combinations of `cols`, numbered by where they first appear along the column `order`.
 

@@ -57,6 +57,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, with those above it, unless it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

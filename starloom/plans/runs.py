@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, INTERVALS
 from ..operators.checks import Keys, row_counts, violations
-from ..operators.ids import dense_id
+from ..operators.ids import dense_id, grow_keys
 from ..operators.rows import split_batches
-from ..operators.staging import scratch, stage
-from ..sinks.tables import reset, write_table
+from ..operators.staging import make_folder, scratch, stage
+from ..sinks.tables import append_table, reset, write_table
+from ..streaming import ledger
 from ..streaming.bronze import append_increment, ingest_bronze
 from ..streaming.gold import GoldTables, refresh_gold
-from ..streaming.silver import enrich_silver
+from ..streaming.silver import enrich_silver, rebuild_silver, repair_silver
 from .calendar import calendar, calendar_basic
 from .dimensions import (
     build_dim_insured,
@@ -93,6 +94,7 @@ def run_medallion(
     """
     for name in ("fact_insurance_bronze", "fact_insurance_silver"):
         reset_stream(spark, layout, base, name)
+    reset(spark, [layout.table("dim_member")], [p for p in [layout.location("dim_member")] if p])
     rows = number_rows(insurance, order)
     region = layout.write(build_dim_region(rows), "dim_region")
     member = layout.write(build_dim_member(rows, region, keep_region=True), "dim_member")
@@ -122,6 +124,7 @@ def event_files(layout: Layout, base: str) -> str:
 
 def _ingest(spark: SparkSession, layout: Layout, base: str) -> None:
     name = "fact_insurance_bronze"
+    make_folder(spark, event_files(layout, base))
     ingest_bronze(
         spark, event_files(layout, base), layout.table(name), layout.checkpoint(base, name), location=layout.location(name)
     )
@@ -147,20 +150,85 @@ def medallion_tables(layout: Layout) -> dict[str, str]:
     }
 
 
+def _dims(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    return {d: spark.table(layout.table(f"dim_{d}")) for d in ("member", "provider", "date", "plan")}
+
+
+def add_members(spark: SparkSession, layout: Layout, base: str, insurance: DataFrame, order: str | None, batch: str) -> None:
+    """Take in new insurance rows: members numbered on from the last one, new regions and profiles likewise, and their events as a file.
+
+    Rows that are there keep their keys. The batch's name, with the number its members start from, is noted before anything
+    is written, so a batch that failed half-way goes on with the same numbers, and one that is complete is passed over.
+    """
+    table = {d: layout.table(f"dim_{d}") for d in ("member", "region", "risk_profile")}
+    known = {d: spark.table(t) for d, t in table.items()}
+    begun = ledger.noted(spark, table["member"], batch)
+    if begun and begun.n_rows:
+        return
+    start = begun.taken if begun else known["member"].agg(F.max("member_id")).first()[0] or 0
+    if not begun:
+        ledger.note(spark, table["member"], {batch: start}, None)
+    rows = number_rows(insurance, order)
+    rows = stage(rows.withColumn("member_id", F.col("member_id") + F.lit(start).cast("bigint")), "members")
+    named = rows.select(F.col("region").cast("string").alias("region")).na.drop()
+    append_table(stage(grow_keys(known["region"], named, "region_key", ["region"]), "regions").select(*known["region"].columns), table["region"])
+    spark.catalog.refreshTable(table["region"])
+    member = build_dim_member(rows, spark.table(table["region"]), keep_region=True).select(*known["member"].columns)
+    there = known["member"].where(F.col("member_id") > start).select(F.col("member_id").alias("__id"))
+    member = stage(member.join(there, F.col("member_id") == F.col("__id"), "left_anti"), "member")
+    append_table(member, table["member"])
+    spark.catalog.refreshTable(table["member"])
+    profile = ["sex", "smoker", "region_key"]
+    added = spark.table(table["member"]).where(F.col("member_id") > start)
+    fresh = stage(grow_keys(known["risk_profile"], added, "risk_profile_key", profile), "profiles")
+    append_table(fresh.select(*known["risk_profile"].columns), table["risk_profile"])
+    build_events(rows).write.mode("overwrite").json(f"{event_files(layout, base)}/members={batch}")
+    ledger.note(spark, table["member"], {batch: start}, 1)
+
+
 @scratch()
-def continue_medallion(spark: SparkSession, layout: Layout, base: str, increment: str | None = None) -> dict[str, str]:
-    """Go on from an earlier run's tables and checkpoints: take in event files that have arrived and, if named, an increment.
+def continue_medallion(
+    spark: SparkSession,
+    layout: Layout,
+    base: str,
+    increment: str | None = None,
+    insurance: DataFrame | None = None,
+    order: str | None = None,
+    batch: str = "members-2",
+) -> dict[str, str]:
+    """Go on from an earlier run's tables and checkpoints: take in new insurance rows under a batch name, event files that have
+    arrived and, if named, an increment.
 
-    Only loads that are new or changed are enriched and reduced; dimensions stay as they are.
+    Only loads that are new or changed are enriched and reduced. Loads with events whose dimension rows have come since are
+    enriched again.
     """
-    dims = {d: spark.table(layout.table(f"dim_{d}")) for d in ("member", "provider", "date", "plan")}
+    if insurance is not None:
+        add_members(spark, layout, base, insurance, order, batch)
+    dims = _dims(spark, layout)
     _ingest(spark, layout, base)
     if increment:
         append_increment(spark, layout.table("fact_insurance_bronze"), increment)
+    if insurance is not None:
+        repair_silver(spark, layout.table("fact_insurance_bronze"), dims, *_silver(layout), gold_tables(layout))
     _refresh(spark, layout, base, dims, spark.table(layout.table("dim_region")))
     return medallion_tables(layout)
 
 
+def _silver(layout: Layout) -> tuple[str, str | None]:
+    name = "fact_insurance_silver"
+    return layout.table(name), layout.location(name)
+
+
+@scratch()
+def rebuild_medallion(spark: SparkSession, layout: Layout) -> dict[str, str]:
+    """Silver anew from all of bronze with the dimensions as they are now, its reductions and both gold tables."""
+    gold = gold_tables(layout)
+    rebuild_silver(spark, layout.table("fact_insurance_bronze"), _dims(spark, layout), *_silver(layout), gold)
+    region = spark.table(layout.table("dim_region")).withColumnRenamed("region", "region_name")
+    refresh_gold(spark, layout.table("fact_insurance_silver"), region, gold, by_load=True)
+    return medallion_tables(layout)
+
+
 BATCH_KEYS = Keys(
     unique={
         "dim_region": ("region_key",),

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.staging import delete_path, new_path
+from ..operators.staging import delete_path
+
+
+# Between the place of a table and the name of the folder that its rows were swapped to.
+_SWAPPED = "__at_"
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -26,8 +32,16 @@ def write_table(
 ) -> None:
     """Write a managed table, or an external one at `path`.
 
-    Overwriting replaces the schema for Parquet; `overwrite_schema` asks formats that guard it to do so too.
+    Overwriting replaces the schema for Parquet; `overwrite_schema` asks formats that guard it to do so too. A Parquet table that
+    is there keeps its rows until the new ones are complete: they are written to a folder of their own, which the table is then
+    pointed at (`swap_rows`), so a write that fails changes nothing, and the rows may come from the table itself.
     """
+    spark = df.sparkSession
+    if mode == "overwrite" and fmt == "parquet" and spark.catalog.tableExists(name):
+        about = _described(spark, name)
+        if about.get("Provider") == fmt and (path is None or _base(about["Location"]).endswith(path.rstrip("/"))):
+            swap_rows(df, name, partition_by)
+            return
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -38,20 +52,57 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a table by rows that may come from that same table: they are written aside first.
+def _base(location: str) -> str:
+    """The place of a table before any swap."""
+    return location.rstrip("/").rsplit(_SWAPPED, 1)[0]
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name IN ('Location', 'Type', 'Provider')").collect()
+    return {r.col_name: r.data_type for r in rows}
+
+
+def external_location(spark: SparkSession, name: str) -> str | None:
+    """The place of an external table before any swap; None for a managed one."""
+    about = _described(spark, name)
+    return _base(about["Location"]) if about.get("Type") == "EXTERNAL" else None
+
+
+def swap_rows(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite a Parquet table by rows and columns that may come from itself: write first, then change its location, then delete.
 
-    Overwriting drops the old files before the new ones are complete, so the rows written aside are deleted only once the
-    table holds them; if writing it fails, the error names the folder that still has them.
+    The new folder lies beside the old one. Where neither columns nor partitions change, the catalog is told the new location in
+    one step; else the table is created anew over files that are already complete.
     """
-    spark, path = df.sparkSession, new_path(df.sparkSession, "replace")
-    df.write.parquet(path)
+    spark = df.sparkSession
+    about = _described(spark, name)
+    old, managed = about["Location"].rstrip("/"), about["Type"] == "MANAGED"
+    new = f"{_base(old)}{_SWAPPED}{uuid.uuid4().hex[:12]}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     try:
-        write_table(spark.read.schema(df.schema).parquet(path), name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
-    except Exception as error:
-        error.add_note(f"the new rows of {name} are in {path}")
+        writer.parquet(new)
+    except Exception:
+        delete_path(spark, new)
         raise
-    delete_path(spark, path)
+    columns = spark.catalog.listColumns(name)
+    plain = not partition_by and not any(c.isPartition for c in columns)
+    if not plain or [(c.name, c.dataType) for c in columns] != df.dtypes:
+        spark.sql(f"DROP TABLE {name}")  # deletes the old files of a managed table; the new ones are complete
+        listed = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+        by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        place = "" if managed else f" LOCATION '{new}'"
+        spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet{by}{place}")
+    if managed or plain:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    delete_path(spark, old)
+
+
+def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+    """Overwrite a table by rows that may come from that same table."""
+    write_table(df, name, fmt=fmt, partition_by=partition_by, overwrite_schema=True)
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -79,14 +130,18 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str],
 
 
 def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
-    """The values of a table's only partition column, from the catalog; no data is read."""
-    return [row[0].removeprefix(f"{column}=") for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    """The values of a table's only partition column, from the catalog; no data is read. Signs that the catalog escapes are restored."""
+    return [unquote(row[0].removeprefix(f"{column}=")) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
     """Drop partitions of a table with their files, also where the table is external. Those not there are passed over."""
-    for value in set(values) & set(partition_values(spark, name, column)):
-        part = f"{column}='{value}'"
+    for value in set(values) & set(partition_values(spark, name, column)) if values else ():
+        part = f"{column}={_quoted(value)}"
         described = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({part})").where("col_name = 'Location'").first()
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part})")
         if described:
@@ -95,6 +150,15 @@ def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequenc
         spark.catalog.refreshTable(name)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table together with its files, wherever they are."""
+    if spark.catalog.tableExists(name):
+        location = _described(spark, name).get("Location")
+        spark.sql(f"DROP TABLE {name}")
+        if location:
+            delete_path(spark, location)
+
+
 def refresh_table(spark: SparkSession, name: str, sql: str) -> None:
     """Replace the rows of an existing table by a query's result."""
     spark.sql(f"INSERT OVERWRITE TABLE {name} {sql}")
@@ -118,6 +182,10 @@ def reset(spark: SparkSession, tables: Sequence[str], paths: Sequence[str] = ())
     A stream whose table is dropped must lose its checkpoint too, or it takes its input as already read.
     """
     for name in tables:
+        if spark.catalog.tableExists(name) and _SWAPPED in _described(spark, name).get("Location", ""):
+            drop_table(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for beside in ("ledger", "unmatched"):
+            drop_table(spark, f"{name}__{beside}")
     for path in paths:
         delete_path(spark, path)

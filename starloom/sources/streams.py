@@ -12,12 +12,18 @@ INTERVAL = "interval int"
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: str | StructType, max_files: int | None = None, folders: str = INTERVAL
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    max_files: int | None = None,
+    folders: str = INTERVAL,
+    file: str | None = None,
 ) -> DataFrame:
     """JSON-lines files as they arrive anywhere below `path`, those already there included, whatever their age.
 
     `folders` are columns, as DDL, that are taken from folders named `name=value` on the way to a file; NULL where there is
-    no such folder, and kept from the file where the schema has the name itself. `max_files` caps the files per micro-batch.
+    no such folder, and kept from the file where the schema has the name itself. `max_files` caps the files per micro-batch;
+    `file` names a column for the path of the file that a row comes from.
     """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFileAge", _ANY_AGE)
     if max_files is not None:
@@ -27,7 +33,7 @@ def stream_json(
         if field.name not in rows.columns:
             value = F.regexp_extract(F.col("_metadata.file_path"), f"/{field.name}=([^/]*)/", 1)
             rows = rows.withColumn(field.name, F.url_decode(F.nullif(value, F.lit(""))).cast(field.dataType))
-    return rows
+    return rows if file is None else rows.withColumn(file, F.col("_metadata.file_path"))
 
 
 def stream_table(spark: SparkSession, table: str) -> DataFrame:

@@ -8,18 +8,23 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..constants import EVENT_SCHEMA, INCREMENT_PREFIX, INCREMENT_ROWS
 from ..operators.rows import top_rows
-from ..operators.staging import path_exists
-from ..sinks.tables import drop_partitions, overwrite_partitions, partition_values
+from ..operators.staging import path_exists, stage
+from ..sinks.tables import drop_partitions, overwrite_partitions
 from ..sources.streams import INTERVAL, stream_json
+from . import ledger
+from .ledger import LOAD, SOURCE_FILE
 
-LOAD = "load_id"
 STREAM_LOAD = "stream-"
+# The key whose greatest value each load's ledger row holds.
+KEY = "member_id"
+# Known files up to which their names are a filter on the scan, so that they are not opened; more are left out by a join.
+_FEW_FILES = 5_000
 
 
 def drain(stream: DataFrame, publish, checkpoint: str) -> None:
@@ -54,39 +59,84 @@ def ingest_bronze(
     """Load the event files that have arrived since the last run.
 
     Loads are named `stream-<source>-<batch>`. The source defaults to a digest of path and checkpoint, so several sources
-    can fill one table. If the table has loads of a source whose checkpoint is gone, everything will be read again: loads of
-    a default source are dropped first; for a source that was named, this is refused unless `restart` says so, as the name
-    may be another source's.
+    can fill one table. Every load is written and then noted in the table's ledger with the files it came from. If the table
+    has loads of a source whose checkpoint is gone, the files of these loads are passed over, whether they are still in the
+    input or not, and only others make new loads, `stream-<source>-r<restart>-<batch>`: nothing is dropped, read twice or lost.
+    For a source that was named, this is refused unless `restart` says so, as the name may be another source's.
     """
     name = source or f"{zlib.crc32(f'{path}|{checkpoint}'.encode()):08x}"
     prefix = f"{STREAM_LOAD}{name}-"
-    if not path_exists(spark, f"{checkpoint}/offsets") and spark.catalog.tableExists(table):
-        earlier = [v for v in partition_values(spark, table, LOAD) if v.startswith(prefix)]
-        if earlier and source and not restart:
-            raise ValueError(f"{table} has loads of a source {source}, but its checkpoint is not at {checkpoint}")
-        drop_partitions(spark, table, LOAD, earlier)
+    known = None
+    fresh = not path_exists(spark, f"{checkpoint}/offsets")
+    if fresh:
+        ledger.adopt(spark, table, KEY)
+        earlier = stage(ledger.files(spark, table, prefix), "known")
+        if not earlier.isEmpty():
+            if source and not restart:
+                raise ValueError(f"{table} has loads of a source {source}, but its checkpoint is not at {checkpoint}")
+            unnamed = earlier.where(F.col(SOURCE_FILE).isNull()).limit(3).collect()
+            if unnamed:
+                raise ValueError(f"{table} does not say from which files it has {[r[LOAD] for r in unnamed]}")
+            known = earlier.select(F.col(SOURCE_FILE).alias("__file")).distinct()
+    marker = f"{prefix}restarts"
+    begun = ledger.noted(spark, table, marker)
+    restarts = (begun.taken if begun else 0) + (known is not None)
+    if known is not None:
+        ledger.note(spark, table, {marker: restarts}, None)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        write_load(batch, table, f"{prefix}{batch_id}", location)
-
-    drain(stream_json(spark, path, schema, max_files, folders), publish, checkpoint)
+        rows = batch if known is None else batch.join(known, F.col(SOURCE_FILE) == F.col("__file"), "left_anti")
+        write_load(rows, table, f"{prefix}r{restarts}-{batch_id}" if restarts else f"{prefix}{batch_id}", location)
+
+    stream = stream_json(spark, path, schema, max_files, folders, SOURCE_FILE)
+    if known is not None and known.count() <= _FEW_FILES:
+        stream = stream.where(~F.col(SOURCE_FILE).isin([r[0] for r in known.collect()]))
+    drain(stream, publish, checkpoint)
+    if not spark.catalog.tableExists(table):
+        write_load(spark.createDataFrame([], stream.schema), table, prefix, location)
     refresh(spark, table)
 
 
 def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None) -> None:
-    """Replace one load; no rows leave no load."""
-    spark = rows.sparkSession
-    if rows.isEmpty() and spark.catalog.tableExists(table):
+    """Replace one load and note it in the ledger; no rows leave no load, but a table. The rows are counted as they are written."""
+    spark, counted = rows.sparkSession, Observation()
+    there = spark.catalog.tableExists(table)
+    rows = rows.withColumn(LOAD, F.lit(load_id)).observe(counted, F.count(F.lit(1)).alias("n"))
+    overwrite_partitions(rows, table, [LOAD], location)
+    spark.catalog.refreshTable(table)
+    if counted.get["n"]:
+        ledger.measure(spark, table, [load_id], KEY)
+    elif there:
         drop_partitions(spark, table, LOAD, [load_id])
-        return
-    overwrite_partitions(rows.withColumn(LOAD, F.lit(load_id)), table, [LOAD], location)
+        ledger.note(spark, table, {load_id: None}, 0)
+
+
+def _highest_loads(spark: SparkSession, bronze: str, n: int) -> DataFrame:
+    """Streamed loads that can hold the `n` rows with the highest members: from the one with the greatest member down, until `n`
+    rows read so far are above all that the next load holds. The ledger knows the greatest member of each."""
+    held = ledger.loads(spark, bronze).where(F.col(LOAD).startswith(STREAM_LOAD))
+    best = held.orderBy(F.desc_nulls_last("greatest"), LOAD).select(LOAD, "greatest")
+    taken, step = 0, 1
+    while True:
+        names = best.limit(taken + step + 1).collect()
+        chosen, rest = names[: taken + step], names[taken + step :]
+        rows = spark.table(bronze).where(F.col(LOAD).isin([r[LOAD] for r in chosen]))
+        if not rest:
+            return rows
+        above = F.col(KEY).isNotNull() if rest[0].greatest is None else F.col(KEY) > rest[0].greatest
+        if rows.where(above).limit(n).count() >= n:
+            return rows
+        taken, step = taken + step, 2 * step
 
 
 def append_increment(spark: SparkSession, bronze: str, load_id: str, n: int = INCREMENT_ROWS) -> None:
     """Add the `n` streamed events of the highest members again as a new load, ids prefixed. Repeating a load replaces it.
 
-    Only streamed loads are read, so an increment never picks up another one's rows.
+    Only streamed loads are read, so an increment never picks up another one's rows, and of those only as many as can hold the
+    highest members. Rows without a member come last and are found where all loads together have fewer than `n` others.
     """
-    streamed = spark.table(bronze).where(F.col(LOAD).startswith(STREAM_LOAD))
-    newest = top_rows(streamed, [F.desc("member_id"), "event_id"], n)
-    write_load(newest.withColumn("event_id", F.concat(F.lit(INCREMENT_PREFIX), F.col("event_id"))), bronze, load_id)
+    ledger.ensure(spark, bronze, KEY)
+    newest = top_rows(_highest_loads(spark, bronze, n), [F.desc(KEY), "event_id"], n)
+    prefixed = F.concat(F.lit(INCREMENT_PREFIX), F.col("event_id"))
+    newest = newest.withColumn("event_id", prefixed).withColumn(SOURCE_FILE, F.lit(None).cast("string"))
+    write_load(newest, bronze, load_id)

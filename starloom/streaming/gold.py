@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.gold import provider_month_of, reduce_by_provider, reduce_by_region, region_smoker_of
-from ..sinks.tables import overwrite_partitions, refresh_table, write_table
-from .bronze import LOAD
+from ..sinks.tables import drop_partitions, overwrite_partitions, partition_values, write_table
+from . import ledger
+from .ledger import LOAD
 
 
 @dataclass(frozen=True)
@@ -39,19 +40,26 @@ class GoldTables:
 
 
 def overwrite_rows(df: DataFrame, table: str, location: str | None = None) -> None:
-    """Replace a table's rows, creating the table if it is not there."""
+    """Replace a table's rows, creating the table if it is not there. Its columns stay."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        write_table(df, table, path=location)
-        return
-    view = f"{table.replace('.', '_')}__next"
-    df.createOrReplaceTempView(view)
-    refresh_table(spark, table, f"SELECT {', '.join(f'`{c}`' for c in spark.table(table).columns)} FROM {view}")
-    spark.catalog.dropTempView(view)
+    if spark.catalog.tableExists(table):
+        df = df.select(*spark.table(table).columns)
+    write_table(df, table, path=location)
+
+
+_MARK = "__reduced"
+
+
+def _behind(spark: SparkSession, silver: str, gold: GoldTables) -> dict[str, Row]:
+    """Silver's loads that were noted after the version up to which all are reduced."""
+    mark = ledger.noted(spark, gold.reduced[0], _MARK)
+    return ledger.since(spark, silver, mark.taken if mark else 0)
 
 
 def reduce_loads(spark: SparkSession, silver: str, gold: GoldTables, loads: Sequence[str] | None = None) -> None:
-    """Reduce the given silver loads, or all of them after a rebuild, and keep the reductions."""
+    """Reduce the given silver loads, or all of them after a rebuild, and keep the reductions. What was kept of a load stays until
+    its new reduction is complete; of all loads, those that silver does not have go last."""
+    behind = _behind(spark, silver, gold)
     rows = spark.table(silver)
     if loads is not None:
         rows = rows.where(F.col(LOAD).isin(list(loads)))
@@ -59,15 +67,32 @@ def reduce_loads(spark: SparkSession, silver: str, gold: GoldTables, loads: Sequ
     of_region = reduce_by_region(rows, [LOAD], gold.scale)
     of_provider = reduce_by_provider(rows, [LOAD], scale=gold.scale)
     for table, reduced in ((by_region, of_region), (by_provider, of_provider)):
-        if loads is None:
-            write_table(reduced, table, partition_by=[LOAD], path=gold.location(table))
-        else:
-            overwrite_partitions(reduced, table, [LOAD], gold.location(table))
+        overwrite_partitions(reduced, table, [LOAD], gold.location(table))
+        spark.catalog.refreshTable(table)
+    if loads is None:
+        held = set(partition_values(spark, silver, LOAD))
+        drop_reductions(spark, gold, [v for v in partition_values(spark, by_region, LOAD) if v not in held])
+    if behind and (loads is None or behind.keys() <= set(loads)):
+        ledger.note(spark, by_region, {_MARK: max(r.version for r in behind.values())}, None)
+
+
+def drop_reductions(spark: SparkSession, gold: GoldTables, loads: Sequence[str]) -> None:
+    """Drop the reductions of loads."""
+    for table in gold.reduced:
+        if loads and spark.catalog.tableExists(table):
+            drop_partitions(spark, table, LOAD, loads)
 
 
 def refresh_gold(spark: SparkSession, silver: str, dim_region: DataFrame, gold: GoldTables, by_load: bool = False) -> None:
-    """Refresh both gold tables, from silver or from its reductions. Tables keep no order: sort when reading."""
+    """Refresh both gold tables, from silver or from its reductions. Tables keep no order: sort when reading.
+
+    Loads whose reduction is older than silver's rows, after a rebuild or a run that failed between the two, are reduced first.
+    """
     if by_load:
+        behind = _behind(spark, silver, gold)
+        if behind or not spark.catalog.tableExists(gold.reduced[0]):
+            drop_reductions(spark, gold, [x for x, r in behind.items() if not r.n_rows])
+            reduce_loads(spark, silver, gold, sorted(behind))
         by_region, by_provider = (spark.table(t) for t in gold.reduced)
     else:
         rows = spark.table(silver)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import Row
@@ -13,7 +14,8 @@ from starloom.operators.staging import delete_path
 from starloom.plans.calendar import calendar_extended
 from starloom.plans.dimensions import build_dim_plan, conform_provider, provider_rows
 from starloom.plans.gold import gold_provider_month
-from starloom.plans.runs import Layout, continue_medallion, event_files, reset_stream, run_medallion
+from starloom.plans import runs
+from starloom.plans.runs import Layout, continue_medallion, event_files, rebuild_medallion, reset_stream, run_medallion
 from starloom.sinks.files import write_csv, write_json_batches
 from starloom.sinks.tables import (
     append_table,
@@ -21,6 +23,7 @@ from starloom.sinks.tables import (
     ensure_database,
     load_mart,
     overwrite_partitions,
+    partition_values,
     refresh_table,
     replace_table,
     reset,
@@ -29,9 +32,12 @@ from starloom.sinks.tables import (
 from starloom.sources.files import extract_columns, lookup_table, read_csv, read_json_array, read_json_nested, read_path
 from starloom.sources.jdbc import Partitioning, sqlserver_settings, sqlserver_url, table_options
 from starloom.sources.streams import stream_json, stream_table
+from starloom.streaming import bronze as bronze_module
+from starloom.streaming import ledger
+from starloom.streaming import silver as silver_module
 from starloom.streaming.bronze import append_increment, drain, ingest_bronze
 from starloom.streaming.gold import GoldTables, reduce_loads, refresh_gold
-from starloom.streaming.silver import append_silver, enrich_silver, rebuild_silver, stream_silver
+from starloom.streaming.silver import append_silver, enrich_silver, rebuild_silver, repair_silver, stream_silver
 
 
 def test_csv_keeps_text_and_nulls(spark, tmp_path):
@@ -159,7 +165,7 @@ class Flow:
 
 @pytest.fixture
 def flow(spark, tmp_path, request):
-    made = Flow(spark, tmp_path, request.node.name)
+    made = Flow(spark, tmp_path, re.sub(r"\W", "_", request.node.name))
     yield made
     made.drop()
 
@@ -217,6 +223,175 @@ def test_a_lost_checkpoint_reads_everything_once(flow):
     assert flow.count(flow.silver) == 10
 
 
+def archive(flow, interval):
+    """Take an interval's files out of the input folder, as cleaning jobs do."""
+    os.rename(f"{flow.input}/interval={interval}", f"{flow.folder}/archived-{interval}")
+
+
+def test_a_lost_checkpoint_with_archived_input_loses_nothing(flow):
+    spark = flow.spark
+    take = lambda: ingest_bronze(spark, flow.input, flow.bronze, f"{flow.folder}/cp_lost")
+    flow.arrive(1, 1, 6)
+    flow.arrive(2, 7, 10)
+    take()
+    flow.enrich()
+    archive(flow, 1)
+    flow.arrive(3, 11, 13)
+    for expected in (13, 13):
+        delete_path(spark, f"{flow.folder}/cp_lost")
+        take()
+        flow.enrich()
+        assert flow.count(flow.bronze) == flow.count(flow.silver) == expected
+        assert spark.table(flow.silver).select("event_id").distinct().count() == expected
+    flow.arrive(4, 14, 15)
+    take()
+    flow.enrich()
+    assert flow.count(flow.bronze) == flow.count(flow.silver) == 15
+
+
+def test_a_named_source_restarts_when_told(flow):
+    flow.arrive(1, 1, 4)
+    flow.ingest()
+    delete_path(flow.spark, f"{flow.folder}/cp_bronze")
+    flow.arrive(2, 5, 6)
+    ingest_bronze(flow.spark, flow.input, flow.bronze, f"{flow.folder}/cp_bronze", source="in", restart=True)
+    assert rows(flow.spark.table(flow.bronze).groupBy("load_id").count()) == [("stream-in-0", 4), ("stream-in-r1-0", 2)]
+
+
+def test_a_load_that_was_not_noted_is_adopted(flow):
+    flow.arrive(1, 1, 4)
+    flow.ingest()
+    reset(flow.spark, [], [])
+    flow.spark.sql(f"DROP TABLE {ledger.ledger_of(flow.bronze)}")
+    delete_path(flow.spark, f"{flow.folder}/cp_bronze")
+    ingest_bronze(flow.spark, flow.input, flow.bronze, f"{flow.folder}/cp_bronze", source="in", restart=True)
+    assert flow.count(flow.bronze) == 4
+    flow.enrich()
+    assert flow.count(flow.silver) == 4
+
+
+def test_a_lost_silver_checkpoint_doubles_nothing(flow):
+    spark = flow.spark
+    flow.arrive(1, 1, 6)
+    flow.ingest()
+    load = lambda: append_silver(spark, flow.bronze, flow.dims, flow.silver, f"{flow.folder}/cp_append")
+    load()
+    flow.arrive(2, 7, 10)
+    flow.ingest()
+    load()
+    assert flow.count(flow.silver) == 10
+    delete_path(spark, f"{flow.folder}/cp_append")
+    load()
+    assert flow.count(flow.silver) == 10
+    delete_path(spark, f"{flow.folder}/cp_silver")
+    flow.enrich()
+    assert flow.count(flow.silver) == 10
+
+
+def test_load_ids_may_have_any_sign(flow):
+    spark = flow.spark
+    flow.arrive(1, 1, 6)
+    flow.ingest()
+    names = ["inc 2025-01-01 10:00:00", "a/b=c", "it's", "50% off", "back\\slash", 'say "x"', "ünï"]
+    for load in names:
+        append_increment(spark, flow.bronze, load, 3)
+    flow.enrich()
+    assert (flow.count(flow.bronze), flow.count(flow.silver)) == (27, 27)
+    assert sorted(partition_values(spark, flow.silver, "load_id")) == sorted([*names, "stream-in-0"])
+    for load in names:
+        append_increment(spark, flow.bronze, load, 0)
+    flow.enrich()
+    assert (flow.count(flow.bronze), flow.count(flow.silver)) == (6, 6)
+    assert partition_values(spark, flow.silver, "load_id") == ["stream-in-0"]
+
+
+def test_gold_follows_a_run_that_failed_after_silver(flow, monkeypatch):
+    spark = flow.spark
+    gold = GoldTables(f"{flow.label}_g1", f"{flow.label}_g2")
+    region = spark.createDataFrame([(1, "west")], "region_key bigint, region_name string")
+    flow.arrive(1, 1, 10)
+    flow.ingest()
+    take = lambda: enrich_silver(spark, flow.bronze, flow.dims, flow.silver, f"{flow.folder}/cp_silver", gold=gold)
+    take()
+    flow.arrive(2, 11, 15)
+    flow.ingest()
+    monkeypatch.setattr(silver_module, "reduce_loads", lambda *_: 1 / 0)
+    with pytest.raises(Exception, match="division"):
+        take()
+    monkeypatch.undo()
+    assert flow.count(flow.silver) == 15
+    refresh_gold(spark, flow.silver, region, gold, by_load=True)
+    assert sum(r[2] for r in rows(spark.table(gold.region_smoker))) == 15
+    take()
+    flow.dims["member"] = flow.dims["member"].withColumn("smoker", F.lit("yes"))
+    rebuild_silver(spark, flow.bronze, flow.dims, flow.silver)  # not told about gold
+    refresh_gold(spark, flow.silver, region, gold, by_load=True)
+    assert rows(spark.table(gold.region_smoker), "smoker", "num_events") == [("yes", 15)]
+    reset(spark, [gold.region_smoker, gold.provider_month, *gold.reduced])
+
+
+def test_repair_enriches_only_the_loads_that_were_hit(flow):
+    spark = flow.spark
+    for interval, (lo, hi) in enumerate([(1, 10), (15, 25), (40, 45)], 1):
+        flow.arrive(interval, lo, hi)
+    flow.ingest(max_files=1)
+    flow.enrich()
+    assert repair_silver(spark, flow.bronze, flow.dims, flow.silver) == []
+    late = spark.createDataFrame([(i, "male", "yes", "east", 2) for i in range(21, 26)], flow.dims["member"].schema)
+    flow.dims["member"] = flow.dims["member"].union(late)
+    kept = {r[0]: r[1] for r in rows(ledger.loads(spark, flow.silver), "load_id", "version")}
+    assert repair_silver(spark, flow.bronze, flow.dims, flow.silver) == ["stream-in-1"]
+    now = {r[0]: r[1] for r in rows(ledger.loads(spark, flow.silver), "load_id", "version")}
+    assert {x for x in now if now[x] != kept[x]} == {"stream-in-1"}
+    assert spark.table(flow.silver).where("sex IS NULL").count() == 6
+    assert repair_silver(spark, flow.bronze, flow.dims, flow.silver) == []
+    flow.enrich()
+    assert flow.count(flow.silver) == 27
+
+
+def test_an_increment_reads_only_the_highest_loads(flow):
+    spark = flow.spark
+    for interval, (lo, hi) in enumerate([(1, 10), (31, 60), (11, 30)], 1):
+        flow.arrive(interval, lo, hi)
+    flow.ingest(max_files=1)
+    files = bronze_module._highest_loads(spark, flow.bronze, 25).inputFiles()
+    highest = rows(spark.table(flow.bronze).where("member_id = 60"), "load_id")[0][0]
+    assert files and all(f"load_id={highest}" in f for f in files)
+    for n in (5, 35, 55, 100):
+        append_increment(spark, flow.bronze, f"increment-{n}", n)
+        added = rows(spark.table(flow.bronze).where(F.col("load_id") == f"increment-{n}"), "member_id")
+        assert sorted(r[0] for r in added) == list(range(61 - min(n, 60), 61))
+
+
+def test_ledgers_are_folded(flow, monkeypatch):
+    monkeypatch.setattr(ledger, "MOST_FILES", 4)
+    flow.arrive(1, 1, 6)
+    flow.ingest()
+    for n in range(6):
+        append_increment(flow.spark, flow.bronze, "increment-1", n)
+    assert len(flow.spark.table(ledger.ledger_of(flow.bronze)).inputFiles()) <= 5
+    flow.enrich()
+    assert (flow.count(flow.bronze), flow.count(flow.silver)) == (11, 11)
+
+
+def test_overwriting_keeps_the_rows_until_the_new_ones_are_complete(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    for path in (None, f"{tmp_path}/kept"):
+        write_table(spark.range(5), "kept", path=path)
+        broken = spark.range(100, 110).select(F.when(F.col("id") == 109, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+        with pytest.raises(Exception, match="no"):
+            write_table(broken, "kept", path=path)
+        assert rows(spark.table("kept")) == [(i,) for i in range(5)]
+        write_table(spark.table("kept").where("id > 2"), "kept", path=path)
+        write_table(spark.table("kept").selectExpr("id", "id * 2 AS twice"), "kept", path=path)
+        assert rows(spark.table("kept")) == [(3, 6), (4, 8)]
+        write_table(spark.table("kept").selectExpr("twice", "id % 2 AS part"), "kept", partition_by=["part"], path=path)
+        assert rows(spark.table("kept")) == [(6, 1), (8, 0)]
+        reset(spark, ["kept"], [path] if path else [])
+        assert not spark.catalog.tableExists("kept")
+        assert not [f for f in os.listdir(tmp_path) if f.startswith("kept")]
+
+
 def test_a_load_that_becomes_empty_goes(flow):
     spark = flow.spark
     flow.arrive(1, 1, 6)
@@ -444,6 +619,56 @@ def test_medallion_end_to_end(spark, tmp_path):
     assert sum(r[2] for r in rows(spark.table(names["gold_region_smoker"]))) == 157
 
 
+def _people(spark, lo, hi, region):
+    return spark.range(lo, hi).selectExpr(
+        "id AS row_no", "string(id % 80) AS age", "if(id % 2 = 0, 'male', 'female') AS sex", "'27.5' AS bmi",
+        "'1' AS children", "if(id % 5 = 0, 'yes', 'no') AS smoker", f"{region} AS region", "string(id + 0.25) AS charges",
+    )
+
+
+def test_new_members_keep_old_keys(spark, tmp_path):
+    place, base = Layout("grown_", str(tmp_path)), str(tmp_path)
+    calendar = calendar_extended(spark, "2025-01-01", "2025-12-31", as_of="2025-06-01", end_inclusive=True)
+    names = run_medallion(spark, _people(spark, 0, 30, "if(id % 2 = 0, 'ne', 'sw')"), "row_no", calendar, place, base, None)
+    before = {d: rows(spark.table(names[d])) for d in ("dim_region", "dim_member", "dim_risk_profile")}
+    more = _people(spark, 30, 40, "if(id % 2 = 0, 'aa', 'ne')")
+    for _ in range(2):  # the second time, the batch is known
+        continue_medallion(spark, place, base, None, more, "row_no", "second")
+        for d, old in before.items():
+            assert set(old) <= set(rows(spark.table(names[d])))
+        assert rows(spark.table(names["dim_region"])) == [(1, "ne"), (2, "sw"), (3, "aa")]
+        assert spark.table(names["dim_member"]).count() == spark.table(names["silver"]).count() == 40
+        assert spark.table(names["silver"]).where("region_key IS NULL OR smoker IS NULL").count() == 0
+        assert sum(r[2] for r in rows(spark.table(names["gold_region_smoker"]))) == 40
+    assert rebuild_medallion(spark, place) == names
+    assert sum(r[2] for r in rows(spark.table(names["gold_region_smoker"]))) == 40
+
+
+def test_a_batch_of_members_that_failed_goes_on(spark, tmp_path, monkeypatch):
+    place, base = Layout("failed_", str(tmp_path)), str(tmp_path)
+    calendar = calendar_extended(spark, "2025-01-01", "2025-01-31", as_of="2025-01-01")
+    names = run_medallion(spark, _people(spark, 0, 6, "'ne'"), "row_no", calendar, place, base, None)
+    more = _people(spark, 6, 10, "'sw'")
+    monkeypatch.setattr(runs, "build_events", lambda _: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        continue_medallion(spark, place, base, None, more, "row_no", "second")
+    monkeypatch.undo()
+    continue_medallion(spark, place, base, None, more, "row_no", "second")
+    assert [r[0] for r in rows(spark.table(names["dim_member"]), "member_id")] == [1, 10, *range(2, 10)]
+    assert spark.table(names["silver"]).count() == 10 and spark.table(names["dim_region"]).count() == 2
+
+
+def test_a_run_on_no_rows(spark, tmp_path):
+    place, base = Layout("none_", str(tmp_path)), str(tmp_path)
+    calendar = calendar_extended(spark, "2025-01-01", "2025-01-31", as_of="2025-01-01")
+    names = run_medallion(spark, _people(spark, 0, 0, "'ne'"), "row_no", calendar, place, base)
+    assert {t: spark.table(t).count() for n, t in names.items() if n not in ("dim_provider", "dim_date", "dim_plan")} == dict.fromkeys(
+        (t for n, t in names.items() if n not in ("dim_provider", "dim_date", "dim_plan")), 0
+    )
+    continue_medallion(spark, place, base, None, _people(spark, 0, 5, "'ne'"), "row_no", "first")
+    assert spark.table(names["silver"]).count() == 5
+
+
 def test_json_batches_are_folders(spark, tmp_path):
     write_json_batches(spark.range(1, 11), f"{tmp_path}/b", 3, "id")
     assert sorted(f for f in os.listdir(f"{tmp_path}/b") if f.startswith("interval")) == ["interval=1", "interval=2", "interval=3"]
