@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd; powers of it weigh the bytes of a word
-_AT_ONCE = 1 << 20  # bytes that are worked on together; a longer text, or word, is worked on alone
+_AT_ONCE = 1 << 18  # bytes that are worked on together; a longer text, or word, is worked on alone
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
