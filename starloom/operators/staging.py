@@ -63,6 +63,37 @@ def make_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one step: it is there as a whole or not at all."""
+    jvm = spark._jvm
+    folder, name = path.rsplit("/", 1)
+    target, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(aside, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not system.rename(aside, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The small files of a folder by path, hidden ones left out; read by the driver, without a job."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, str] = {}
+    for status in system.listStatus(target) if system.exists(target) else ():
+        if status.isFile() and status.getPath().getName()[0] not in "_.":
+            stream = system.open(status.getPath())
+            try:
+                found[status.getPath().toString()] = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+    return found
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -57,9 +57,13 @@ def _base(location: str) -> str:
     return location.rstrip("/").rsplit(_SWAPPED, 1)[0]
 
 
-def _described(spark: SparkSession, name: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name IN ('Location', 'Type', 'Provider')").collect()
-    return {r.col_name: r.data_type for r in rows}
+def _described(spark: SparkSession, what: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE EXTENDED {what}").collect()  # as it is: a filter on it would start a job
+    return {r.col_name: r.data_type for r in rows if r.col_name in ("Location", "Type", "Provider", "Partition Provider")}
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"]
 
 
 def external_location(spark: SparkSession, name: str) -> str | None:
@@ -84,9 +88,8 @@ def swap_rows(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Non
     except Exception:
         delete_path(spark, new)
         raise
-    columns = spark.catalog.listColumns(name)
-    plain = not partition_by and not any(c.isPartition for c in columns)
-    if not plain or [(c.name, c.dataType) for c in columns] != df.dtypes:
+    plain = not partition_by and "Partition Provider" not in about
+    if not plain or spark.table(name).dtypes != df.dtypes:
         spark.sql(f"DROP TABLE {name}")  # deletes the old files of a managed table; the new ones are complete
         listed = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
         by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
@@ -142,10 +145,11 @@ def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequenc
     """Drop partitions of a table with their files, also where the table is external. Those not there are passed over."""
     for value in set(values) & set(partition_values(spark, name, column)) if values else ():
         part = f"{column}={_quoted(value)}"
-        described = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({part})").where("col_name = 'Location'").first()
+        rows = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({part})").collect()
+        location = next((r.data_type for r in rows if r.col_name == "Location"), None)  # the partition's comes before the table's
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part})")
-        if described:
-            delete_path(spark, described.data_type)
+        if location:
+            delete_path(spark, location)
     if values:
         spark.catalog.refreshTable(name)
 
@@ -185,7 +189,7 @@ def reset(spark: SparkSession, tables: Sequence[str], paths: Sequence[str] = ())
         if spark.catalog.tableExists(name) and _SWAPPED in _described(spark, name).get("Location", ""):
             drop_table(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        for beside in ("ledger", "unmatched"):
+        for beside in ("ledger", "files", "unmatched"):
             drop_table(spark, f"{name}__{beside}")
     for path in paths:
         delete_path(spark, path)

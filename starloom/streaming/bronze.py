@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,14 +70,15 @@ def ingest_bronze(
     fresh = not path_exists(spark, f"{checkpoint}/offsets")
     if fresh:
         ledger.adopt(spark, table, KEY)
-        earlier = stage(ledger.files(spark, table, prefix), "known")
-        if not earlier.isEmpty():
+        earlier = [x for x in ledger.loads(spark, table) if x.startswith(prefix)]
+        if earlier:
             if source and not restart:
                 raise ValueError(f"{table} has loads of a source {source}, but its checkpoint is not at {checkpoint}")
-            unnamed = earlier.where(F.col(SOURCE_FILE).isNull()).limit(3).collect()
+            read = ledger.files(spark, table, earlier)
+            unnamed = set(earlier) - {r[LOAD] for r in read.select(LOAD).distinct().collect()}
             if unnamed:
-                raise ValueError(f"{table} does not say from which files it has {[r[LOAD] for r in unnamed]}")
-            known = earlier.select(F.col(SOURCE_FILE).alias("__file")).distinct()
+                raise ValueError(f"{table} does not say from which files it has {sorted(unnamed)[:3]}")
+            known = stage(read.select(F.col(SOURCE_FILE).alias("__file")).distinct(), "known")
     marker = f"{prefix}restarts"
     begun = ledger.noted(spark, table, marker)
     restarts = (begun.taken if begun else 0) + (known is not None)
@@ -99,14 +100,12 @@ def ingest_bronze(
 
 def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None) -> None:
     """Replace one load and note it in the ledger; no rows leave no load, but a table. The rows are counted as they are written."""
-    spark, counted = rows.sparkSession, Observation()
+    spark = rows.sparkSession
     there = spark.catalog.tableExists(table)
-    rows = rows.withColumn(LOAD, F.lit(load_id)).observe(counted, F.count(F.lit(1)).alias("n"))
-    overwrite_partitions(rows, table, [LOAD], location)
+    write = lambda rows: overwrite_partitions(rows, table, [LOAD], location)
+    n_rows = ledger.write_noted(rows.withColumn(LOAD, F.lit(load_id)), table, load_id, write, KEY)
     spark.catalog.refreshTable(table)
-    if counted.get["n"]:
-        ledger.measure(spark, table, [load_id], KEY)
-    elif there:
+    if there and not n_rows:
         drop_partitions(spark, table, LOAD, [load_id])
         ledger.note(spark, table, {load_id: None}, 0)
 
@@ -114,19 +113,17 @@ def write_load(rows: DataFrame, table: str, load_id: str, location: str | None =
 def _highest_loads(spark: SparkSession, bronze: str, n: int) -> DataFrame:
     """Streamed loads that can hold the `n` rows with the highest members: from the one with the greatest member down, until `n`
     rows read so far are above all that the next load holds. The ledger knows the greatest member of each."""
-    held = ledger.loads(spark, bronze).where(F.col(LOAD).startswith(STREAM_LOAD))
-    best = held.orderBy(F.desc_nulls_last("greatest"), LOAD).select(LOAD, "greatest")
-    taken, step = 0, 1
+    held = [(x, e.greatest) for x, e in ledger.loads(spark, bronze).items() if x.startswith(STREAM_LOAD)]
+    held.sort(key=lambda load: (load[1] is None, -(load[1] or 0), load[0]))
+    count = 1
     while True:
-        names = best.limit(taken + step + 1).collect()
-        chosen, rest = names[: taken + step], names[taken + step :]
-        rows = spark.table(bronze).where(F.col(LOAD).isin([r[LOAD] for r in chosen]))
-        if not rest:
+        rows = spark.table(bronze).where(F.col(LOAD).isin([x for x, _ in held[:count]]))
+        if count >= len(held):
             return rows
-        above = F.col(KEY).isNotNull() if rest[0].greatest is None else F.col(KEY) > rest[0].greatest
+        above = F.col(KEY).isNotNull() if held[count][1] is None else F.col(KEY) > held[count][1]
         if rows.where(above).limit(n).count() >= n:
             return rows
-        taken, step = taken + step, 2 * step
+        count *= 2
 
 
 def append_increment(spark: SparkSession, bronze: str, load_id: str, n: int = INCREMENT_ROWS) -> None:

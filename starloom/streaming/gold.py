@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.gold import provider_month_of, reduce_by_provider, reduce_by_region, region_smoker_of
@@ -50,7 +50,7 @@ def overwrite_rows(df: DataFrame, table: str, location: str | None = None) -> No
 _MARK = "__reduced"
 
 
-def _behind(spark: SparkSession, silver: str, gold: GoldTables) -> dict[str, Row]:
+def _behind(spark: SparkSession, silver: str, gold: GoldTables) -> dict[str, ledger.Entry]:
     """Silver's loads that were noted after the version up to which all are reduced."""
     mark = ledger.noted(spark, gold.reduced[0], _MARK)
     return ledger.since(spark, silver, mark.taken if mark else 0)

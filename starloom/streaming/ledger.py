@@ -1,30 +1,46 @@
 """Ledgers: which loads a table holds, of which version, from which files.
 
 A table filled by loads has a small table beside it, `<table>__ledger`. When a load has been written completely, a row is
-added there with a version that grows with time, the rows it has, and which version of the layer before it was made from; bronze
-adds a row per source file. A load that goes gets a row that says 0 rows, and a name that is no load one without a number. The newest
-version counts. What a layer has still to take in are the rows that were noted since, so neither files nor partitions of the
-data are listed, a lost checkpoint forgets nothing, and what fails half-way is done again.
-
-One writer at a time, as for the tables themselves.
+added there with a version that grows with time, the rows it has, and which version of the layer before it was made from. A load
+that goes gets a row that says 0 rows, and a name that is no load one without a number. The newest version counts. What a
+layer has still to take in are the rows that were noted since, so neither files nor partitions of the data are listed, a lost
+checkpoint forgets nothing, and what fails half-way is done again.
+
+There is one short row per load, so the driver writes and reads them itself, as JSON lines, without a job; Spark sees them as a table
+and streams it. The source files of bronze's loads, which may be many, are in a table of their own, `<table>__files`,
+which is only read when a checkpoint is lost. One writer at a time, as for the tables themselves.
 """
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.tables import append_table, drop_table, external_location, partition_values, swap_rows, write_table
+from ..operators.staging import delete_path, read_texts, write_text
+from ..sinks.tables import drop_table, external_location, partition_values, table_location
 
 LOAD = "load_id"
 SOURCE_FILE = "source_file"
-SCHEMA = f"{LOAD} string, version bigint, taken bigint, {SOURCE_FILE} string, n_rows bigint, greatest bigint"
-_COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+SCHEMA = f"{LOAD} string, version bigint, taken bigint, n_rows bigint, greatest bigint"
 # Files of a ledger from which it is written anew as one.
-MOST_FILES = 100
+MOST_FILES = 50
+
+
+@dataclass(frozen=True)
+class Entry:
+    """A load's row: its version, the version it was made from, its rows and its greatest key."""
+
+    load_id: str
+    version: int
+    taken: int | None = None
+    n_rows: int | None = None
+    greatest: int | None = None
 
 
 def ledger_of(table: str) -> str:
@@ -37,90 +53,103 @@ def beside(spark: SparkSession, table: str, kind: str) -> str | None:
     return f"{location}__{kind}" if location else None
 
 
-def _rows(spark: SparkSession, table: str) -> DataFrame:
-    """All rows of the ledger; none without one."""
-    name = ledger_of(table)
+def _create(spark: SparkSession, table: str, kind: str, schema: str) -> str:
+    """The folder of a table's companion, which is created unless it is there."""
+    name = f"{table}__{kind}"
     if not spark.catalog.tableExists(name):
-        return spark.createDataFrame([], SCHEMA)
-    spark.catalog.refreshTable(name)
-    return spark.table(name)
+        place = beside(spark, table, kind)
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING json" + (f" LOCATION '{place}'" if place else ""))
+    return table_location(spark, name)
 
 
-def _add(rows: DataFrame, table: str) -> None:
-    spark, name = rows.sparkSession, ledger_of(table)
-    rows = rows.select(*_COLUMNS).coalesce(1)
-    if not spark.catalog.tableExists(name):
-        write_table(rows, name, path=beside(spark, table, "ledger"))
-        return
-    append_table(rows, name)
-    if len(_rows(spark, table).inputFiles()) > MOST_FILES:
-        swap_rows(_newest(spark.table(name)).coalesce(1), name)
+def _write(spark: SparkSession, folder: str, rows: Sequence[dict]) -> None:
+    lines = [json.dumps({k: v for k, v in row.items() if v is not None}) for row in rows]
+    write_text(spark, f"{folder}/{time.time_ns()}-{uuid.uuid4().hex[:8]}.json", "\n".join(lines))
 
 
-def _newest(ledger: DataFrame) -> DataFrame:
-    last = ledger.groupBy(F.col(LOAD).alias("__load")).agg(F.max("version").alias("__version"))
-    same = (F.col(LOAD) == F.col("__load")) & (F.col("version") == F.col("__version"))
-    return ledger.join(last, same).select(*_COLUMNS)
+def _add(spark: SparkSession, table: str, rows: Sequence[Entry]) -> None:
+    folder = _create(spark, table, "ledger", SCHEMA)
+    _write(spark, folder, [asdict(r) for r in rows])
+    texts = read_texts(spark, folder)
+    if len(texts) > MOST_FILES:
+        _write(spark, folder, [asdict(r) for r in _newest(texts).values()])
+        for path in texts:
+            delete_path(spark, path)
 
 
-def files(spark: SparkSession, table: str, prefix: str) -> DataFrame:
-    """(source_file, load_id) of the loads whose names start so, as far as their files are known; NULL for a load without any."""
-    held = _newest(_rows(spark, table).where(F.col(LOAD).startswith(prefix))).where("n_rows > 0")
-    return held.groupBy(LOAD).agg(F.collect_set(SOURCE_FILE).alias("held")).select(LOAD, F.explode_outer("held").alias(SOURCE_FILE))
+def _newest(texts: Mapping[str, str]) -> dict[str, Entry]:
+    found: dict[str, Entry] = {}
+    for line in (x for text in texts.values() for x in text.splitlines() if x):
+        row = Entry(**json.loads(line))
+        if row.load_id not in found or found[row.load_id].version < row.version:
+            found[row.load_id] = row
+    return found
 
 
-def loads(spark: SparkSession, table: str) -> DataFrame:
-    """One row per load that the table holds: load_id, version, taken, n_rows, greatest."""
-    whole = _rows(spark, table).where(F.col(SOURCE_FILE).isNull() & F.col("n_rows").isNotNull())
-    last = whole.groupBy(LOAD).agg(F.max(F.struct("version", "taken", "n_rows", "greatest")).alias("last"))
-    return last.select(LOAD, "last.*").where("n_rows > 0")
+def entries(spark: SparkSession, table: str) -> dict[str, Entry]:
+    """The newest row of every name in the ledger; none without one."""
+    name = ledger_of(table)
+    return _newest(read_texts(spark, table_location(spark, name))) if spark.catalog.tableExists(name) else {}
 
 
-def measure(spark: SparkSession, table: str, load_ids: Sequence[str], greatest: str | None = None) -> None:
-    """Note loads of a bronze table as they are now, with their files, rows and greatest key. Only their own partitions are read."""
-    held = spark.table(table).where(F.col(LOAD).isin(list(load_ids)))
-    file = F.col(SOURCE_FILE) if SOURCE_FILE in held.columns else F.lit(None).cast("string")
-    most = F.max(greatest).cast("bigint") if greatest in held.columns else F.lit(None).cast("bigint")
-    held = held.withColumn(SOURCE_FILE, file)
-    found = held.groupingSets([[LOAD, SOURCE_FILE], [LOAD]], LOAD, SOURCE_FILE)
-    found = found.agg(F.count(F.lit(1)).alias("n_rows"), most.alias("greatest"), F.grouping(SOURCE_FILE).alias("whole"))
-    found = found.where((F.col("whole") == 1) | F.col(SOURCE_FILE).isNotNull())
-    version = F.lit(time.time_ns()).alias("version")
-    _add(found.select(LOAD, version, F.lit(None).cast("bigint").alias("taken"), SOURCE_FILE, "n_rows", "greatest"), table)
+def loads(spark: SparkSession, table: str) -> dict[str, Entry]:
+    """The loads that the table holds."""
+    return {x: e for x, e in entries(spark, table).items() if e.n_rows}
 
 
-def note(spark: SparkSession, table: str, taken: Mapping[str, int | None], n_rows: int | None) -> int:
-    """Note names with the version they were made from, and the rows of each: None for a name that is no load, 0 for a load that goes."""
-    version = time.time_ns()
-    if taken:
-        _add(spark.createDataFrame([(x, version, v, None, n_rows, None) for x, v in sorted(taken.items())], SCHEMA), table)
-    return version
+def streamed(batch: DataFrame) -> dict[str, Entry]:
+    """The newest rows of loads, present or gone, among those that a stream of a ledger brings."""
+    found: dict[str, Entry] = {}
+    for row in batch.where(F.col("n_rows").isNotNull()).collect():
+        if row[LOAD] not in found or found[row[LOAD]].version < row.version:
+            found[row[LOAD]] = Entry(**row.asDict())
+    return found
 
 
-def noted(spark: SparkSession, table: str, name: str) -> Row | None:
-    """What was noted last under a name."""
-    found = _rows(spark, table).where((F.col(LOAD) == name) & F.col(SOURCE_FILE).isNull()).collect()
-    return max(found, key=lambda r: r.version, default=None)
+def write_noted(rows: DataFrame, table: str, load_id: str, write: Callable[[DataFrame], None], greatest: str) -> int:
+    """Write one load and note what is counted on the way: its rows, its greatest key and its files, which the driver has listed
+    to read them. Returns the number of rows; without any, nothing is noted."""
+    seen, spark = Observation(), rows.sparkSession
+    most = F.max(greatest).cast("bigint") if greatest in rows.columns else F.max(F.lit(None).cast("bigint"))
+    file = F.col(SOURCE_FILE) if SOURCE_FILE in rows.columns else F.lit(None).cast("string")
+    write(rows.observe(seen, F.count(F.lit(1)).alias("n"), most.alias("greatest"), F.collect_set(file).alias("files")))
+    found = seen.get
+    if found["n"]:
+        _add_files(spark, table, [(load_id, f) for f in found["files"]])
+        _add(spark, table, [Entry(load_id, time.time_ns(), None, found["n"], found["greatest"])])
+    return found["n"]
 
 
-def since(spark: SparkSession, table: str, version: int) -> dict[str, Row]:
-    """The newest row of each load that was noted after a version."""
-    return newest(_rows(spark, table).where(F.col("version") > version))
+def _add_files(spark: SparkSession, table: str, named: Sequence[tuple[str, str]]) -> None:
+    if named:
+        folder = _create(spark, table, "files", f"{LOAD} string, {SOURCE_FILE} string")
+        _write(spark, folder, [{LOAD: x, SOURCE_FILE: f} for x, f in named])
 
 
-def newest(ledger: DataFrame) -> dict[str, Row]:
-    """The newest row of each load among some rows of a ledger."""
-    found: dict[str, Row] = {}
-    for row in ledger.where(F.col(SOURCE_FILE).isNull() & F.col("n_rows").isNotNull()).collect():
-        if row[LOAD] not in found or found[row[LOAD]].version < row.version:
-            found[row[LOAD]] = row
-    return found
+def files(spark: SparkSession, table: str, load_ids: Sequence[str]) -> DataFrame:
+    """(load_id, source_file) of loads, as far as their files are known."""
+    name = f"{table}__files"
+    if not spark.catalog.tableExists(name):
+        return spark.createDataFrame([], f"{LOAD} string, {SOURCE_FILE} string")
+    spark.catalog.refreshTable(name)
+    return spark.table(name).where(F.col(LOAD).isin(list(load_ids)))
+
+
+def note(spark: SparkSession, table: str, taken: Mapping[str, int | None], n_rows: int | None) -> None:
+    """Note names with the version they were made from, and the rows of each: None for a name that is no load, 0 for a load that goes."""
+    version = time.time_ns()
+    if taken:
+        _add(spark, table, [Entry(x, version, v, n_rows) for x, v in sorted(taken.items())])
 
 
-def taken_of(spark: SparkSession, table: str, load_ids: Sequence[str]) -> dict[str, int | None]:
-    """From which version of the layer before each of the loads was made, of those that the table holds."""
-    rows = newest(_rows(spark, table).where(F.col(LOAD).isin(list(load_ids))))
-    return {x: r.taken for x, r in rows.items() if r.n_rows}
+def noted(spark: SparkSession, table: str, name: str) -> Entry | None:
+    """What was noted last under a name."""
+    return entries(spark, table).get(name)
+
+
+def since(spark: SparkSession, table: str, version: int) -> dict[str, Entry]:
+    """Loads, present or gone, that were noted after a version."""
+    return {x: e for x, e in entries(spark, table).items() if e.version > version and e.n_rows is not None}
 
 
 def adopt(spark: SparkSession, table: str, greatest: str | None = None) -> None:
@@ -129,16 +158,22 @@ def adopt(spark: SparkSession, table: str, greatest: str | None = None) -> None:
     if not spark.catalog.tableExists(table):
         drop_table(spark, ledger_of(table))
         return
-    held = partition_values(spark, table, LOAD)
-    known = taken_of(spark, table, held) if held else {}
-    unknown = [v for v in held if v not in known]
-    if unknown:
-        measure(spark, table, unknown, greatest)
+    known = loads(spark, table)
+    unknown = [v for v in partition_values(spark, table, LOAD) if v not in known]
+    if not unknown:
+        return
+    rows = spark.table(table).where(F.col(LOAD).isin(unknown))
+    most = F.max(greatest).cast("bigint") if greatest in rows.columns else F.lit(None).cast("bigint")
+    if SOURCE_FILE in rows.columns:
+        found = rows.select(LOAD, SOURCE_FILE).na.drop().distinct().collect()  # as many as the driver has listed to read them
+        _add_files(spark, table, [(r[LOAD], r[SOURCE_FILE]) for r in found])
+    counted = rows.groupBy(LOAD).agg(F.count(F.lit(1)).alias("n"), most.alias("greatest")).collect()
+    _add(spark, table, [Entry(r[LOAD], time.time_ns(), None, r.n, r.greatest) for r in counted])
 
 
 def ensure(spark: SparkSession, table: str, greatest: str | None = None) -> None:
     """Note the loads of a table that has no ledger yet; a table without loads gets an empty one."""
     if not spark.catalog.tableExists(ledger_of(table)):
         adopt(spark, table, greatest)
-        if spark.catalog.tableExists(table) and not spark.catalog.tableExists(ledger_of(table)):
-            _add(spark.createDataFrame([], SCHEMA), table)
+        if spark.catalog.tableExists(table):
+            _create(spark, table, "ledger", SCHEMA)

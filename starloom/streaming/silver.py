@@ -134,17 +134,17 @@ def enrich_silver(
     ledger.ensure(spark, table)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        noted = ledger.newest(batch)
+        noted = ledger.streamed(batch)
         if not noted:
             return
         refresh(spark, bronze)
-        own = ledger.taken_of(spark, table, list(noted))
-        versions = {x: r.version for x, r in noted.items() if r.n_rows and (own.get(x) or 0) < r.version}
+        own = ledger.loads(spark, table)
+        versions = {x: e.version for x, e in noted.items() if e.n_rows and (x not in own or (own[x].taken or 0) < e.version)}
         if versions:
             _take_in(spark, bronze, dims, table, versions, location, gold)
             if after:
                 after(sorted(versions))
-        _drop_loads(spark, table, [x for x, r in noted.items() if not r.n_rows and x in own], gold)
+        _drop_loads(spark, table, [x for x, e in noted.items() if not e.n_rows and x in own], gold)
 
     if spark.catalog.tableExists(bronze):
         drain(stream_table(spark, ledger.ledger_of(bronze)), publish, checkpoint)
@@ -176,7 +176,7 @@ def repair_silver(
         hit.append(missed.where(F.col("dimension") == name).join(known, F.col("key") == F.col("__key"), "left_semi").select(LOAD))
     loads = {r[LOAD] for r in reduce(DataFrame.unionByName, hit).distinct().collect()}
     loads |= _with_new_plans(spark, bronze, dims, table, [r[LOAD] for r in missed.where("dimension = 'plan'").select(LOAD).distinct().collect()])
-    versions = {x: r.version for x, r in ledger.since(spark, bronze, 0).items() if x in loads and r.n_rows} if loads else {}
+    versions = {x: e.version for x, e in ledger.loads(spark, bronze).items() if x in loads}
     if versions:
         _take_in(spark, bronze, dims, table, versions, location, gold)
         refresh(spark, table)
@@ -214,8 +214,8 @@ def rebuild_silver(
     else:
         overwrite_partitions(rows, table, [LOAD], location)
     refresh(spark, table)
-    versions = {x: r.version for x, r in ledger.since(spark, bronze, 0).items() if r.n_rows}
-    held = [x for x, r in ledger.since(spark, table, 0).items() if r.n_rows]
+    versions = {x: e.version for x, e in ledger.loads(spark, bronze).items()}
+    held = list(ledger.loads(spark, table))
     _note_unmatched(spark, table, sorted(versions))
     ledger.note(spark, table, versions, 1)
     _drop_loads(spark, table, [x for x in held if x not in versions], gold)
