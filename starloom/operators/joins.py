@@ -21,8 +21,6 @@ from .staging import stage
 # A lookup is broadcast when its counted rows take no more than this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES, _FIELD_BYTES = 16, 8
-# Bytes that one byte of a stored file may stand for.
-_UNPACKED = 64
 _PLAIN = (NumericType, DateType, BooleanType, TimestampType, TimestampNTZType)
 # Rows of one key that one task should hold; a key with more is spread over several tasks.
 HOT_ROWS = 2_000_000
@@ -32,29 +30,75 @@ _SALT, _TASKS = "__salt", "__tasks"
 _NULL_SALTS = 1024
 
 
+# Operators that give no more rows than they get.
+_NARROW = {"Project", "Filter", "SubqueryAlias", "LocalLimit", "GlobalLimit", "Sort", "Aggregate", "Deduplicate"}
+# Files of a stored table whose footers the driver reads itself; of more, rows are counted by a job.
+_FOOTERS = 16
+
+
 def planned_bytes(df: DataFrame) -> int:
-    """Spark's own upper estimate of a frame: exact for literal rows, the size of the files for stored tables."""
+    """Spark's own estimate of a frame: exact for literal rows only. Files may unpack to any size, and exploded rows are not foreseen."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _leaves(df: DataFrame) -> set[str] | None:
+    """Kinds of a plan's leaves; None if anything above them may add rows."""
+    leaves, todo = set(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        if children.isEmpty():
+            leaves.add(node.getClass().getSimpleName())
+        elif children.size() > 1 or node.nodeName() not in _NARROW:
+            return None
+        else:
+            todo.append(children.head())
+    return leaves
+
+
+def _footers(df: DataFrame, texts: Sequence[str]) -> tuple[int, int] | None:
+    """Rows of the files that a frame is read from, and bytes that no row's texts exceed, from a few files' footers: a text is stored
+    at least once where it is used, whatever the encoding. None if there are more files, or others than Parquet."""
+    files = df.inputFiles()
+    if not files or len(files) > _FOOTERS or not all(f.endswith(".parquet") for f in files):
+        return None
+    spark = df.sparkSession
+    jvm, conf, rows, longest = spark._jvm, spark._jsc.hadoopConfiguration(), 0, 0
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        try:
+            rows += reader.getRecordCount()
+            if texts:
+                blocks = reader.getFooter().getBlocks()
+                longest = max([longest, *(b.getTotalByteSize() for b in blocks)])
+        finally:
+            reader.close()
+    return rows, longest
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame's rows take at most `limit` bytes.
+    """Whether the frame's rows take at most `limit` bytes: never an estimate.
 
-    Where the plan's estimate is far below the limit, that is enough and no job runs; files may unpack to many times their
-    size, hence the margin. Else rows are counted, which reads no column of a stored table, and text lengths are added up
-    only where the count fits.
+    Literal rows are measured in the plan. Of a stored table that is only filtered, projected or reduced, the footers of its
+    files say how many rows there are at most; that is enough, without a job, where even the longest possible texts fit. Anything
+    else is counted, and text lengths are added up only where the count fits.
     """
-    if planned_bytes(df) * _UNPACKED <= limit:
-        return True
     row = _ROW_BYTES + _FIELD_BYTES * len(df.columns)
-    rows = df.count()
+    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, _PLAIN)]
+    leaves = _leaves(df)
+    if leaves is not None and leaves <= {"LocalRelation", "OneRowRelation"}:
+        return planned_bytes(df) <= limit
+    found = _footers(df, texts) if leaves == {"LogicalRelation"} else None
+    if found and found[0] * (row + found[1]) <= limit:
+        return True
+    rows = df.count() if found is None or found[0] * row > limit else found[0]
     if rows * row > limit:
         return False
-    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, _PLAIN)]
     if not texts or not rows:
         return True
     lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in texts]
-    return rows * row + df.agg(F.sum(reduce(add, lengths))).first()[0] <= limit
+    return rows * row + (df.agg(F.sum(reduce(add, lengths))).first()[0] or 0) <= limit
 
 
 def _key_names(count: int) -> list[str]:

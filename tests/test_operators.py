@@ -246,3 +246,29 @@ def test_declared_keys_are_reported(spark):
     assert sorted(tuple(r) for r in violations(tables, keys).collect()) == [
         ("child", "p in parent", 1, 2), ("child", "unique c", 2, 3), ("parent", "unique p", 0, 0),
     ]
+
+
+def test_broadcasts_are_bounded_by_rows_not_by_estimates(spark, tmp_path):
+    from starloom.operators.joins import fits_broadcast, lookup
+
+    spark.range(5_000_000).selectExpr("id", "1 AS a").sort("id").write.parquet(f"{tmp_path}/small_files")
+    stored = spark.read.parquet(f"{tmp_path}/small_files").select("a")
+    exploded = spark.range(10).selectExpr("id", "explode(sequence(1, 500000)) AS k")
+    assert not fits_broadcast(stored) and not fits_broadcast(exploded)
+    assert fits_broadcast(stored.limit(10)) and fits_broadcast(spark.range(10).selectExpr("id", "explode(sequence(1, 5)) AS k"))
+    spark.createDataFrame([(1, "x" * 1000)] * 100, "k int, t string").coalesce(1).write.parquet(f"{tmp_path}/texts")
+    texts = spark.read.parquet(f"{tmp_path}/texts")
+    assert fits_broadcast(texts, 200_000) and not fits_broadcast(texts, 90_000)
+    fact = spark.range(10).selectExpr("id AS k")
+    joined = lookup(fact, exploded.select("k"), ["k"], broadcast_bytes=10_000)
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_grow(spark):
+    from starloom.operators.ids import grow_keys
+
+    known = spark.createDataFrame([(1, "b", 1), (2, None, 1)], "k bigint, a string, b int")
+    rows = spark.createDataFrame([("b", 1), ("a", 1), ("a", 1), (None, 1), (None, None), ("c", 2)], "a string, b int")
+    assert sorted((r.k, r.a, r.b) for r in grow_keys(known, rows, "k", ["a", "b"]).collect()) == [(3, None, None), (4, "a", 1), (5, "c", 2)]
+    assert grow_keys(known, rows.limit(1), "k", ["a", "b"]).count() == 0
+    assert [r.k for r in grow_keys(known.limit(0), rows.where("a = 'c'"), "k", ["a"]).collect()] == [1]
