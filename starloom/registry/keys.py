@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import BATCH_DAYS, BATCH_START, CLAIM_YEAR, EVENT_PROVIDERS
 from ..functions.clean import pick_by_modulo
 from ..functions.keys import date_by_hash, date_by_modulo, date_key, prefixed_id, sparse_id
-from ..operators.ids import dense_id, first_seen_key, surrogate_key
+from ..operators.ids import dense_id, first_seen_key, grow_keys, surrogate_key
 from .base import query, table
 from .facts import hash_date_sql
 
@@ -131,3 +131,19 @@ def modulo_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hash_dates", f"SELECT o_orderkey, {hash_date_sql('o_orderkey', CLAIM_YEAR)} AS date_key FROM orders")
 def hash_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", date_by_hash(F.col("o_orderkey"), CLAIM_YEAR).alias("date_key"))
+
+
+@query(
+    "keys_two_runs",
+    """WITH early AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0),
+    keyed AS (SELECT row_number() OVER (ORDER BY c_nationkey, c_mktsegment) AS segment_key, * FROM early),
+    late AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer EXCEPT SELECT * FROM early)
+    SELECT segment_key, c_nationkey, c_mktsegment, 1 AS run FROM keyed UNION ALL
+    SELECT (SELECT COUNT(*) FROM keyed) + row_number() OVER (ORDER BY c_nationkey, c_mktsegment), c_nationkey, c_mktsegment, 2 FROM late""",
+)
+def keys_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys given to the combinations of some rows, and then to those that all rows add: the first ones stay."""
+    customer, columns = table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"]
+    first = surrogate_key(customer.where("c_acctbal < 0").select(*columns).distinct(), "segment_key", columns)
+    second = grow_keys(first, customer, "segment_key", columns)
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))

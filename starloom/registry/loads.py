@@ -18,7 +18,7 @@ from ..sinks.tables import append_table, ctas, load_mart, refresh_table, replace
 from ..sources.files import extract_columns, read_csv, read_json_array, read_json_nested, read_path
 from ..streaming.bronze import append_increment, ingest_bronze
 from ..streaming.gold import refresh_gold
-from ..streaming.silver import append_silver, rebuild_silver
+from ..streaming.silver import append_silver, enrich_silver, rebuild_silver, repair_silver
 from .base import (
     INCREMENT_SQL,
     NUMBERED_SQL,
@@ -372,6 +372,60 @@ def medallion_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(continue_medallion(spark, place, base)["gold_provider_month"])
 
 
+@query("silver_repair", f"WITH {SILVER_SQL} SELECT * FROM silver")
+def silver_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver enriched while the later half of the members and a provider were missing, then only the loads that were hit again."""
+    names, place, base = _medallion(spark, sf_dir, None)
+    dims, target, location = _dims(spark, names), place.table("silver_repaired"), place.location("silver_repaired")
+    last = dims["member"].agg(F.max("member_id")).first()[0] or 0
+    early = {**dims, "member": dims["member"].where(F.col("member_id") <= last // 2), "provider": dims["provider"].where("provider_key > 1")}
+    enrich_silver(spark, names["bronze"], early, target, f"{base}/checkpoints/repaired", location)
+    repair_silver(spark, names["bronze"], dims, target, location)
+    return spark.table(target).drop("fact_key", "load_id")
+
+
+@query(
+    "members_two_runs",
+    f"WITH {SILVER_SQL} SELECT event_id, member_id, provider_code, event_date, charge_amount, sex, smoker, region FROM silver",
+)
+def members_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run on the first half of the insurance rows, and a second that takes in the rest as new members: the events of one run on all."""
+    rows, (place, base) = insurance(spark, sf_dir), layout(spark, "two_runs")
+    half = (rows.agg(F.max("row_no")).first()[0] or 0) // 2
+    calendar = calendar_extended(spark, SILVER_START, SILVER_END, as_of=SILVER_END, end_inclusive=True)
+    run_medallion(spark, rows.where(F.col("row_no") <= half), "row_no", calendar, place, base, None)
+    rest = rows.where(F.col("row_no") > half)
+    names = continue_medallion(spark, place, base, None, rest, "row_no", "second")
+    columns = ["event_id", "member_id", "provider_code", "event_date", "charge_amount", "sex", "smoker", "region"]
+    return spark.table(names["silver"]).select(*columns)
+
+
+@query(
+    "event_rejects",
+    """SELECT event_id % 7 = 0 AS broken, COUNT(*) AS n_rows, MIN(event_id) AS first_event, MAX(event_id) AS last_event
+    FROM events GROUP BY 1""",
+)
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files with lines that break off: bronze takes the others, the reject table the broken lines with their file."""
+    place, base = layout(spark, "rejects")
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    line = F.to_json(F.struct(*rows.columns))
+    broken = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":'))
+    lines = rows.select(F.when(F.col("event_id") % 7 == 0, broken).otherwise(line).alias("value"))
+    lines.write.text(f"{base}/input")
+    bronze_name, rejects = place.table("events"), place.table("rejects")
+    ingest_bronze(
+        spark, f"{base}/input", bronze_name, f"{base}/checkpoint", rows.schema, location=place.location("events"), rejects=rejects
+    )
+    read = spark.table(bronze_name).select("event_id", F.lit(False).alias("broken"))
+    number = F.regexp_extract("record", r'"event_id":(\d+)', 1).cast("bigint")
+    left = spark.table(rejects).where("reason = 'malformed' AND source_file IS NOT NULL")
+    both = read.unionByName(left.select(number.alias("event_id"), F.lit(True).alias("broken")))
+    return both.groupBy("broken").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
+    )
+
+
 @query(
     "star_violations",
     """SELECT 'orders' AS table_name, COUNT(*) AS n_broken FROM orders WHERE o_orderkey IS NOT NULL

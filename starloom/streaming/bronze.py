@@ -16,7 +16,7 @@ from ..constants import EVENT_SCHEMA, INCREMENT_PREFIX, INCREMENT_ROWS
 from ..operators.rows import top_rows
 from ..operators.staging import path_exists, stage
 from ..sinks.tables import drop_partitions, overwrite_partitions
-from ..sources.streams import INTERVAL, stream_json
+from ..sources.streams import INTERVAL, RECORD, stream_json
 from . import ledger
 from .ledger import LOAD, SOURCE_FILE
 
@@ -55,6 +55,7 @@ def ingest_bronze(
     source: str | None = None,
     restart: bool = False,
     folders: str = INTERVAL,
+    rejects: str | None = None,
 ) -> None:
     """Load the event files that have arrived since the last run.
 
@@ -63,6 +64,9 @@ def ingest_bronze(
     has loads of a source whose checkpoint is gone, the files of these loads are passed over, whether they are still in the
     input or not, and only others make new loads, `stream-<source>-r<restart>-<batch>`: nothing is dropped, read twice or lost.
     For a source that was named, this is refused unless `restart` says so, as the name may be another source's.
+
+    With `rejects`, lines that are no JSON of the schema go to a table of that name, with their file and load, in place of
+    rows of NULLs in bronze.
     """
     name = source or f"{zlib.crc32(f'{path}|{checkpoint}'.encode()):08x}"
     prefix = f"{STREAM_LOAD}{name}-"
@@ -87,17 +91,33 @@ def ingest_bronze(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         rows = batch if known is None else batch.join(known, F.col(SOURCE_FILE) == F.col("__file"), "left_anti")
-        write_load(rows, table, f"{prefix}r{restarts}-{batch_id}" if restarts else f"{prefix}{batch_id}", location)
+        load = f"{prefix}r{restarts}-{batch_id}" if restarts else f"{prefix}{batch_id}"
+        if rejects:
+            rows = set_aside(rows, rejects, load, beside(spark, table, "rejects", location))
+        write_load(rows, table, load, location)
 
-    stream = stream_json(spark, path, schema, max_files, folders, SOURCE_FILE)
+    stream = stream_json(spark, path, schema, max_files, folders, SOURCE_FILE, RECORD if rejects else None)
     if known is not None and known.count() <= _FEW_FILES:
         stream = stream.where(~F.col(SOURCE_FILE).isin([r[0] for r in known.collect()]))
     drain(stream, publish, checkpoint)
     if not spark.catalog.tableExists(table):
-        write_load(spark.createDataFrame([], stream.schema), table, prefix, location)
+        write_load(spark.createDataFrame([], stream.schema).drop(RECORD), table, prefix, location)
     refresh(spark, table)
 
 
+def beside(spark: SparkSession, table: str, kind: str, location: str | None) -> str | None:
+    """The place of a companion of a table that may not be there yet."""
+    return f"{location}__{kind}" if location else None
+
+
+def set_aside(rows: DataFrame, rejects: str, load_id: str, location: str | None = None) -> DataFrame:
+    """The rows that could be read; the records that could not are kept as a load of the reject table: record, reason, source_file."""
+    bad = rows.where(F.col(RECORD).isNotNull())
+    bad = bad.select(F.col(RECORD).alias("record"), F.lit("malformed").alias("reason"), SOURCE_FILE, F.lit(load_id).alias(LOAD))
+    overwrite_partitions(bad, rejects, [LOAD], location)
+    return rows.where(F.col(RECORD).isNull()).drop(RECORD)
+
+
 def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None) -> None:
     """Replace one load and note it in the ledger; no rows leave no load, but a table. The rows are counted as they are written."""
     spark = rows.sparkSession
