@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.staging import stage
 from .components import components
+from .spread import most_rows, spread_join
 
 
 @dataclass(frozen=True)
@@ -133,7 +134,13 @@ def _buckets(classes: DataFrame, settings: Settings) -> DataFrame:
     return classes.select("key", "registers", band).select(F.xxhash64("band", of_band).alias("bucket"), "key")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+def _with_pairs(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the keys a with the number of pairs of each, for `spread_join`: a bucket's least key has as many as the bucket."""
+    counts = pairs.groupBy(F.col("a").alias("__a")).agg(F.count(F.lit(1)).alias("__n"))
+    return rows.join(counts, F.col("a") == F.col("__a")).drop("__a")
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings, most: int) -> DataFrame:
     """Of pairs (a, b), those whose sizes allow a link and whose estimate does not rule it out."""
     limit = settings.percent / 100
     least = limit - settings.slack * np.sqrt(limit * (1 - limit) / settings.registers)
@@ -146,13 +153,14 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
         return pd.Series(similarity(*rows, n.to_numpy(float), m.to_numpy(float), settings.base))
 
     side = lambda s: classes.select(F.col("key").alias(s), F.col("registers").alias(f"r_{s}"), F.col("n_shingles").alias(f"n_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = spread_join(pairs, _with_pairs(pairs, side("a")), "a", "b", most).join(side("b"), "b")
     fits = both.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * settings.percent)
     return fits.filter(estimate("r_a", "r_b", "n_a", "n_b") >= F.lit(float(least))).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Of pairs (a, b), those whose full sets have enough in common. The larger key's set travels to the smaller key."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings, most: int) -> DataFrame:
+    """Of pairs (a, b), those whose full sets have enough in common. The larger key's set travels to the smaller key, which is in
+    as many tasks as its pairs ask for."""
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -164,7 +172,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFra
         return pd.Series(out, dtype=bool)
 
     with_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("s_b")), "b")
-    both = with_b.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("s_a")), "a")
+    side = _with_pairs(pairs, sets.select(F.col("key").alias("a"), F.col("hashes").alias("s_a")))
+    both = spread_join(with_b, side, "a", "b", most)
     return both.filter(linked("s_a", "s_b")).select("a", "b")
 
 
@@ -212,7 +221,7 @@ def _links_of_block(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd
     return pd.DataFrame(pairs, columns=["a", "b"])
 
 
-def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings, most: int) -> DataFrame:
     """Links between members of a bucket that the pairs with its least key have not joined into one component.
 
     In each bucket only members outside its largest component are compared with others. Most of those are beyond a link with
@@ -224,8 +233,8 @@ def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Set
     placed = stage(placed.select("bucket", F.col("b").alias("key"), F.coalesce("root", "b").alias("root")), "placed")
     counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mains = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
-    mains = mains.filter("k > 1 and n > 2").select("bucket", "main")
-    open_ = stage(placed.join(mains, "bucket"), "open")
+    mains = mains.filter("k > 1 and n > 2").select("bucket", "main", F.col("n").alias("__n"))
+    open_ = stage(spread_join(placed, mains, "bucket", "key", most), "open")
     asked = sets.join(open_.select("key").distinct(), "key")
 
     def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,9 +251,9 @@ def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Set
     stray = F.col("root") != F.col("main")
     blocks = able.groupBy("bucket").agg(F.count_if(stray).alias("strays"), F.count(F.lit(1)).alias("all"))
     blocks = blocks.filter("strays > 0 and all > 1").select(
-        "bucket", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(n) for n in ("strays", "all")]
+        "bucket", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(n) for n in ("strays", "all")], F.col("all").alias("__n")
     )
-    able = able.join(blocks, "bucket").join(sets, "key")
+    able = spread_join(able, blocks, "bucket", "key", most).join(sets, "key")
     own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["bucket", "key", "root", "hashes"]
@@ -257,7 +266,8 @@ def _strays(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Set
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, digest, n_shingles, component_id, kept) for every document; the digest is xxhash64 of the text.
+    """(doc_id, digest, n_shingles, component_id, group, kept) for every document; the digest is xxhash64 of the text, the group
+    is one key for all texts of a component, null for texts without words.
 
     Texts with the same words form a class. Classes that agree in all registers of a band meet in a bucket. Buckets are not
     paired off: each member is paired with the bucket's least key, the pairs that the joint estimate does not rule out are
@@ -276,14 +286,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     classes = stage(classes.filter("rep is not null"), "classes")
     buckets = _buckets(classes, settings)
-    leaders = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("last")).filter("a < last")
-    members = buckets.join(leaders.select("bucket", "a"), "bucket").select("bucket", "a", F.col("key").alias("b"))
-    members = stage(members, "members")
-    stars = _likely(members.filter("a < b").select("a", "b").distinct(), classes, settings)
+    most = most_rows(classes.count() * settings.bands)
+    leaders = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("last"), F.count(F.lit(1)).alias("__n"))
+    members = spread_join(buckets, leaders.filter("a < last").select("bucket", "a", "__n"), "bucket", "key", most)
+    members = stage(members.select("bucket", "a", F.col("key").alias("b")), "members")
+    stars = stage(_likely(stage(members.filter("a < b").select("a", "b").distinct(), "pairs"), classes, settings, most), "stars")
     met = classes.select("key", "rep").join(members.select(F.col("b").alias("key")).distinct(), "key")
     sets = stage(_sets(docs, met, settings), "sets")
-    roots = stage(components(_confirmed(stars, sets, settings)), "roots")
-    rest = stage(_strays(members, roots, sets, settings), "rest")
+    roots = stage(components(_confirmed(stars, sets, settings, most)), "roots")
+    rest = stage(_strays(members, roots, sets, settings, most), "rest")
     if not rest.isEmpty():
         joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # says as much as the links it came from
         roots = stage(components(joined.unionByName(rest)), "roots")
@@ -291,13 +302,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("key", "component_id")
+    named = named.join(least, "root").select("key", "component_id", F.col("root").alias("group"))
     all_rows = rows.select("doc_id", "digest", "n_shingles", "key").join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return all_rows.select("doc_id", "digest", "n_shingles", component.alias("component_id")).withColumn(
+    return all_rows.select("doc_id", "digest", "n_shingles", component.alias("component_id"), "group").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).drop("digest")
+    return near_duplicates(docs).drop("digest", "group")
