@@ -12,7 +12,7 @@ from ..operators.checks import Keys, row_counts, violations
 from ..operators.ids import dense_id, grow_keys
 from ..operators.rows import split_batches
 from ..operators.staging import make_folder, scratch, stage
-from ..sinks.tables import append_table, reset, write_table
+from ..sinks.tables import Buckets, insert_rows, reset, write_table
 from ..streaming import ledger
 from ..streaming.bronze import append_increment, ingest_bronze
 from ..streaming.gold import GoldTables, refresh_gold
@@ -39,12 +39,14 @@ from .gold import gold_month, gold_region_smoker_rounded
 class Layout:
     """Where a run keeps its tables and files. `prefix` starts every table name; with `root`, tables are external below it.
 
-    `scale` says that charges are decimals with so many digits, whose sums are then exact; None adds them up as doubles.
+    `scale` says that charges are decimals with so many digits, whose sums are then exact; None adds them up as doubles. `buckets` puts
+    members and bronze in so many buckets of members: beyond the broadcast bound neither is shuffled to be joined.
     """
 
     prefix: str = ""
     root: str | None = None
     scale: int | None = None
+    buckets: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.prefix}{name}"
@@ -97,7 +99,8 @@ def run_medallion(
     reset(spark, [layout.table("dim_member")], [p for p in [layout.location("dim_member")] if p])
     rows = number_rows(insurance, order)
     region = layout.write(build_dim_region(rows), "dim_region")
-    member = layout.write(build_dim_member(rows, region, keep_region=True), "dim_member")
+    of_member = Buckets("member_id", layout.buckets) if layout.buckets else None
+    member = layout.write(build_dim_member(rows, region, keep_region=True), "dim_member", buckets=of_member)
     layout.write(build_profile_dim(member), "dim_risk_profile")
     dims = {
         "member": member,
@@ -125,9 +128,8 @@ def event_files(layout: Layout, base: str) -> str:
 def _ingest(spark: SparkSession, layout: Layout, base: str) -> None:
     name = "fact_insurance_bronze"
     make_folder(spark, event_files(layout, base))
-    ingest_bronze(
-        spark, event_files(layout, base), layout.table(name), layout.checkpoint(base, name), location=layout.location(name)
-    )
+    place, checkpoint = layout.location(name), layout.checkpoint(base, name)
+    ingest_bronze(spark, event_files(layout, base), layout.table(name), checkpoint, location=place, buckets=layout.buckets)
 
 
 def _refresh(spark: SparkSession, layout: Layout, base: str, dims: dict[str, DataFrame], region: DataFrame) -> None:
@@ -171,17 +173,17 @@ def add_members(spark: SparkSession, layout: Layout, base: str, insurance: DataF
     rows = number_rows(insurance, order)
     rows = stage(rows.withColumn("member_id", F.col("member_id") + F.lit(start).cast("bigint")), "members")
     named = rows.select(F.col("region").cast("string").alias("region")).na.drop()
-    append_table(stage(grow_keys(known["region"], named, "region_key", ["region"]), "regions").select(*known["region"].columns), table["region"])
+    insert_rows(stage(grow_keys(known["region"], named, "region_key", ["region"]), "regions"), table["region"])
     spark.catalog.refreshTable(table["region"])
-    member = build_dim_member(rows, spark.table(table["region"]), keep_region=True).select(*known["member"].columns)
+    member = build_dim_member(rows, spark.table(table["region"]), keep_region=True)
     there = known["member"].where(F.col("member_id") > start).select(F.col("member_id").alias("__id"))
     member = stage(member.join(there, F.col("member_id") == F.col("__id"), "left_anti"), "member")
-    append_table(member, table["member"])
+    insert_rows(member, table["member"])
     spark.catalog.refreshTable(table["member"])
     profile = ["sex", "smoker", "region_key"]
     added = spark.table(table["member"]).where(F.col("member_id") > start)
     fresh = stage(grow_keys(known["risk_profile"], added, "risk_profile_key", profile), "profiles")
-    append_table(fresh.select(*known["risk_profile"].columns), table["risk_profile"])
+    insert_rows(fresh, table["risk_profile"])
     build_events(rows).write.mode("overwrite").json(f"{event_files(layout, base)}/members={batch}")
     ledger.note(spark, table["member"], {batch: start}, 1)
 

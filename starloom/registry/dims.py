@@ -18,7 +18,8 @@ from ..plans.dimensions import (
     provider_rows,
     type_rows,
 )
-from .base import NUMBERED_SQL, PLAN_SQL, PROVIDER_SQL, RAW_SQL, insurance, query, table
+from ..sinks.tables import Buckets, write_table
+from .base import NUMBERED_SQL, PLAN_SQL, PROVIDER_SQL, RAW_SQL, insurance, layout, query, table
 from .facts import INSURED_SQL, member_tables, providers
 
 
@@ -125,6 +126,21 @@ def hot_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(rows, users, {"user_key": "user_id"}, ["first_event", "n_events"], broadcast_bytes=5_000, hot_rows=100)
 
 
+@query(
+    "colocated_lookup",
+    """SELECT o_orderkey, o_orderstatus, o_custkey, c_mktsegment, c_nationkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+)
+def colocated_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides in as many buckets of the key, as large members and bronze are: beyond the broadcast bound neither is shuffled."""
+    place, _ = layout(spark, "colocated")
+    orders, customers = place.table("orders"), place.table("customers")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_table(rows, orders, path=place.location("orders"), partition_by=["o_orderstatus"], buckets=Buckets("o_custkey", 8))
+    write_table(table(spark, sf_dir, "customer"), customers, path=place.location("customers"), buckets=Buckets("c_custkey", 8))
+    take = ["c_mktsegment", "c_nationkey"]
+    return lookup(spark.table(orders), spark.table(customers), {"o_custkey": "c_custkey"}, take, unique=True, broadcast_bytes=0)
+
+
 @query(
     "existence_lookup",
     "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem",

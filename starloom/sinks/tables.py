@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.staging import delete_path
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of a table dealt out by a hash of a column. Tables in as many buckets of columns of one type are joined on them without
+    a shuffle of either; a table that is overwritten in buckets is dropped first."""
+
+    column: str
+    count: int
+
+
 # Between the place of a table and the name of the folder that its rows were swapped to.
 _SWAPPED = "__at_"
 
@@ -29,15 +39,16 @@ def write_table(
     partition_by: Sequence[str] = (),
     overwrite_schema: bool = False,
     path: str | None = None,
+    buckets: Buckets | None = None,
 ) -> None:
-    """Write a managed table, or an external one at `path`.
+    """Write a managed table, or an external one at `path`, in `buckets` if they are given.
 
     Overwriting replaces the schema for Parquet; `overwrite_schema` asks formats that guard it to do so too. A Parquet table that
     is there keeps its rows until the new ones are complete: they are written to a folder of their own, which the table is then
     pointed at (`swap_rows`), so a write that fails changes nothing, and the rows may come from the table itself.
     """
     spark = df.sparkSession
-    if mode == "overwrite" and fmt == "parquet" and spark.catalog.tableExists(name):
+    if mode == "overwrite" and fmt == "parquet" and buckets is None and spark.catalog.tableExists(name):
         about = _described(spark, name)
         if about.get("Provider") == fmt and (path is None or _base(about["Location"]).endswith(path.rstrip("/"))):
             swap_rows(df, name, partition_by)
@@ -45,6 +56,8 @@ def write_table(
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets.count, buckets.column).sortBy(buckets.column)
     if overwrite_schema:
         writer = writer.option("overwriteSchema", "true")
     if path is not None:
@@ -113,14 +126,21 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").saveAsTable(name)
 
 
-def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None) -> None:
-    """Replace just the partitions that the rows fall in; the table is created if it is not there.
+def insert_rows(df: DataFrame, name: str) -> None:
+    """Add rows to a table that is there, in its buckets and partitions; columns are taken by name."""
+    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+
+
+def overwrite_partitions(
+    df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None, buckets: Buckets | None = None
+) -> None:
+    """Replace just the partitions that the rows fall in; the table is created if it is not there, in `buckets` if they are given.
 
     Running it again with the same rows changes nothing, which makes loads and replayed micro-batches repeatable.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        write_table(df, name, partition_by=partition_by, path=path)
+        write_table(df, name, partition_by=partition_by, path=path, buckets=buckets)
         return
     # insertInto takes this from the session, not from the writer's options
     mode = "spark.sql.sources.partitionOverwriteMode"

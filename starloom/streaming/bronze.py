@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from ..constants import EVENT_SCHEMA, INCREMENT_PREFIX, INCREMENT_ROWS
 from ..operators.rows import top_rows
 from ..operators.staging import path_exists, stage
-from ..sinks.tables import drop_partitions, overwrite_partitions
+from ..sinks.tables import Buckets, drop_partitions, overwrite_partitions
 from ..sources.streams import INTERVAL, RECORD, stream_json
 from . import ledger
 from .ledger import LOAD, SOURCE_FILE
@@ -56,6 +56,7 @@ def ingest_bronze(
     restart: bool = False,
     folders: str = INTERVAL,
     rejects: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Load the event files that have arrived since the last run.
 
@@ -66,7 +67,8 @@ def ingest_bronze(
     For a source that was named, this is refused unless `restart` says so, as the name may be another source's.
 
     With `rejects`, lines that are no JSON of the schema go to a table of that name, with their file and load, in place of
-    rows of NULLs in bronze.
+    rows of NULLs in bronze. With `buckets`, bronze is created in so many buckets of members, as a member table of as many is
+    joined with it without a shuffle.
     """
     name = source or f"{zlib.crc32(f'{path}|{checkpoint}'.encode()):08x}"
     prefix = f"{STREAM_LOAD}{name}-"
@@ -94,14 +96,14 @@ def ingest_bronze(
         load = f"{prefix}r{restarts}-{batch_id}" if restarts else f"{prefix}{batch_id}"
         if rejects:
             rows = set_aside(rows, rejects, load, beside(spark, table, "rejects", location))
-        write_load(rows, table, load, location)
+        write_load(rows, table, load, location, buckets)
 
     stream = stream_json(spark, path, schema, max_files, folders, SOURCE_FILE, RECORD if rejects else None)
     if known is not None and known.count() <= _FEW_FILES:
         stream = stream.where(~F.col(SOURCE_FILE).isin([r[0] for r in known.collect()]))
     drain(stream, publish, checkpoint)
     if not spark.catalog.tableExists(table):
-        write_load(spark.createDataFrame([], stream.schema).drop(RECORD), table, prefix, location)
+        write_load(spark.createDataFrame([], stream.schema).drop(RECORD), table, prefix, location, buckets)
     refresh(spark, table)
 
 
@@ -118,11 +120,12 @@ def set_aside(rows: DataFrame, rejects: str, load_id: str, location: str | None
     return rows.where(F.col(RECORD).isNull()).drop(RECORD)
 
 
-def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None) -> None:
+def write_load(rows: DataFrame, table: str, load_id: str, location: str | None = None, buckets: int | None = None) -> None:
     """Replace one load and note it in the ledger; no rows leave no load, but a table. The rows are counted as they are written."""
     spark = rows.sparkSession
     there = spark.catalog.tableExists(table)
-    write = lambda rows: overwrite_partitions(rows, table, [LOAD], location)
+    by = Buckets(KEY, buckets) if buckets else None
+    write = lambda rows: overwrite_partitions(rows, table, [LOAD], location, by)
     n_rows = ledger.write_noted(rows.withColumn(LOAD, F.lit(load_id)), table, load_id, write, KEY)
     spark.catalog.refreshTable(table)
     if there and not n_rows:

@@ -36,7 +36,8 @@ from starloom.plans.gold import (
     star_provider_region,
     star_top,
 )
-from starloom.plans.runs import Layout, run_batch, run_mart
+from starloom.operators.joins import lookup
+from starloom.plans.runs import Layout, continue_medallion, run_batch, run_mart, run_medallion
 from starloom.plans.views import VIEWS, create_views, dim_customers, dim_products, fact_purchase_orders, fact_sales_orders
 
 LANDED = [
@@ -349,3 +350,25 @@ def test_all_views_are_registered(spark):
     }
     assert spark.sql("SELECT VendorID, AddressType FROM dim_vendors_vw").collect() == [(1, "Home")]
     assert spark.sql("SELECT LastName FROM dim_employee_vw").collect() == [("Lee",)]
+
+
+def test_members_and_bronze_in_buckets_are_joined_without_a_shuffle(spark, tmp_path):
+    place, base = Layout("bucketed_", str(tmp_path), buckets=4), str(tmp_path)
+    rows = spark.range(60).selectExpr(
+        "id AS row_no", "'30' AS age", "if(id % 2 = 0, 'male', 'female') AS sex", "'27.5' AS bmi", "'1' AS children",
+        "'no' AS smoker", "'ne' AS region", "string(id) AS charges",
+    )
+    calendar = calendar_extended(spark, "2025-01-01", "2025-12-31", as_of="2025-06-01", end_inclusive=True)
+    names = run_medallion(spark, rows.where("row_no < 40"), "row_no", calendar, place, base, None)
+    continue_medallion(spark, place, base, "increment-1", rows.where("row_no >= 40"), "row_no", "second")
+    member, bronze = spark.table(names["dim_member"]), spark.table(names["bronze"])
+    assert (member.count(), bronze.count(), spark.table(names["silver"]).where("region_key = 1").count()) == (60, 85, 85)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup(bronze, member, ["member_id"], ["sex", "region_key"], unique=True, broadcast_bytes=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.where("sex IS NOT NULL").count() == 85
