@@ -7,7 +7,7 @@ is:
 * a double whose values are decimals with a stated number of digits after the point (`scale=2` for cents): the sum is exact
   and does not depend on the order, at the speed of a double sum. Whole units of the last digit are added as 64-bit
   integers in three pieces of 21 bits, none of which can overflow below 4e12 rows per group. Groups with an amount that is
-  no such number (NaN, infinite, too large for 64 bits) get the double sum;
+  no such number (NaN, infinite, too large for 64 bits, or with further digits) get the double sum;
 * a decimal column: Spark's exact decimal sum.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 _PIECE = 21
 _MASK = (1 << _PIECE) - 1
+# How far an amount may be from its decimal digits: a part of the last digit, or a few roundings of a double.
+_DIGIT, _ROUNDING = 1e-3, 2e-15
 
 
 def partial(amount: Column, name: str, scale: int | None = None, is_decimal: bool = False) -> list[Column]:
@@ -32,11 +34,12 @@ def partial(amount: Column, name: str, scale: int | None = None, is_decimal: boo
     if scale is None:
         return [plain, count]
     units = F.rint(amount * float(10**scale)).try_cast("bigint")
+    further = F.abs(units.cast("double") / float(10**scale) - amount) > F.greatest(F.abs(amount) * _ROUNDING, F.lit(_DIGIT / 10**scale))
     return [
         F.sum(F.shiftright(units, 2 * _PIECE)).alias(f"{name}__{scale}_high"),
         F.sum(F.shiftright(units, _PIECE).bitwiseAND(F.lit(_MASK))).alias(f"{name}__{scale}_mid"),
         F.sum(units.bitwiseAND(F.lit(_MASK))).alias(f"{name}__{scale}_low"),
-        F.max(units.isNull() & amount.isNotNull()).alias(f"{name}__odd"),
+        F.max((units.isNull() | further) & amount.isNotNull()).alias(f"{name}__odd"),
         plain,
         count,
     ]

@@ -157,3 +157,12 @@ def test_sums_of_numbers_beyond_the_limit_fall_back(spark):
     assert result[1][0] == 1e15 + 0.5
     assert math.isnan(result[2][0])
     assert result[3][0] == float("inf")
+
+
+def test_further_digits_are_not_cut(spark):
+    from starloom.functions.money import partial, total
+
+    rows = [("a", 0.125)] * 3 + [("b", 0.1 + 0.2), ("b", 1e12 + 0.25)] + [("c", 0.29)] * 7 + [("c", -1.15), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(*partial(F.col("v"), "v", 2))
+    found = {r.k: (r.odd, r.s) for r in df.select("k", F.col("v__odd").alias("odd"), total(df.columns, "v").alias("s")).collect()}
+    assert found["a"] == (True, 0.375) and found["b"] == (False, 1e12 + 0.55) and found["c"] == (False, 0.88)
