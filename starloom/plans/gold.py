@@ -25,6 +25,12 @@ def reduce_fact(fact: DataFrame, keys: Sequence[str | Column], amount: str, scal
     return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), *money.partial(F.col(amount), _AMOUNT, scale, exact))
 
 
+def merge_reduced(reduced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Reduced rows of several reductions added up to one per combination of keys, of the same columns and types."""
+    merged = reduced.groupBy(*keys).agg(F.sum(_ROWS).alias(_ROWS), *money.merge(reduced.columns, _AMOUNT))
+    return merged.select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in reduced.dtypes if n in merged.columns])
+
+
 def finish(reduced: DataFrame, by: Sequence[str], digits: int | None = None) -> DataFrame:
     """Group reduced rows by attributes: `num_events`, `total_charges`, `avg_charges`, rounded when `digits` is given."""
     merged = reduced.groupBy(*by).agg(F.sum(_ROWS).alias("num_events"), *money.merge(reduced.columns, _AMOUNT))

@@ -135,11 +135,11 @@ def files(spark: SparkSession, table: str, load_ids: Sequence[str]) -> DataFrame
     return spark.table(name).where(F.col(LOAD).isin(list(load_ids)))
 
 
-def note(spark: SparkSession, table: str, taken: Mapping[str, int | None], n_rows: int | None) -> None:
+def note(spark: SparkSession, table: str, taken: Mapping[str, int | None], n_rows: int | None, greatest: int | None = None) -> None:
     """Note names with the version they were made from, and the rows of each: None for a name that is no load, 0 for a load that goes."""
     version = time.time_ns()
     if taken:
-        _add(spark, table, [Entry(x, version, v, n_rows) for x, v in sorted(taken.items())])
+        _add(spark, table, [Entry(x, version, v, n_rows, greatest) for x, v in sorted(taken.items())])
 
 
 def noted(spark: SparkSession, table: str, name: str) -> Entry | None:

@@ -108,7 +108,7 @@ def _drop_loads(spark: SparkSession, table: str, loads: Sequence[str], gold: Gol
                 drop_partitions(spark, name, LOAD, loads)
         ledger.note(spark, table, dict.fromkeys(loads), 0)
         if gold:
-            drop_reductions(spark, gold, loads)
+            drop_reductions(spark, table, gold, loads)
 
 
 def enrich_silver(

@@ -33,6 +33,7 @@ from starloom.sources.files import extract_columns, lookup_table, read_csv, read
 from starloom.sources.jdbc import Partitioning, sqlserver_settings, sqlserver_url, table_options
 from starloom.sources.streams import stream_json, stream_table
 from starloom.streaming import bronze as bronze_module
+from starloom.streaming import gold as gold_module
 from starloom.streaming import ledger
 from starloom.streaming import silver as silver_module
 from starloom.streaming.bronze import append_increment, drain, ingest_bronze
@@ -330,6 +331,40 @@ def test_gold_follows_a_run_that_failed_after_silver(flow, monkeypatch):
     reset(spark, [gold.region_smoker, gold.provider_month, *gold.reduced])
 
 
+def test_reductions_of_many_loads_are_merged(flow, monkeypatch):
+    monkeypatch.setattr(gold_module, "MOST_PARTS", 4)
+    spark, per_load = flow.spark, 3
+    gold = GoldTables(f"{flow.label}_g1", f"{flow.label}_g2", scale=2)
+    region = spark.createDataFrame([(1, "west")], "region_key bigint, region_name string")
+    events = flow.events(1, 20).withColumn("source_file", F.lit(None).cast("string"))
+
+    def load(name, n):
+        rows_of = events.where(f"member_id <= {n}").withColumn("event_id", F.concat("event_id", F.lit(name)))
+        bronze_module.write_load(rows_of, flow.bronze, name)
+
+    def check():
+        enrich_silver(spark, flow.bronze, flow.dims, flow.silver, f"{flow.folder}/cp_silver", gold=gold)
+        refresh_gold(spark, flow.silver, region, gold, by_load=True)
+        expected = rows(gold_provider_month(spark.table(flow.silver), scale=2))
+        assert rows(spark.table(gold.provider_month)) == expected
+        assert sum(r[2] for r in rows(spark.table(gold.region_smoker))) == flow.count(flow.silver)
+        return [len(partition_values(spark, t, "load_id")) for t in gold.reduced]
+
+    for k in range(9):
+        for n in range(per_load):
+            load(f"l{k}-{n}", 1 + n)
+        assert max(check()) <= 9
+    load("l0-0", 20)  # in a tier
+    load("l8-2", 5)
+    assert max(check()) <= 16
+    load("l1-1", 0)  # goes
+    check()
+    rebuild_silver(spark, flow.bronze, flow.dims, flow.silver, gold=gold)
+    check()
+    assert flow.count(flow.silver) == 20 + 5 + 9 * 6 - 1 - 3 - 2
+    reset(spark, [gold.region_smoker, gold.provider_month, *gold.reduced])
+
+
 def test_repair_enriches_only_the_loads_that_were_hit(flow):
     spark = flow.spark
     for interval, (lo, hi) in enumerate([(1, 10), (15, 25), (40, 45)], 1):
