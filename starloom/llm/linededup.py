@@ -5,7 +5,6 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -68,10 +67,29 @@ def _anchors(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+_PASSES = 8  # alignments of two texts
+_EFFORT = 64  # lines that an alignment may look at, per line of the two texts
+
+
+def _rarest(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+    """The occurrences, paired in order, of the common line that both texts have least often; none without a common line."""
+    once_a, once_b = Counter(a), Counter(b)
+    common = once_a.keys() & once_b.keys()
+    if not common:
+        return []
+    line = min(common, key=lambda h: (once_a[h] + once_b[h], h))
+    return list(zip((i for i, h in enumerate(a) if h == line), (j for j, h in enumerate(b) if h == line)))
+
+
 def matches(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Pairs of equal lines of a patience diff, in ascending order."""
+    """Pairs of equal lines of a patience diff, in ascending order.
+
+    Where no line is unique, the rarest common line gives the anchors. Texts that repeat few lines over and over would be cut
+    into ever more pieces; after a fixed effort per line the rest is left unaligned (`common_lines` does not need it).
+    """
     found: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
+    effort = _EFFORT * (len(a) + len(b) + 16)
     while todo:
         low_a, high_a, low_b, high_b = todo.pop()
         while low_a < high_a and low_b < high_b and a[low_a] == b[low_b]:
@@ -80,12 +98,11 @@ def matches(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         while low_a < high_a and low_b < high_b and a[high_a - 1] == b[high_b - 1]:
             high_a, high_b = high_a - 1, high_b - 1
             found.append((high_a, high_b))
-        if low_a == high_a or low_b == high_b:
+        if low_a == high_a or low_b == high_b or effort < 0:
             continue
-        chain = [(i + low_a, j + low_b) for i, j in _anchors(a[low_a:high_a], b[low_b:high_b])]
-        if not chain:  # nothing is unique: go on from the longest common run
-            m = SequenceMatcher(None, a, b, autojunk=False).find_longest_match(low_a, high_a, low_b, high_b)
-            chain = [(m.a + n, m.b + n) for n in range(m.size)]
+        effort -= high_a - low_a + high_b - low_b
+        part_a, part_b = a[low_a:high_a], b[low_b:high_b]
+        chain = [(i + low_a, j + low_b) for i, j in _anchors(part_a, part_b) or _rarest(part_a, part_b)]
         if not chain:
             continue
         found += chain
@@ -126,12 +143,12 @@ def shared_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least
 def common_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int) -> list[int]:
     """Lines of b in blocks of at least `least` words that are aligned with a.
 
-    What is left of b is aligned again until no block is found. A block that crosses shorter ones may still be on no chain, so
-    the lines of all blocks that both have are added from their runs.
+    What is left of b is aligned again until no block is found, or a few times: a block that crosses shorter ones may be on no
+    chain anyway, so the lines of all blocks that both have are added from their runs.
     """
     left = list(range(len(b)))
     gone: list[int] = []
-    while left:
+    for _ in range(_PASSES):
         pairs = matches(a, [b[k] for k in left])
         taken: list[int] = []
         block: list[int] = []
@@ -152,10 +169,25 @@ def common_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], least
     return sorted({*gone, *shared_lines(a, b, words, least)})
 
 
+def deleted_lines(a: Sequence[int], b: Sequence[int], words_a: Sequence[int], words: Sequence[int], least: int) -> list[int]:
+    """Lines of b in blocks that a has: as they stand, and with lines without words left out on both sides. Lines without words
+    that stand between lines of one such block go with it."""
+    found = set(common_lines(a, b, words, least))
+    if not (all(words) and all(words_a)):
+        at = [k for k, n in enumerate(words) if n]
+        bare = [h for h, n in zip(a, words_a) if n], [b[k] for k in at]
+        more = shared_lines(*bare, [words[k] for k in at], least)
+        for k in more:
+            found.add(at[k])
+            if k + 1 in more:
+                found.update(range(at[k] + 1, at[k + 1]))
+    return sorted(found)
+
+
 def overlaps(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Lines to delete: (doc_id, digest, gone), for each later document that shares a block with an earlier one.
 
-    For each rare run the first document that holds it is compared with every other holder, so the number of pairs grows
+    Runs are of lines with words: blank lines between them make no difference. For each rare run the first document that holds it is compared with every other holder, so the number of pairs grows
     with the shared runs and not with the square of the holders. The first holder keeps the run: of every run, one copy
     stays. Documents are in order of doc_id, and of a digest of the text where ids repeat.
     """
@@ -170,11 +202,13 @@ def overlaps(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
 
     @F.pandas_udf("array<bigint>")
     def runs(lines: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([rare_runs(a.tolist(), n.tolist(), least) for a, n in zip(lines, words)])
+        with_words = [(a[n > 0].tolist(), n[n > 0].tolist()) for a, n in zip(lines, words)]
+        return pd.Series([rare_runs(a, n, least) for a, n in with_words])
 
     @F.pandas_udf("array<int>")
-    def aligned(a: pd.Series, b: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([common_lines(x.tolist(), y.tolist(), n.tolist(), least) for x, y, n in zip(a, b, words)])
+    def aligned(a: pd.Series, b: pd.Series, words_a: pd.Series, words: pd.Series) -> pd.Series:
+        sides = zip(a, b, words_a, words)
+        return pd.Series([deleted_lines(x.tolist(), y.tolist(), m.tolist(), n.tolist(), least) for x, y, m, n in sides])
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").filter("doc_id is not null and text is not null")
     lines = stage(texts.mapInPandas(lined, _LINES), "lines")
@@ -184,8 +218,9 @@ def overlaps(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     pairs = held.join(firsts.drop("__last"), "run").filter("first < doc").select("first", "doc").distinct()
     lines = lines.dropDuplicates(["doc_id", "digest"]).select(F.struct("doc_id", "digest").alias("doc"), "lines", "words")
     later = pairs.join(lines, "doc")
-    both = later.join(lines.select(F.col("doc").alias("first"), F.col("lines").alias("__before")), "first")
-    gone = both.select("doc", F.explode(aligned("__before", "lines", "words")).alias("line")).groupBy("doc")
+    before = lines.select(F.col("doc").alias("first"), F.col("lines").alias("__before"), F.col("words").alias("__words"))
+    both = later.join(before, "first")
+    gone = both.select("doc", F.explode(aligned("__before", "lines", "__words", "words")).alias("line")).groupBy("doc")
     return gone.agg(F.sort_array(F.collect_set("line")).alias("gone")).select("doc.doc_id", "doc.digest", "gone")
 
 
@@ -199,10 +234,14 @@ def dedup(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     gone = stage(overlaps(docs, least), "gone")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone"))
     on = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__digest"))
-    lines = F.split("text", "\n", -1)
     marked = docs.join(gone.hint("merge"), on, "left")  # grows with the documents, so it is not broadcast at any size
-    left = F.array_join(F.filter(lines, lambda line, n: ~F.array_contains("__gone", n)), "\n")
-    removed = F.array_join(F.transform("__gone", lambda n: F.get(lines, n)), "\n")
+    marked = marked.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))
+    # what is kept are the lines between one deleted line and the next, so each line is looked at once
+    before = lambda k: F.coalesce(F.get("__gone", k - 1), F.lit(-1))
+    behind = lambda k: F.coalesce(F.get("__gone", k), F.size("__lines"))
+    places = F.sequence(F.lit(0), F.size("__gone"))
+    left = F.array_join(F.flatten(F.transform(places, lambda k: F.slice("__lines", before(k) + 2, behind(k) - before(k) - 1))), "\n")
+    removed = F.array_join(F.transform("__gone", lambda n: F.get("__lines", n)), "\n")
     names = [n for n in docs.columns if n not in ("text", "n_lines_removed", "n_words_removed")]
     whole = F.col("__gone").isNull()
     return marked.select(
