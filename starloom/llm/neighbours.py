@@ -25,6 +25,7 @@ class Settings:
     epochs: int = 20
     recall: float = 0.93  # of held-out sample queries; as many partitions are searched as that takes
     held_out: float = 0.2
+    routed: int = 16  # lengths of vectors that get a router, those of most rows first; others are searched whole, in blocks
     block_rows: int = 4096  # rows and queries of one block of the search
     block_queries: int = 1024
     seed: int = 3
@@ -159,12 +160,34 @@ def fit(sample: np.ndarray, parts: int, k: int, settings: Settings = Settings())
     return Router(router.first, router.first_bias, router.second, router.second_bias, probes)
 
 
-def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector) of the rows that take part: no nulls, finite, not all zero, and as long as most vectors are."""
+def usable(rows: DataFrame, key: str, vector: str, is_query: Column) -> DataFrame:
+    """(vec_id, vector, asked) of the rows that take part: no nulls, finite, not all zero. Rows that repeat id and vector are one."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     some = F.exists(vector, lambda x: x != 0)
     kept = rows.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & fine & some)
-    return kept.groupBy(F.col(key).cast("bigint").alias("vec_id")).agg(F.min(vector).alias("vector"))
+    kept = kept.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), F.col(vector).alias("vector"), is_query.alias("asked"))
+    return kept.groupBy("vec_id", "vector").agg(F.coalesce(F.max("asked"), F.lit(False)).alias("asked"))
+
+
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors brought near 1 by powers of two, which is exact, so that squares of very small or large components are not lost."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    half = exponent // 2  # in two steps: a factor itself must be a finite number
+    return np.ldexp(np.ldexp(vectors, -half[:, None]), -(exponent - half)[:, None])
+
+
+def _units(vectors: list) -> np.ndarray:
+    x = scaled(np.stack(vectors).astype(np.float64))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where vectors of one length are in the index: from which part on, and the router among them (None: one part)."""
+
+    first: int
+    parts: int
+    router: Router | None
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, exact, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,32 +210,47 @@ def search(
     with most of the rows nor many queries meet in one task, and only the k best of a block leave it. Scores are cosines of
     the original vectors in double precision.
 
-    Rows whose id or vector is null, and vectors that are zero or hold nulls or non-finite components, take no part, nor do
-    those of another length than most; of rows that repeat an id the least vector counts. Equal scores go to the smaller id.
-    An empty table gives no rows.
+    Vectors of different lengths are not compared: each length that many rows have gets partitions and a router of its own, each
+    other one a partition. Rows whose id or vector is null, and vectors that are zero or hold nulls or non-finite components, take
+    no part. Rows that repeat id and vector are one; other vectors of an id are rows of their own, which are asked and found each.
+    Equal scores go to the smaller id. An empty table gives no rows.
     """
-    base = usable(rows, key, vector)
-    base = stage(base.withColumn("__n", F.size("vector")), "vectors")
-    sizes = base.groupBy("__n").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "__n").limit(1).collect()
+    base = usable(rows, key, vector, is_query).withColumn("row", F.monotonically_increasing_id())
+    base = stage(base.withColumn("length", F.size("vector")), "vectors")
+    sizes = base.groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").collect()  # a row per length
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not sizes:
         return rows.sparkSession.createDataFrame([], empty)
-    dimension, total = sizes[0]["__n"], sizes[0]["n"]
-    base = base.filter(F.col("__n") == dimension).drop("__n")
-    range_ = 1 << 30
-    share = range_ if total <= settings.sample else math.ceil(range_ * settings.sample / total)
-    taken = base.filter(F.pmod(F.xxhash64("vec_id"), F.lit(range_)) < share).toArrow().sort_by("vec_id")
-    sample = taken["vector"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dimension)
-    parts = 1 << max(0, int(math.log2(max(1, min(settings.parts, total / settings.part_rows)))))
-    router = fit(sample, parts, k, settings)
-    parts = len(router.second_bias)
+    places: dict[int, Place] = {}
+    parts, range_ = 0, 1 << 30
+    for length, total in ((r.length, r.n) for r in sizes):
+        own = 1 << max(0, int(math.log2(max(1, min(settings.parts, total / settings.part_rows)))))
+        router = None
+        if own > 1 and len(places) < settings.routed:
+            share = range_ if total <= settings.sample else math.ceil(range_ * settings.sample / total)
+            taken = base.filter((F.col("length") == length) & (F.pmod(F.xxhash64("vec_id"), F.lit(range_)) < share))
+            taken = taken.select("vec_id", "vector").toArrow().sort_by("vec_id")
+            sample = taken["vector"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, length)
+            router = fit(scaled(sample), own, k, settings) if len(sample) else None
+        own = len(router.second_bias) if router else 1
+        places[length] = Place(parts, own, router)
+        parts += own
+
+    def routed(vectors: pd.Series, choose) -> list:
+        """`choose` gives one value per vector from a place and the logits of its router."""
+        out: list = [None] * len(vectors)
+        lengths = vectors.map(len)
+        for length in lengths.unique().tolist():
+            at, place = np.flatnonzero(lengths == length), places[length]
+            x = [vectors.iloc[i] for i in at]
+            logits = place.router.logits(_units(x)) if place.router else np.zeros((len(x), 1))
+            for i, value in zip(at, choose(place, logits)):
+                out[i] = value
+        return out
 
     @F.pandas_udf("int")
     def part_of(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype="int32")
-        x = np.stack(vectors.to_list()).astype(np.float64)
-        return pd.Series(router.logits(x / np.linalg.norm(x, axis=1, keepdims=True)).argmax(axis=1).astype("int32"))
+        return pd.Series(routed(vectors, lambda place, logits: place.first + logits.argmax(axis=1)), dtype="int32")
 
     index = stage(base.withColumn("part", part_of("vector")), "index")
     held = np.zeros(parts, dtype=np.int64)
@@ -221,16 +259,16 @@ def search(
 
     @F.pandas_udf("array<int>")
     def probed(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        x = np.stack(vectors.to_list()).astype(np.float64)
-        order = np.argsort(-router.logits(x / np.linalg.norm(x, axis=1, keepdims=True)), axis=1, kind="stable")
-        enough = (np.cumsum(held[order], axis=1) <= k).sum(axis=1) + 1  # the query itself may be among them
-        return pd.Series([o[: max(router.probes, n)].astype("int32") for o, n in zip(order, enough)])
-
-    condition = rows.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), is_query.alias("__q")).filter("__q")
-    asked = index.select("vec_id", "vector").join(condition.select("vec_id").distinct(), "vec_id", "left_semi")
-    asked = asked.select(F.col("vec_id").alias("query_id"), "vector", F.explode(probed("vector")).alias("part"))
+        def likeliest(place: Place, logits: np.ndarray) -> list:
+            order = place.first + np.argsort(-logits, axis=1, kind="stable")
+            enough = (np.cumsum(held[order], axis=1) <= k).sum(axis=1) + 1  # the query itself may be among them
+            least = place.router.probes if place.router else 1
+            return [o[: max(least, n)].astype("int32") for o, n in zip(order, enough)]
+
+        return pd.Series(routed(vectors, likeliest), dtype=object)
+
+    asked = index.filter("asked")
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("row").alias("query"), "vector", F.explode(probed("vector")).alias("part"))
     asked = stage(asked, "asked")
     waiting = np.zeros(parts, dtype=np.int64)
     for row in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -240,30 +278,30 @@ def search(
     of_part = lambda values: F.get(F.array(*[F.lit(int(v)) for v in values]), F.col("part"))
     every = lambda values: F.explode(F.sequence(F.lit(0), of_part(values) - 1))
     block = lambda name, values: F.pmod(F.xxhash64(name), of_part(values)).cast("int")
-    searched = index.filter(of_part(query_blocks) > 0).withColumn("rows", block("vec_id", row_blocks))
+    searched = index.filter(of_part(query_blocks) > 0).withColumn("rows", block("row", row_blocks))
     searched = searched.withColumn("queries", every(query_blocks))
-    asked = asked.withColumn("queries", block("query_id", query_blocks)).withColumn("rows", every(row_blocks))
+    asked = asked.withColumn("queries", block("query", query_blocks)).withColumn("rows", every(row_blocks))
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            ids = left["vec_id"].to_numpy()
-            x = np.stack(left["vector"].to_list()).astype(np.float64)
+            ids, own = left["vec_id"].to_numpy(), left["row"].to_numpy()
+            x = scaled(np.stack(left["vector"].to_list()).astype(np.float64))
             x_norm = np.sqrt((x * x).sum(axis=1))
             for a in range(0, len(right), 64):
                 some = right.iloc[a : a + 64]
-                y = np.stack(some["vector"].to_list()).astype(np.float64)
+                y = scaled(np.stack(some["vector"].to_list()).astype(np.float64))
                 y_norm = np.sqrt((y * y).sum(axis=1))
                 scores = (y @ x.T) / y_norm[:, None] / x_norm[None, :]
-                for q, v, n, s in zip(some["query_id"].to_numpy(), y, y_norm, scores):
-                    s[ids == q] = -np.inf
+                for q, row, v, n, s in zip(some["query_id"].to_numpy(), some["query"].to_numpy(), y, y_norm, scores):
+                    s[own == row] = -np.inf
                     found, score = _top(s, ids, lambda near, v=v, n=n: (x[near] * v).sum(axis=1) / (x_norm[near] * n), k)
-                    out += [(int(q), int(i), float(c)) for i, c in zip(found, score)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                    out += [(int(q), int(row), int(i), float(c)) for i, c in zip(found, score)]
+        return pd.DataFrame(out, columns=["query_id", "query", "vec_id", "score"])
 
     cell = ["part", "rows", "queries"]
-    found = searched.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(best, "query_id bigint, vec_id bigint, score double")
-    in_order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = searched.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(best, "query_id bigint, query bigint, vec_id bigint, score double")
+    in_order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(in_order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -231,8 +231,9 @@ _LIMIT, _GROUP = 500_000, 2_000_000  # tokens kept at a time; characters scored
 def tag(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """Add `score` and `spans` (code points, end exclusive, probability) to documents.
 
-    Whole texts are read. Null and empty texts have no spans and score what no evidence gives. Other columns stay, but
-    for ones named like the two added.
+    Whole texts are read. Null and empty texts have no spans and score what no evidence gives. Repeated rows are tagged each, and
+    equal texts alike, whatever their id; an empty table gives no rows. Spans are in order and do not overlap, so none tie. Other
+    columns stay, but for ones named like the two added.
     """
 
     @F.pandas_udf(f"struct<score:double,spans:{SPAN}>")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.llm import linededup, neardup, neighbours
+from starloom.llm import linededup, neardup, neighbours, spread
 from starloom.llm.components import components
 from test_native import ODD, SCHEMA, odd
 
@@ -134,6 +135,32 @@ def test_shared_passages_go_from_later_documents(spark):
     assert found[110] == "" and passage[0] not in found[3] and short_line in found[3]
 
 
+def test_blank_lines_inside_a_passage_make_no_difference(spark):
+    a, b, c = sentence(1, 30), sentence(2, 30), sentence(3, 10)
+    rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{a}\n\n \n{b}\n\n{c}"), (3, f"{a}\n{c}\n{b}"), (4, f"\n{a}\n\n{b}")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], SCHEMA)
+    found = {r.doc_id: (r.text, r.n_words_removed) for r in linededup.dedup(docs).collect()}
+    assert found == {1: (rows[0][1], 0), 2: (f"{c}\n\n{c}", 60), 3: (rows[2][1], 0), 4: ("", 60)}
+
+
+def test_lines_that_repeat_take_little_time():
+    passage = list(range(100, 130))
+    a, b = (passage + [x for k in range(10_000) for x in ((0, k % 7 + 1) if n else (k % 5 + 1, 0))] for n in (0, 1))
+    words = [0 if x == 0 else 2 for x in b]
+    start = time.perf_counter()
+    gone = linededup.deleted_lines(a, b, [0 if x == 0 else 2 for x in a], words, 50)
+    assert set(range(30)) <= set(gone)
+    assert time.perf_counter() - start < 10
+
+
+def test_many_deleted_lines(spark):
+    lines = [f"line {k} has some words of its own" for k in range(3000)]
+    kept = [f"kept {k}" for k in range(10)]
+    rows = [(1, "\n".join(lines), "s"), (2, "\n".join(x for k in range(10) for x in [kept[k], *lines[300 * k : 300 * k + 300]]), "s")]
+    found = {r.doc_id: r for r in linededup.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[2].text == "\n".join(kept) and found[2].n_lines_removed == 3000
+
+
 def test_line_dedup_of_odd_rows(spark):
     long_text = "x " * 5000
     rows = [*ODD, (11, long_text, "s"), (None, long_text, "s"), (5, long_text, "s2")]
@@ -177,7 +204,7 @@ def plain_set(text):
     return frozenset([tuple(words)]) if len(words) < 5 else frozenset(zip(*(words[k:] for k in range(5))))
 
 
-def components_plainly(rows):
+def components_plainly(rows, percent=85):
     sets = [plain_set(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -189,7 +216,7 @@ def components_plainly(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 parent[root(i)] = root(j)
     least = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -305,6 +332,30 @@ def test_odd_vectors_take_no_part(spark):
     assert neighbours.op1(table.limit(0)).count() == 0
 
 
+def test_every_length_is_searched_and_small_vectors_count(spark):
+    random_ = np.random.default_rng(8)
+    vectors = {i: random_.normal(size=3 if i % 4 else 5) * 10.0 ** random_.integers(-300, 300) for i in range(400)}
+    vectors[1000], vectors[1001] = np.array([1.0, 2.0]), np.array([2.0, 1.0]) * 1e-200
+    vectors[1002] = np.array([5e-324, 0.0])
+    rows = [(i, v.tolist()) for i, v in vectors.items()]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in neighbours.op1(table).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(found) == [i for i in sorted(vectors) if i % 50 == 0]
+    for q, near in found.items():
+        same = {i: v / np.abs(v).max() for i, v in vectors.items() if len(v) == len(vectors[q])}
+        best = nearest_plainly(same, q, 5)
+        assert len(near) == min(5, len(same) - 1) and len({i for i, _ in near} & {i for i, _ in best}) >= min(4, len(best))
+    assert [i for i, _ in found[1000]] == [1001, 1002]
+
+
+def test_other_vectors_of_an_id_are_rows(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, [1.0, 0.2]), (1, [0.2, 1.0]), (1, [0.2, 1.0])]
+    found = neighbours.op1(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == [(50, 1, 1), (50, 1, 1), (50, 2, 1), (50, 2, 1), (50, 3, 50), (50, 3, 50)]
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     random_ = np.random.default_rng(5)
     points = np.concatenate([random_.normal(c, 0.1, (64, 8)) for c in np.eye(8)[:4] * 3])
@@ -313,3 +364,20 @@ def test_parts_are_balanced_and_follow_the_graph():
     label = neighbours.balanced_parts(graph, 4, random_)
     assert Counter(label.tolist()) == {0: 64, 1: 64, 2: 64, 3: 64}
     assert (label[graph] == label[:, None]).mean() > 0.85
+
+
+def test_a_hub_is_dealt_out(spark):
+    star = spark.range(1, 50_001).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b")).union(spark.range(100, 400).selectExpr("id", "id + 1"))
+    counts = star.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("__n"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        found = spread.spread_join(star, counts.hint("merge"), "a", "b", spread.most_rows(50_300))
+        sizes = [r.n for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 50_300 and max(sizes) < 3 * sum(sizes) / 50
+        assert found.where("m is null").count() == 0 and found.columns == ["a", "b", "m"]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert {r.root for r in components(star.where("a = 0")).collect()} == {0}

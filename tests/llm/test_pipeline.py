@@ -54,7 +54,7 @@ def test_line_stage(steps):
 
 def test_near_duplicate_stage(steps):
     rows = [(r.doc_id, r.text) for r in steps["line_dedup"].collect()]
-    firsts = {i for i, _, c in components_plainly(rows) if i == c}
+    firsts = {i for i, _, c in components_plainly(rows, corpus_pipeline.PERCENT) if i == c}
     assert {r.doc_id for r in steps["near_duplicates"].collect()} == firsts
 
 
@@ -90,9 +90,18 @@ def test_near_duplicate_stage_keeps_rows_without_id_and_other_texts_of_an_id(spa
     assert sorted((str(r.doc_id), r.text[:2]) for r in kept) == [("1", "w0"), ("2", "an"), ("None", "b"), ("None", "w0")]
 
 
+def test_near_duplicate_stage_keeps_one_text_of_a_repeated_id(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, far = " ".join([*words[:-2], "x", "y"]), " ".join(f"z{i}" for i in range(50))
+    rows = [(1, " ".join(words), "s"), (1, near, "s"), (1, far, "s"), (2, near + " more", "s"), (3, "", "s"), (3, None, "s"), (3, far, "s")]
+    docs = spark.createDataFrame([(*r, "en", 1) for r in rows], SCHEMA + ", lang string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id, (r.text or "")[:1]) for r in kept) == [(1, "w"), (1, "z"), (3, ""), (3, "")]
+
+
 def test_queries_are_registered():
     names = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names
     assert set(oracle_sql()) >= set(registry.ORACLES)
