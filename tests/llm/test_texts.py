@@ -9,6 +9,7 @@ import hashlib
 import itertools
 import lzma
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -53,6 +54,58 @@ def test_layers_are_unwrapped_and_mapped(wrap):
     assert secrets.unwrap(text)[0] == []
 
 
+NOISE = "\n".join(hashlib.sha256(bytes([i])).hexdigest()[:20] for i in range(40))  # makes layers long; no run of 32 for a key
+
+
+def in_lines(data, width, before="", after="\n", alphabet=base64.b64encode):
+    coded = alphabet(data).decode()
+    return after.join(before + coded[i : i + width] for i in range(0, len(coded), width))
+
+
+def raw_deflate(data):
+    tool = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return tool.compress(data) + tool.flush()
+
+
+LONG = (NOISE + "\n" + SECRET).encode()
+MISSED = {
+    **{f"gzip in lines of {w}": in_lines(gzip.compress(LONG), w) for w in (32, 48, 56, 60, 64, 76, 77, 80, 100, 128)},
+    **{f"url alphabet in lines of {w}": in_lines(gzip.compress(LONG), w, alphabet=base64.urlsafe_b64encode) for w in (32, 64, 76, 100)},
+    **{f"plain in lines of {w}": in_lines(LONG, w) for w in (32, 76, 80)},
+    "windows line ends": in_lines(gzip.compress(LONG), 76, after="\r\n"),
+    "indented": in_lines(gzip.compress(LONG), 64, before="    "),
+    "quoted mail": in_lines(gzip.compress(LONG), 72, before="> "),
+    "joined texts": in_lines(gzip.compress(LONG), 60, before='  "', after='"\n') + '"',
+    "joined by signs": in_lines(gzip.compress(LONG), 60, before="  '", after="' +\n") + "'",
+    "continued lines": in_lines(gzip.compress(LONG), 60, after="\\\n"),
+    "utf-16 without mark": base64.b64encode(("x = 1; " + SECRET).encode("utf-16-le")).decode(),
+    "utf-16, high byte first": base64.b64encode(("x = 1; " + SECRET).encode("utf-16-be")).decode(),
+    "raw deflate": base64.b64encode(raw_deflate(LONG)).decode(),
+    "gzip in raw deflate": base64.b64encode(raw_deflate(gzip.compress(LONG))).decode(),
+    "escaped bytes": "".join(f"\\x{b:02x}" for b in gzip.compress(LONG)),
+    "bytes as python writes them": str(gzip.compress(LONG, mtime=0))[2:-1],
+}
+
+
+@pytest.mark.parametrize("name", list(MISSED))
+def test_layers_of_many_forms(name):
+    text = f"key: {MISSED[name]} end"
+    _, everything, _, unopened = secrets.unwrap(text)
+    assert [k for k, a, b in everything if 0 <= a < b <= len(text)] == ["assign"] and unopened == 0
+
+
+def test_lines_of_prose_are_no_layers():
+    text = "\n".join(f"internationalization-of-words{i}" for i in range(50)) + "\n" + "\n".join(["uncharacteristically"] * 30)
+    assert secrets.unwrap(text)[:2] == ([], [])
+
+
+def test_long_runs_take_little_time():
+    text = base64.b64encode(np.random.default_rng(1).bytes(300_000)).decode()
+    start = time.perf_counter()
+    assert secrets.unwrap(text)[1] == secrets.unwrap(text)[0]
+    assert time.perf_counter() - start < 8
+
+
 def test_spans_in_layers_are_exact():
     inner = "x " + SECRET + " y"
     text = "ab " + urllib.parse.quote(inner, safe="")
