@@ -265,14 +265,28 @@ def _read_wide(data: bytes, order: str, exact: bool) -> Iterator[Text]:
     yield text, not _CONTROL.search(text), [(2 * i, 2 * i + 2) for i in range(len(text))] if narrow else None
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """What raw deflate, which has no mark of its own, unpacks to, if it ends where the data does."""
+def _inflating(data: bytes) -> Iterator[bytes]:
+    """What raw deflate, which has no mark of its own, unpacks to, in steps. ValueError if it does not end where the data does."""
     tool = zlib.decompressobj(-15)
+    while not tool.eof:
+        try:
+            out = tool.decompress(data, STEP)
+        except zlib.error as error:
+            raise ValueError from error
+        data = tool.unconsumed_tail
+        if not (tool.eof or data or len(out) == STEP):
+            raise ValueError
+        yield out
+    if len(tool.unused_data) > 2:
+        raise ValueError
+
+
+def _inflated(data: bytes) -> int:
+    """How many bytes raw deflate unpacks to, of which none is kept; 0 if the data is something else."""
     try:
-        out = tool.decompress(data, CHUNK)
-    except zlib.error:
-        return None
-    return out if len(out) >= 8 and len(out) < CHUNK and tool.eof and len(tool.unused_data) <= 2 else None
+        return sum(map(len, _inflating(data)))
+    except ValueError:
+        return 0
 
 
 def _read(data: bytes, exact: bool) -> Iterator[Text]:
@@ -344,7 +358,11 @@ class Opened:
         for text in _read(data, True):
             clear |= text[1]
             yield text
-        if not clear and (out := _inflated(data)) is not None:
+        size = 0 if clear else _inflated(data)
+        if size >= CHUNK:  # so much is no accident, and is read like what has a mark
+            yield from self._open(_inflating(data), frozenset([hashlib.sha256(data).digest()]), 1)
+        elif size >= 8:
+            out = b"".join(_inflating(data))
             if _packed(out):
                 yield from self._open(_sliced(out), frozenset([hashlib.sha256(out).digest()]), 1)
             else:

@@ -403,6 +403,26 @@ def test_large_layers_are_read_to_the_end(pack):
     assert [k for k, _, _ in found] == ["assign"] and unopened == 0
 
 
+@pytest.mark.parametrize("inner", [lambda x: x, gzip.compress, lambda x: b"\x1b[0m " + x])
+@pytest.mark.parametrize("size", [secrets.CHUNK, 70_000_000])
+def test_large_raw_deflate_is_read_to_the_end(inner, size):
+    large = b"some words, and more words\n" * (size // 27)
+    for data in (large + SECRET.encode(), large + base64.b64encode(zlib.compress(SECRET.encode()))):
+        text = base64.b64encode(raw_deflate(inner(data))).decode()
+        _, found, _, unopened = secrets.unwrap(f"ab {text} after")
+        assert found == [("assign", 3, 3 + len(text.rstrip("=")))] and unopened == 0
+
+
+def test_raw_deflate_of_any_size_is_unpacked_in_steps(monkeypatch):
+    monkeypatch.setattr(secrets, "STEP", 16)
+    for size in [*range(60), 1000]:
+        whole = bytes(i * i % 251 for i in range(size))
+        for data in (whole, b"a" * size):
+            packed = raw_deflate(data)
+            assert b"".join(secrets._inflating(packed)) == data and secrets._inflated(packed + b"xy") == size
+            assert all(secrets._inflated(x) == 0 for x in (packed[:-1], packed + b"xyz"))
+
+
 def test_nothing_is_lost_where_a_large_layer_is_parted(monkeypatch):
     monkeypatch.setattr(secrets, "STEP", 16)
     monkeypatch.setattr(secrets, "CHUNK", 64)
