@@ -67,17 +67,26 @@ def unmatched_of(table: str) -> str:
     return f"{table}__unmatched"
 
 
-def _note_unmatched(spark: SparkSession, table: str, loads: Sequence[str]) -> None:
-    """Keep, per load, the distinct keys that found no dimension row: (dimension, key), and one row without either."""
-    silver = spark.table(table).where(F.col(LOAD).isin(list(loads)))
-    parts = [F.struct(F.lit(None).cast("string").alias("dimension"), F.lit(None).cast("string").alias("key"))]
+def _unmatched(silver: DataFrame) -> DataFrame:
+    """Per load, the distinct keys that found no dimension row: (dimension, key), and one row without either.
+
+    Each dimension's misses are read on their own, with no other columns, and where the files' footers know of no NULL
+    nothing is read at all.
+    """
+    none = F.lit(None).cast("string")
+    parts = [silver.select(none.alias("dimension"), none.alias("key"), LOAD)]
     for name, (columns, key) in _MISSES.items():
         missing = reduce(lambda a, b: a & b, (F.col(c).isNull() for c in columns))
         if key:
             missing &= F.col(key).isNotNull()
-        value = F.col(key).cast("string") if key else F.lit(None).cast("string")
-        parts.append(F.when(missing, F.struct(F.lit(name).alias("dimension"), value.alias("key"))))
-    found = silver.select(F.explode(F.array_compact(F.array(*parts))).alias("miss"), LOAD).select("miss.*", LOAD).distinct()
+        value = F.col(key).cast("string") if key else none
+        parts.append(silver.where(missing).select(F.lit(name).alias("dimension"), value.alias("key"), LOAD))
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _note_unmatched(spark: SparkSession, table: str, loads: Sequence[str]) -> None:
+    """Keep the unmatched keys of loads."""
+    found = _unmatched(spark.table(table).where(F.col(LOAD).isin(list(loads))))
     overwrite_partitions(found, unmatched_of(table), [LOAD], beside(spark, table, "unmatched"))
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from datetime import date
 
 import pytest
 from pyspark.sql import Row
@@ -693,6 +694,25 @@ def test_a_batch_of_members_that_failed_goes_on(spark, tmp_path, monkeypatch):
     assert spark.table(names["silver"]).count() == 10 and spark.table(names["dim_region"]).count() == 2
 
 
+def test_unmatched_keys_are_read_from_rows_without_a_match(spark, tmp_path):
+    columns = "sex string, smoker string, region string, region_key bigint, member_id bigint, provider_key bigint, provider_code string"
+    schema = f"{columns}, date_key int, event_date date, plan_key int, load_id string"
+    whole = ("m", "no", "ne", 1, 1, 1, "P1", 20250101, date(2025, 1, 1), 1)
+    missed = (None, None, None, None, 2, None, "P9", None, date(2030, 1, 1), None)
+    partly = ("m", None, None, None, 3, None, None, None, None, 1)  # a member with NULLs, and keys that are NULL
+    silver = [(*whole, "a"), (*whole, "a"), (*whole, "b"), (*missed, "b"), (*missed, "b"), (*partly, "c"), (*([None] * 10), "d")]
+    spark.createDataFrame(silver, schema).write.parquet(f"{tmp_path}/s")
+    found = silver_module._unmatched(spark.read.parquet(f"{tmp_path}/s"))
+    keys = [("date", "2030-01-01", "b"), ("member", "2", "b"), ("plan", None, "b"), ("plan", None, "d"), ("provider", "P9", "b")]
+    assert found.columns == ["dimension", "key", "load_id"] and found.count() == 9
+    assert rows(found.where("dimension IS NOT NULL")) == keys
+    assert rows(found.where("dimension IS NULL")) == [(None, None, x) for x in "abcd"]
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate" not in plan
+    for column in ("smoker", "provider_key", "date_key", "plan_key"):  # what the scans leave to the footers
+        assert re.search(rf"PushedFilters: \[[^\]]*IsNull\({column}\)", plan)
+
+
 def test_a_run_on_no_rows(spark, tmp_path):
     place, base = Layout("none_", str(tmp_path)), str(tmp_path)
     calendar = calendar_extended(spark, "2025-01-01", "2025-01-31", as_of="2025-01-01")
