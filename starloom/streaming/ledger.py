@@ -22,7 +22,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.staging import delete_path, read_texts, write_text
+from ..operators.staging import delete_path, make_folder, read_texts, write_text
 from ..sinks.tables import drop_table, external_location, partition_values, table_location
 
 LOAD = "load_id"
@@ -59,6 +59,7 @@ def _create(spark: SparkSession, table: str, kind: str, schema: str) -> str:
     if not spark.catalog.tableExists(name):
         place = beside(spark, table, kind)
         spark.sql(f"CREATE TABLE {name} ({schema}) USING json" + (f" LOCATION '{place}'" if place else ""))
+        make_folder(spark, table_location(spark, name))  # a stream of a table without rows finds no folder otherwise
     return table_location(spark, name)
 
 
